@@ -74,12 +74,12 @@ class Check:
 
 
 def report(checks: Iterable[Check]) -> DataFrame:
-    """One row per check: ``table, check, column, severity, failures, status``."""
+    """One row per check: ``table_name, check_name, column_name, severity, failures, status``."""
     rows = [
         c.offending.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.table).alias("table"),
-            F.lit(c.name).alias("check"),
-            F.lit(c.column).alias("column"),
+            F.lit(c.table).alias("table_name"),
+            F.lit(c.name).alias("check_name"),
+            F.lit(c.column).alias("column_name"),
             F.lit(c.severity).alias("severity"),
             "failures",
             F.when(F.col("failures") == 0, "pass").otherwise(c.severity).alias("status"),
@@ -93,4 +93,4 @@ def enforce(results: DataFrame) -> None:
     """Raise if an ``error`` check failed. Reads one small row per failed check."""
     failed = results.filter((F.col("severity") == ERROR) & (F.col("failures") > 0)).collect()
     if failed:
-        raise CheckFailed("; ".join(f"{r.table}.{r.column} {r.check}: {r.failures} rows" for r in failed))
+        raise CheckFailed("; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures} rows" for r in failed))

@@ -47,18 +47,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tripmart-{uuid.uuid4().hex}"
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A new database whose tables live in a new scratch folder."""
+    name = f"tripmart_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(spark)}'")
+    return name
+
+
 @contextmanager
-def conf(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Set ``spark.sql.<name>`` for the duration of a block (``__`` stands for a dot)."""
-    keys = {f"spark.sql.{name.replace('__', '.')}": value for name, value in values.items()}
-    before = {key: spark.conf.get(key, None) for key in keys}
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Change one session setting for the duration of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        for key, value in keys.items():
-            spark.conf.set(key, value)
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

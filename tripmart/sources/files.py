@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import Contract, Service
@@ -72,7 +72,7 @@ def read_service(spark: SparkSession, root: str, service: Service) -> DataFrame:
     return conform(stored, service.source.plus(("source_month", "string")), service.drifting)
 
 
-def month_from_path(service: Service) -> F.Column:
+def month_from_path(service: Service) -> Column:
     """``source_month`` of a raw-zone row: from the file name, never from the data."""
     pattern = rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet"
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.contracts import RETENTION_DAYS, Contract, Service
 from tripmart.functions import pickup_date
 from tripmart.operators.shape import conform
-from tripmart.session import conf
+from tripmart.session import setting
 from tripmart.sources import files
 
 _MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
@@ -74,7 +74,7 @@ def load_month(df: DataFrame, service: Service, table: str, month: str) -> None:
         raise ValueError(f"not a YYYY-MM month: {month}")
     spark = df.sparkSession
     rows = _dated(conform(df, service.source, service.drifting), service)
-    with conf(spark, sources__partitionOverwriteMode="static"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION (source_month = '{month}', pickup_date) "
             "SELECT /*+ REBALANCE(pickup_date) */ * FROM {rows}",
