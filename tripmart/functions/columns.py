@@ -15,8 +15,15 @@ def _column(c: Column | str) -> Column:
 
 
 def to_integer(c: Column | str) -> Column:
-    """64-bit integer, halves rounded away from zero (a bare Spark cast would truncate)."""
-    return F.round(_column(c)).cast("bigint")
+    """64-bit integer, halves rounded away from zero.
+
+    A bare cast truncates, and ``round`` goes through a decimal object per value; this
+    steps the truncated value instead, exactly, in primitive arithmetic.
+    """
+    value = _column(c)
+    whole = value.cast("bigint")
+    rest = value - whole
+    return whole + F.when(rest >= 0.5, 1).when(rest <= -0.5, -1).otherwise(0)
 
 
 def to_numeric(c: Column | str) -> Column:

@@ -34,11 +34,17 @@ def conform(df: DataFrame, contract: Contract, nulled: Iterable[str] = ()) -> Da
     ])
 
 
+def bind(df: DataFrame, name: str, dtype: str) -> Column:
+    """Column ``name`` of ``df`` as ``dtype``, by the rules of :func:`conform`."""
+    found = {n.lower(): (n, t) for n, t in df.dtypes}
+    return _bind(*found[name.lower()], dtype)
+
+
 def _bind(name: str, source: str, target: str) -> Column:
     if target in _INTEGRAL and source.startswith(_FRACTIONAL):
-        return to_integer(F.col(name)).cast(target)
+        return to_integer(name).cast(target)
     if target == "timestamp_ntz" and source == "timestamp":
-        return utc_wall_clock(F.col(name))
+        return utc_wall_clock(name)
     return F.col(name) if source == target else F.col(name).cast(target)
 
 

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.contracts import FACT_TRIP, REVENUE_SUMS, STAGED_FHV
-from tripmart.functions import month_start, service_zone_label, to_integer, to_numeric
+from tripmart.functions import month_start, service_zone_label, to_numeric
 from tripmart.operators.joins import union_services, with_zone
-from tripmart.operators.shape import known_zones
+from tripmart.operators.shape import bind, known_zones
 
 
 def dim_zones(zones: DataFrame) -> DataFrame:
     """The zone dimension from the zone lookup."""
     return zones.select(
-        to_integer("LocationID").alias("location_id"),
+        bind(zones, "LocationID", "bigint").alias("location_id"),
         F.col("Borough").alias("borough"),
         F.col("Zone").alias("zone"),
         service_zone_label("service_zone").alias("service_zone"),

@@ -16,6 +16,7 @@ from tripmart.functions import (
 )
 from tripmart.operators.dedup import keep_first
 from tripmart.operators.sampling import sample_rows
+from tripmart.operators.shape import bind
 
 # Staged column -> source column, by the type it is staged to.
 _TRIP_INTEGERS = {
@@ -84,7 +85,7 @@ def _stage_street_hail(
     trips = keep_first(source.filter(F.col("VendorID").isNotNull()), ["VendorID", service.pickup])
     staged = {
         "trip_id": surrogate_key("VendorID", service.pickup),
-        **{name: to_integer(c) for name, c in _TRIP_INTEGERS.items()},
+        **{name: bind(trips, c, "bigint") for name, c in _TRIP_INTEGERS.items()},
         **{name: to_numeric(name) for name in _TRIP_AMOUNTS},
         "store_and_fwd_flag": F.col("store_and_fwd_flag"),
         "trip_type": trip_type,
@@ -103,7 +104,7 @@ def stage_fhv(source: DataFrame) -> DataFrame:
         "trip_id": surrogate_key("hvfhs_license_num", "dispatching_base_num", "pickup_datetime"),
         **{name: F.col(c) for name, c in _FHV_RENAMED.items()},
         **{name: F.col(name) for name in _FHV_FLAGS},
-        **{name: to_integer(c) for name, c in _FHV_INTEGERS.items()},
+        **{name: bind(source, c, "bigint") for name, c in _FHV_INTEGERS.items()},
         **{name: to_numeric(c) for name, c in _FHV_AMOUNTS.items()},
         **{name: to_wall_clock(c) for name, c in _FHV_TIMES.items()},
     }

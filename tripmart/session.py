@@ -30,6 +30,8 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # recording the Python call site of each column expression costs more than building it
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
 
 
