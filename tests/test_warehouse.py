@@ -1,0 +1,228 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.contracts import (
+    FACT_TRIP,
+    FHV,
+    GREEN,
+    STAGED_FHV,
+    STAGED_TRIP,
+    YELLOW,
+    ZONE_DIMENSION,
+    ZONE_TABLE,
+)
+from tripmart.operators.checks import CheckFailed
+from tripmart.plans import build, marts, staging
+from tripmart.sources.tables import refresh_table
+
+AT = dt.datetime(2019, 3, 10, 2, 30)
+
+
+def green_trip(**values):
+    return {"VendorID": 1, "lpep_pickup_datetime": AT, "PULocationID": 4, "DOLocationID": 7, **values}
+
+
+def yellow_trip(**values):
+    return {"VendorID": 1, "tpep_pickup_datetime": AT, "PULocationID": 4, "DOLocationID": 7, **values}
+
+
+def minutes(n):
+    return [AT + dt.timedelta(minutes=i) for i in range(n)]
+
+
+def test_output_contracts(green, yellow, fhv, zones):
+    assert staging.stage_green(green()).dtypes == list(STAGED_TRIP.columns)
+    assert staging.stage_yellow(yellow()).dtypes == list(STAGED_TRIP.columns)
+    assert marts.fact_fhv_trips(staging.stage_fhv(fhv())).dtypes == list(STAGED_FHV.columns)
+    dim = marts.dim_zones(zones)
+    assert dim.dtypes == list(ZONE_DIMENSION.columns)
+    facts = marts.fact_trips(staging.stage_green(green()), staging.stage_yellow(yellow()), dim)
+    assert facts.dtypes == list(FACT_TRIP.columns)
+    revenue = dict(marts.monthly_zone_revenue(facts).dtypes)
+    assert len(revenue) == 15
+    assert revenue["revenue_month"] == "timestamp_ntz" and revenue["total_monthly_trips"] == "bigint"
+    assert revenue["avg_montly_passenger_count"] == "double"
+    assert {t for c, t in revenue.items() if c.startswith("revenue_monthly_")} == {"decimal(38,9)"}
+    assert revenue["avg_montly_trip_distance"] == "decimal(38,9)"
+
+
+def test_trips_without_vendor_are_dropped(green, yellow):
+    assert staging.stage_green(green(green_trip(VendorID=None))).count() == 0
+    assert staging.stage_yellow(yellow(yellow_trip(VendorID=None), yellow_trip())).count() == 1
+
+
+def test_one_trip_per_vendor_and_pickup_time(green):
+    trips = [green_trip(lpep_pickup_datetime=t, fare_amount=float(f)) for t in minutes(20) for f in (9, 3, 5)]
+    random.Random(1).shuffle(trips)
+    df = green(*trips)
+    for frame in (df, df.repartition(5), df.coalesce(1)):
+        staged = staging.stage_green(frame)
+        assert [r.fare_amount for r in staged.collect()] == [Decimal(3)] * 20
+
+
+def test_trips_without_pickup_time_collapse_per_vendor(green):
+    trips = [green_trip(lpep_pickup_datetime=None, VendorID=v, fare_amount=f) for v in (1, 2) for f in (1.0, 2.0)]
+    staged = staging.stage_green(green(*trips))
+    keys = {r.vendor_id: r.trip_id for r in staged.collect()}
+    expected = staged.sparkSession.sql("SELECT md5('1-') AS a, md5('2-') AS b").first()
+    assert keys == {1: expected.a, 2: expected.b}
+
+
+def test_codes_counts_and_amounts_are_typed(green):
+    cases = list(zip(minutes(3), (1.5, 2.5, -1.5), (1.0, 7.0, None)))
+    df = green(*[
+        green_trip(lpep_pickup_datetime=t, passenger_count=p, payment_type=c, fare_amount=12.57, trip_type=2.0)
+        for t, p, c in cases
+    ])
+    got = [
+        (r.passenger_count, r.payment_type, r.payment_type_description, r.fare_amount, r.trip_type)
+        for r in staging.stage_green(df).orderBy("pickup_ts").collect()
+    ]
+    fare = Decimal("12.570000000")
+    assert got == [(2, 1, "Credit card", fare, 2), (3, 7, None, fare, 2), (-2, None, None, fare, 2)]
+
+
+def test_yellow_trip_type_and_ehail_fee_are_constant(green, yellow):
+    assert staging.stage_yellow(yellow(yellow_trip())).first().trip_type == 1
+    assert staging.stage_green(green(green_trip(ehail_fee=3.0))).first().ehail_fee == 0
+    assert staging.stage_yellow(yellow(yellow_trip())).first().ehail_fee == 0
+
+
+def test_sample_limit_takes_the_lowest_keys(green):
+    df = green(*[green_trip(lpep_pickup_datetime=t) for t in minutes(150)])
+    everything = sorted(r.trip_id for r in staging.stage_green(df).collect())
+    sample = sorted(r.trip_id for r in staging.stage_green(df, sample_limit=100).collect())
+    assert len(everything) == 150 and sample == everything[:100]
+
+
+def test_fhv_rows_are_kept_and_renamed(fhv):
+    trip = {"hvfhs_license_num": "HV3", "dispatching_base_num": None, "pickup_datetime": AT, "trip_miles": 1.25}
+    staged = staging.stage_fhv(fhv(trip, trip))
+    assert staged.count() == 2
+    assert staged.first().hvfhs_license_code == "HV3" and staged.first().trip_distance == Decimal("1.25")
+
+
+def test_dim_zones(zones):
+    got = {r.location_id: r.service_zone for r in marts.dim_zones(zones).collect()}
+    assert got[7] == "Green Zone" and got[4] == "Yellow Zone" and got[90] is None and got[264] == "N/A"
+
+
+def test_facts_need_both_ends_known(green, yellow, zones):
+    ends = [(4, 7), (264, 7), (4, 265), (None, 7), (4, None), (999, 7), (4, 999), (90, 7), (7, 90), (56, 57)]
+    trips = [
+        green_trip(lpep_pickup_datetime=t, PULocationID=p, DOLocationID=d) for t, (p, d) in zip(minutes(10), ends)
+    ]
+    facts = marts.fact_trips(staging.stage_green(green(*trips)), staging.stage_yellow(yellow()), marts.dim_zones(zones))
+    got = {(r.pickup_location_id, r.dropoff_location_id, r.pickup_zone, r.dropoff_borough) for r in facts.collect()}
+    assert got == {(4, 7, "Alphabet City", "Queens"), (56, 57, "Corona", "Queens")}
+
+
+def test_services_may_share_a_key(green, yellow, zones):
+    staged = staging.stage_green(green(green_trip())), staging.stage_yellow(yellow(yellow_trip()))
+    facts = marts.fact_trips(*staged, marts.dim_zones(zones)).collect()
+    assert {r.service_type for r in facts} == {"Green", "Yellow"}
+    assert len({r.trip_id for r in facts}) == 1
+
+
+def test_revenue_groups_by_zone_name_and_month_in_any_session_zone(green, yellow, zones, zone):
+    edge = dt.datetime(2019, 3, 31, 23, 59, 59)
+    trips = [
+        green_trip(PULocationID=56, total_amount=1.1, passenger_count=1.0, trip_distance=1.0),
+        green_trip(PULocationID=57, VendorID=2, total_amount=2.2, passenger_count=2.0, trip_distance=2.0),
+        green_trip(PULocationID=56, VendorID=3, total_amount=None, passenger_count=None, trip_distance=2.0),
+        green_trip(PULocationID=4, lpep_pickup_datetime=edge, total_amount=5.0),
+        green_trip(PULocationID=4, lpep_pickup_datetime=edge + dt.timedelta(seconds=1), total_amount=7.0),
+    ]
+    for name in ("UTC", "America/New_York", "Asia/Tokyo"):
+        with zone(name):
+            facts = marts.fact_trips(
+                staging.stage_green(green(*trips)), staging.stage_yellow(yellow()), marts.dim_zones(zones)
+            )
+            got = {(r.revenue_zone, r.revenue_month): r for r in marts.monthly_zone_revenue(facts).collect()}
+        march, april = dt.datetime(2019, 3, 1), dt.datetime(2019, 4, 1)
+        assert set(got) == {("Corona", march), ("Alphabet City", march), ("Alphabet City", april)}
+        corona = got["Corona", march]
+        assert corona.total_monthly_trips == 3
+        assert corona.revenue_monthly_total_amount == Decimal("3.3")
+        assert corona.avg_montly_passenger_count == 1.5
+        assert corona.avg_montly_trip_distance == Decimal("1.666666667")
+        assert corona.revenue_monthly_ehail_fee == 0
+
+
+def source_tables(database, green, yellow, fhv, zones, extra=()):
+    trips = [
+        green_trip(lpep_pickup_datetime=t, total_amount=1.0, payment_type=float(i % 8)) for i, t in enumerate(minutes(40))
+    ]
+    refresh_table(green(*trips, *extra), f"{database}.{GREEN.table}")
+    trips = [yellow_trip(tpep_pickup_datetime=t, total_amount=2.0, PULocationID=56) for t in minutes(30)]
+    refresh_table(yellow(*trips), f"{database}.{YELLOW.table}")
+    refresh_table(fhv({"hvfhs_license_num": "HV3", "pickup_datetime": AT}), f"{database}.{FHV.table}")
+    refresh_table(zones, f"{database}.{ZONE_TABLE}")
+
+
+def test_build_stores_the_marts_and_reports(spark, database, green, yellow, fhv, zones):
+    source_tables(database, green, yellow, fhv, zones)
+    report = build.build(spark, database)
+    status = {(r.table_name, r.check_name, r.column_name): (r.failures, r.status) for r in report.collect()}
+    assert status["stg_green_taxi_trips", "accepted_values", "payment_type"] == (2, "warn")
+    assert {s for k, (_, s) in status.items() if k[1] != "accepted_values"} == {"pass"}
+    facts, revenue = (spark.table(f"{database}.{name}") for name in (build.FACT, build.REVENUE))
+    assert facts.count() == 70 == revenue.agg(F.sum("total_monthly_trips")).first()[0]
+    assert spark.table(f"{database}.{build.FACT_FHV}").count() == 1
+    assert spark.table("stg_green_taxi_trips").count() == 40
+    build.build(spark, database)
+    assert spark.table(f"{database}.{build.FACT}").count() == 70
+
+
+def test_build_with_a_sample(spark, database, green, yellow, fhv, zones):
+    source_tables(database, green, yellow, fhv, zones)
+    build.build(spark, database, sample_limit=10)
+    counts = spark.table(f"{database}.{build.FACT}").groupBy("service_type").count()
+    assert {tuple(r) for r in counts.collect()} == {("Green", 10), ("Yellow", 30)}
+
+
+def test_build_fails_on_an_error_check(spark, database, green, yellow, fhv, zones):
+    unpaid = green_trip(lpep_pickup_datetime=dt.datetime(2020, 1, 1), total_amount=None)
+    source_tables(database, green, yellow, fhv, zones, extra=[unpaid])
+    with pytest.raises(CheckFailed, match="revenue_monthly_total_amount not_null: 1 rows"):
+        build.build(spark, database)
+
+
+def test_staging_reads_and_joins_as_planned(green, yellow, zones, plan, spark, database):
+    refresh_table(yellow(yellow_trip()), f"{database}.{YELLOW.table}")
+    refresh_table(green(green_trip()), f"{database}.{GREEN.table}")
+    refresh_table(zones, f"{database}.{ZONE_TABLE}")
+    dim = refresh_table(marts.dim_zones(spark.table(f"{database}.{ZONE_TABLE}")), f"{database}.{build.ZONES}")
+    staged = [
+        staging.stage_green(spark.table(f"{database}.{GREEN.table}")),
+        staging.stage_yellow(spark.table(f"{database}.{YELLOW.table}")),
+    ]
+    text = plan(marts.monthly_zone_revenue(marts.fact_trips(*staged, dim)))
+    assert "PushedFilters: [IsNotNull(VendorID)]" in text
+    assert text.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "EvalPython" not in text
+    # the trip key is never null, so counting it does not compute it
+    assert "md5" not in text
+    assert text.count("partial_sum") > 0
+
+
+def test_report_runs_each_deduplication_once(spark, database, green, yellow, plan, zones):
+    refresh_table(green(*[green_trip(lpep_pickup_datetime=t) for t in minutes(9)]), f"{database}.{GREEN.table}")
+    refresh_table(yellow(yellow_trip()), f"{database}.{YELLOW.table}")
+    from tripmart.operators import checks
+
+    green_staged = staging.stage_green(spark.table(f"{database}.{GREEN.table}"))
+    yellow_staged = staging.stage_yellow(spark.table(f"{database}.{YELLOW.table}"))
+    results = checks.report(build.staging_checks(green_staged, yellow_staged))
+    results.collect()
+    assert "ReusedExchange" in plan(results) or "ReusedExchange" in _final_plan(results)
+
+
+def _final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
