@@ -126,6 +126,24 @@ def test_zone_join_is_the_same_broadcast_or_shuffled(spark, zones, plan):
     assert shuffled and all(r[0] in {1, 4, 7, 56, 57, 90, 264, 265} for r in shuffled)
 
 
+def test_a_hot_zone_is_split_when_zones_are_too_many_to_broadcast(spark):
+    trips = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 20_000).alias("pickup_location_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    dim = spark.range(20_000).selectExpr("id AS location_id", "'b' AS borough", "string(id) AS zone")
+    with (
+        setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1000000"),
+        setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "1000000"),
+        setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5"),
+    ):
+        joined = with_zone(trips, dim, "pickup")
+        assert len(joined.collect()) == 300_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_orphans_ignore_null_keys(spark):
     child = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
     parent = spark.createDataFrame([(1,), (None,)], "p bigint")

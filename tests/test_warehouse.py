@@ -19,6 +19,8 @@ from tripmart.contracts import (
 )
 from tripmart.operators.checks import CheckFailed
 from tripmart.plans import build, marts, staging
+from tripmart.session import scratch_folder
+from tripmart.sources import files
 from tripmart.sources.tables import refresh_table
 
 AT = dt.datetime(2019, 3, 10, 2, 30)
@@ -180,6 +182,20 @@ def test_build_stores_the_marts_and_reports(spark, database, green, yellow, fhv,
     assert spark.table(f"{database}.{build.FACT}").count() == 70
 
 
+def test_ingest_fills_the_source_tables(spark, green, yellow, fhv, zones):
+    root = scratch_folder(spark)
+    database = f"ingested_{root[-8:]}"
+    for month, at in (("2020-01", dt.datetime(2020, 1, 5)), ("2020-02", dt.datetime(2020, 2, 5))):
+        green(green_trip(lpep_pickup_datetime=at)).write.parquet(files.landing_path(root, GREEN, month))
+        yellow(yellow_trip(tpep_pickup_datetime=at)).write.parquet(files.landing_path(root, YELLOW, month))
+    fhv({"hvfhs_license_num": "HV3"}).write.parquet(files.landing_path(root, FHV, "2020-01"))
+    files.write_csv(zones, f"{root}/zones.csv")
+    for _ in range(2):
+        build.ingest(spark, root, f"{root}/zones.csv", root, "2020-02", first="2020-01", database=database)
+    counts = {t: spark.table(f"{database}.{t}").count() for t in (GREEN.table, YELLOW.table, FHV.table, ZONE_TABLE)}
+    assert list(counts.values()) == [2, 2, 1, 8]
+
+
 def test_build_with_a_sample(spark, database, green, yellow, fhv, zones):
     source_tables(database, green, yellow, fhv, zones)
     build.build(spark, database, sample_limit=10)

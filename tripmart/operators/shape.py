@@ -28,10 +28,15 @@ def conform(df: DataFrame, contract: Contract, nulled: Iterable[str] = ()) -> Da
     missing = [n for n in contract.names if n not in nulled and n.lower() not in found]
     if missing:
         raise ValueError(f"input lacks contract columns: {', '.join(missing)}")
-    return df.select(*[
-        (F.lit(None).cast(dtype) if name in nulled else _bind(*found[name.lower()], dtype)).alias(name)
-        for name, dtype in contract.columns
-    ])
+    columns = []
+    for name, dtype in contract.columns:
+        if name in nulled:
+            columns.append(F.lit(None).cast(dtype).alias(name))
+        elif found[name.lower()] == (name, dtype):
+            columns.append(name)
+        else:
+            columns.append(_bind(*found[name.lower()], dtype).alias(name))
+    return df.select(*columns)
 
 
 def bind(df: DataFrame, name: str, dtype: str) -> Column:

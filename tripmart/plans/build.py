@@ -1,18 +1,45 @@
-"""Build the whole warehouse in one database and check it."""
+"""Fill the source tables, build the whole warehouse in one database and check it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.contracts import DATABASE, FHV, GREEN, PAYMENT_TYPES, YELLOW, ZONE_TABLE
+from tripmart.contracts import DATABASE, FHV, GREEN, PAYMENT_TYPES, SERVICES, YELLOW, ZONE_TABLE
 from tripmart.operators import checks
 from tripmart.operators.checks import ERROR, WARN, Check
 from tripmart.plans import marts, staging
-from tripmart.sources.tables import define_view, refresh_table, source
+from tripmart.sources.tables import (
+    create_trip_table,
+    define_view,
+    load_months,
+    load_zones,
+    refresh_table,
+    source,
+)
 
 FACT, FACT_FHV, ZONES, REVENUE = "fact_trips", "fact_fhv_trips", "dim_zones", "monthly_zone_revenue_cube"
 
 
+def ingest(
+    spark: SparkSession,
+    landing: str,
+    zone_csv: str,
+    root: str,
+    last: str,
+    first: str | None = None,
+    database: str = DATABASE,
+) -> None:
+    """Landed files -> the four source tables: every service month by month, zones once.
+
+    A service that ended earlier stops at its own last month.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for service in SERVICES:
+        table = create_trip_table(spark, service, database)
+        load_months(spark, landing, service, table, first, min(last, service.last_month or last))
+    load_zones(spark, zone_csv, root, database)
+
+
 def build(spark: SparkSession, database: str = DATABASE, sample_limit: int | None = None) -> DataFrame:
     """Source tables -> staging views -> mart tables; returns the check report.
 

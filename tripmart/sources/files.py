@@ -49,11 +49,6 @@ def read_month(spark: SparkSession, landing: str, service: Service, month: str)
     return conform(spark.read.parquet(landing_path(landing, service, month)), service.source, service.drifting)
 
 
-def read_raw_month(spark: SparkSession, root: str, service: Service, month: str) -> DataFrame:
-    """One month of the raw zone, bound to the service's contract."""
-    return conform(spark.read.parquet(raw_path(root, service, month)), service.source, service.drifting)
-
-
 def write_raw(df: DataFrame, root: str, service: Service, month: str) -> str:
     """Put a month into the raw zone, replacing an earlier delivery of it."""
     path = raw_path(root, service, month)

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import RETENTION_DAYS, Contract, Service
+from tripmart.contracts import RETENTION_DAYS, ZONE_FILE, ZONE_SOURCE, ZONE_TABLE, Contract, Service
 from tripmart.functions import pickup_date
 from tripmart.operators.shape import conform
 from tripmart.session import setting
@@ -66,6 +66,7 @@ def create_trip_table(spark: SparkSession, service: Service, database: str) -> s
 def load_month(df: DataFrame, service: Service, table: str, month: str) -> None:
     """Replace one delivered month in a trip table; running it again changes nothing.
 
+    ``df`` may have drifted types: it is bound to the service's contract here.
     Static overwrite drops every date of the delivery before writing, so dates that a
     redelivery no longer holds disappear, while a stray date of another month stays inside
     its own delivery and cannot overwrite that other month.
@@ -93,7 +94,7 @@ def load_months(
     if last is None:
         raise ValueError("an open-ended service needs a last month")
     for month in months_between(first or service.first_month, last):
-        load_month(files.read_month(spark, landing, service, month), service, table, month)
+        load_month(files.read_file(spark, files.landing_path(landing, service, month)), service, table, month)
     return spark.table(table)
 
 
@@ -102,10 +103,16 @@ def promote(spark: SparkSession, root: str, service: Service, table: str) -> Dat
     listed = spark.read.schema(service.source.without(*service.drifting).ddl).parquet(files.raw_glob(root, service))
     named = re.compile(rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet")
     for month in sorted({named.search(path).group(1) for path in listed.inputFiles()}):
-        load_month(files.read_raw_month(spark, root, service, month), service, table, month)
+        load_month(files.read_file(spark, files.raw_path(root, service, month)), service, table, month)
     return spark.table(table)
 
 
+def load_zones(spark: SparkSession, csv: str, root: str, database: str) -> DataFrame:
+    """Zone lookup CSV -> Parquet copy in the raw zone -> untyped table, replaced as a whole."""
+    copy = files.csv_to_parquet(spark, csv, f"{root}/raw/{ZONE_FILE}", ZONE_SOURCE)
+    return refresh_table(copy, f"{database}.{ZONE_TABLE}")
+
+
 def rebuild(spark: SparkSession, root: str, service: Service, database: str) -> DataFrame:
     """Full refresh of a trip table from everything promoted, in one job."""
     name = f"{database}.{service.table}"

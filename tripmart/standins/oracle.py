@@ -183,6 +183,10 @@ REPORT = " union all ".join((
     ),
 ))
 
+ZONE_ROWS = (
+    "select cast(location_id as integer) as LocationID, borough as Borough, zone as Zone, "
+    f"replace(service_zone, 'Green', 'Boro') as service_zone from ({CUSTOMERS})"
+)
 
 ORACLE = {
     "monthly_zone_revenue": REVENUE,
@@ -243,10 +247,8 @@ ORACLE = {
     ),
     "read_whole_file": "select * from orders",
     "csv_roundtrip": "select * from events",
-    "csv_inferred": (
-        "select cast(location_id as integer) as LocationID, borough as Borough, zone as Zone, "
-        f"replace(service_zone, 'Green', 'Boro') as service_zone from ({CUSTOMERS})"
-    ),
+    "csv_inferred": ZONE_ROWS,
+    "load_zones": ZONE_ROWS,
     "csv_to_parquet": "select * from orders",
     "read_month": (
         f"select * exclude (source_month, pickup_date) replace (cast(null as bigint) as airport_fee) "

@@ -223,6 +223,12 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.csv_to_parquet(spark, f"{folder}/orders.csv", f"{folder}/orders.parquet", ORDERS)
 
 
+def load_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_folder(spark)
+    files.write_csv(frames.customer_zones(spark, sf_dir), f"{root}/zones.csv")
+    return tables.load_zones(spark, f"{root}/zones.csv", root, scratch_database(spark))
+
+
 def read_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = _land(spark, sf_dir)
     return files.read_month(spark, landing, FHV, frames.MONTHS[1])
@@ -399,6 +405,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_inferred": csv_inferred,
     "csv_to_parquet": csv_to_parquet,
+    "load_zones": load_zones,
     "read_month": read_month,
     "load_months": load_months,
     "promote_raw": promote_raw,
