@@ -30,6 +30,10 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # never group on a partitioning by part of the key, where one value may be hot
+        "spark.sql.requireAllClusterKeysForDistribution": "true",
+        # a session that runs the models in turn needs more than the default 100 compiled stages
+        "spark.sql.codegen.cache.maxEntries": "1000",
         # recording the Python call site of each column expression costs more than building it
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
