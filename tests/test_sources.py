@@ -193,12 +193,20 @@ def test_a_time_window_prunes_dates(spark, database, trips, plan):
     assert "2019-01-02" in filters and "2019-01-03" in filters
 
 
-def test_promote_takes_every_raw_month(spark, database, folder, trips):
+def test_promote_takes_new_raw_months_and_named_ones(spark, database, folder, trips):
+    table = tables.create_trip_table(spark, YELLOW, database)
+
+    def days(**named):
+        return [(m, d) for m, d, _ in contents(tables.promote(spark, folder, YELLOW, table, **named))]
+
+    assert days() == []
     files.write_raw(trips(*on(1)), folder, YELLOW, "2019-01")
+    assert days() == [("2019-01", "2019-01-01")]
     files.write_raw(trips(*on(1, month=2), *on(31)), folder, YELLOW, "2019-02")
-    table = tables.create_trip_table(spark, YELLOW, database)
-    days = [(m, d) for m, d, _ in contents(tables.promote(spark, folder, YELLOW, table))]
-    assert days == [("2019-01", "2019-01-01"), ("2019-02", "2019-01-31"), ("2019-02", "2019-02-01")]
+    files.write_raw(trips(*on(5)), folder, YELLOW, "2019-01")
+    second = [("2019-02", "2019-01-31"), ("2019-02", "2019-02-01")]
+    assert days() == [("2019-01", "2019-01-01"), *second]
+    assert days(months=["2019-01"]) == [("2019-01", "2019-01-05"), *second]
 
 
 def test_streaming_promotes_each_file_once_and_rebuild_reads_it(spark, database, folder, trips):

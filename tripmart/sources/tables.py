@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,15 +99,36 @@ def load_months(
     return spark.table(table)
 
 
-def promote(spark: SparkSession, root: str, service: Service, table: str) -> DataFrame:
-    """Load every month present in the raw zone into the service's table."""
-    listed = spark.read.schema(service.source.without(*service.drifting).ddl).parquet(files.raw_glob(root, service))
-    named = re.compile(rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet")
-    for month in sorted({named.search(path).group(1) for path in listed.inputFiles()}):
+def promote(
+    spark: SparkSession, root: str, service: Service, table: str, months: Iterable[str] | None = None
+) -> DataFrame:
+    """Load raw months into the service's table: those it does not hold yet, or ``months``.
+
+    Name a month to load its redelivery. Only file and partition names are listed here.
+    """
+    wanted = sorted(_raw_months(spark, root, service) - _loaded_months(spark, table) if months is None else months)
+    for month in wanted:
         load_month(files.read_file(spark, files.raw_path(root, service, month)), service, table, month)
     return spark.table(table)
 
 
+def _raw_months(spark: SparkSession, root: str, service: Service) -> set[str]:
+    declared = service.source.without(*service.drifting)
+    try:
+        listed = spark.read.schema(declared.ddl).parquet(files.raw_glob(root, service))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+    named = re.compile(rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet")
+    return {named.search(path).group(1) for path in listed.inputFiles()}
+
+
+def _loaded_months(spark: SparkSession, table: str) -> set[str]:
+    month = F.regexp_extract("partition", r"source_month=(\d{4}-\d{2})", 1)
+    return {row.month for row in spark.sql(f"SHOW PARTITIONS {table}").select(month.alias("month")).distinct().collect()}
+
+
 def load_zones(spark: SparkSession, csv: str, root: str, database: str) -> DataFrame:
     """Zone lookup CSV -> Parquet copy in the raw zone -> untyped table, replaced as a whole."""
     copy = files.csv_to_parquet(spark, csv, f"{root}/raw/{ZONE_FILE}", ZONE_SOURCE)

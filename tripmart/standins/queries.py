@@ -243,11 +243,13 @@ def load_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promote_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Promote after each delivery; the first month is then delivered again and named."""
     root = scratch_folder(spark)
+    table = tables.create_trip_table(spark, FHV, scratch_database(spark))
     for month in frames.MONTHS:
         files.write_raw(frames.fhv_delivery(spark, sf_dir, month), root, FHV, month)
-    table = tables.create_trip_table(spark, FHV, scratch_database(spark))
-    return _by_partition(tables.promote(spark, root, FHV, table))
+        tables.promote(spark, root, FHV, table)
+    return _by_partition(tables.promote(spark, root, FHV, table, months=frames.MONTHS[:1]))
 
 
 def promote_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
