@@ -38,6 +38,8 @@ HEADLINE = (
     "promote_stream",
     "check_unique",
     "check_relationships",
+    "check_report",
+    "build_warehouse",
 )
 
 

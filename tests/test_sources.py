@@ -276,6 +276,18 @@ def test_replace_then_append_on_a_table(spark, database):
     assert spark.table(target.name).count() == 7
 
 
+def test_a_month_and_a_csv_go_into_their_own_tables(spark, database, folder, trips):
+    assert relational.month_table(YELLOW, "2019-01") == "yellow_taxi_2019_01"
+    trips(*on(1, 2)).write.parquet(files.landing_path(folder, YELLOW, "2019-01"))
+    target = relational.TableTarget(f"{database}.{relational.month_table(YELLOW, '2019-01')}")
+    for _ in range(2):
+        relational.load_month(spark, folder, YELLOW, "2019-01", target)
+    assert [r.airport_fee for r in spark.table(target.name).collect()] == [5, 5]
+    files.write_csv(trips(*on(3)), f"{folder}/trips")
+    relational.load_csv(spark, f"{folder}/trips", YELLOW.source, target)
+    assert [r.tpep_pickup_datetime for r in spark.table(target.name).collect()] == on(3)
+
+
 def test_jdbc_options():
     target = relational.JdbcTarget("jdbc:postgresql://h/db", "trips", {"user": "u", "password": "p"})
     assert target.options() == {

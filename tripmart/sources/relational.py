@@ -8,9 +8,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-from tripmart.contracts import JDBC_BATCH_ROWS
+from tripmart.contracts import JDBC_BATCH_ROWS, Contract, Service
+from tripmart.sources import files
 
 
 class Target(Protocol):
@@ -74,3 +75,19 @@ def replace_then_append(df: DataFrame, target: Target) -> None:
 def replace(df: DataFrame, target: Target) -> None:
     """The same in a single overwrite."""
     target.save(df, "overwrite")
+
+
+def month_table(service: Service, month: str) -> str:
+    """Name of a relational table that holds one month of a service."""
+    return f"{service.folder}_{month.replace('-', '_')}"
+
+
+def load_month(spark: SparkSession, landing: str, service: Service, month: str, target: Target) -> None:
+    """A landed month, as delivered, into its own table."""
+    replace_then_append(files.read_file(spark, files.landing_path(landing, service, month)), target)
+
+
+def load_csv(spark: SparkSession, path: str, contract: Contract, target: Target) -> None:
+    """A CSV of any size into a table; timestamps are parsed by the contract. The text is
+    read in splits, so nothing bounds the rows but the target."""
+    replace_then_append(files.read_csv(spark, path, contract), target)

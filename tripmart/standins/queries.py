@@ -302,6 +302,25 @@ def replace_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target.name)
 
 
+def load_month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, database = _land(spark, sf_dir), scratch_database(spark)
+    loaded = []
+    for month in frames.MONTHS:
+        target = relational.TableTarget(f"{database}.{relational.month_table(FHV, month)}")
+        relational.load_month(spark, landing, FHV, month, target)
+        loaded.append(spark.table(target.name).withColumn("table_month", F.lit(month)))
+    return loaded[0].unionByName(loaded[1]).groupBy("table_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.max("pickup_datetime").alias("last_pickup")
+    )
+
+
+def load_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, target = f"{scratch_folder(spark)}/events.csv", relational.TableTarget(f"{scratch_database(spark)}.events")
+    files.write_csv(frames.table(spark, sf_dir, "events"), path)
+    relational.load_csv(spark, path, EVENTS, target)
+    return spark.table(target.name)
+
+
 def _land(spark: SparkSession, sf_dir: str) -> str:
     landing = scratch_folder(spark)
     for month in frames.MONTHS:
@@ -419,6 +438,8 @@ QUERIES = {
     "table_refresh": table_refresh,
     "view_scan": view_scan,
     "replace_append": replace_append,
+    "load_month_tables": load_month_tables,
+    "load_csv_table": load_csv_table,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_accepted": check_accepted,
