@@ -191,6 +191,7 @@ def test_a_time_window_prunes_dates(spark, database, trips, plan):
     text = plan(df)
     filters = next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
     assert "2019-01-02" in filters and "2019-01-03" in filters
+    assert f"GreaterThanOrEqual({YELLOW.pickup},2019-01-02T00:00)" in text
 
 
 def test_promote_takes_new_raw_months_and_named_ones(spark, database, folder, trips):
@@ -226,6 +227,10 @@ def test_streaming_promotes_each_file_once_and_rebuild_reads_it(spark, database,
         assert rebuilt.dtypes == list(YELLOW.table_contract.columns)
         days = [(m, d) for m, d, _ in contents(rebuilt)]
         assert days == [("2019-01", "2019-01-01"), ("2019-01", "2019-01-02"), ("2019-02", "2019-02-03")]
+    table = f"{database}.{YELLOW.table}"
+    tables.load_month(trips(*on(9)), YELLOW, table, "2019-01")
+    kept = tables.expire_partitions(spark, table, dt.date(2019, 2, 3), days=10)
+    assert [(m, d) for m, d, _ in contents(kept)] == [("2019-02", "2019-02-03")]
 
 
 # ------------------------------------------------------------------ other tables
@@ -309,6 +314,30 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert first != second and first.startswith(shared) and second.startswith(shared)
 
 
+class Unset:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext, self.master, self.checkpoint = self, self, master, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint = folder
+
+
+def test_only_a_local_session_may_lack_a_shared_folder():
+    local = Unset("local[2]")
+    assert scratch_folder(local).startswith(local.checkpoint)
+    assert scratch_folder(local).startswith(local.checkpoint)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Unset("yarn"))
+
+
 def test_settings_grow_with_the_input_within_bounds():
     def partitions(size):
         return int(settings(size, 64)["spark.sql.shuffle.partitions"])

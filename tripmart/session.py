@@ -42,14 +42,15 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name under the shared folder in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; there it is set to a temporary folder.
+    Only a local session may go without that setting; it gets a temporary checkpoint folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tripmart-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/tripmart-{uuid.uuid4().hex}"
 
 
