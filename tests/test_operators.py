@@ -11,7 +11,7 @@ from tripmart.operators import sampling
 from tripmart.operators.dedup import keep_first
 from tripmart.operators.joins import orphans, union_services, with_zone
 from tripmart.operators.shape import between_ts, conform, replace_with_null, unexpired
-from tripmart.session import setting
+from tripmart.session import setting, settings
 
 
 def skewed(spark, n=3000, seed=3):
@@ -69,6 +69,14 @@ def test_keep_first_limits_groups_before_the_shuffle(spark, plan):
     assert "Exchange" in text and "EvalPython" not in text
 
 
+def test_keep_first_is_not_grouped_on_part_of_its_key(spark, plan):
+    _, df = skewed(spark)
+    key = "spark.sql.requireAllClusterKeysForDistribution"
+    assert settings(0, 1)[key] == "true"
+    with setting(spark, key, "true"):
+        assert "hashpartitioning(__key_hash" in plan(keep_first(df.repartition("k1"), ["k1", "k2"]))
+
+
 def test_conform_binds_by_name_rounds_and_nulls(spark):
     contract = Contract((("A", "bigint"), ("b", "timestamp_ntz"), ("c", "double"), ("d", "string")))
     df = spark.sql("SELECT 'x' AS D, 2.5D AS a, TIMESTAMP '2020-01-01 00:00:00Z' AS B, 9 AS c, 1 AS extra")
