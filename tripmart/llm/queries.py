@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, quality_model, quality_rules, sharding
+from tripmart.llm import mixing, near_dups, packing, quality_model, quality_rules, sharding, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", crc)
@@ -39,6 +44,30 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.cluster(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    found = warc.read(archives, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.without_repeats(docs, keep=["doc_id"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
@@ -48,8 +77,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_warc": op8_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {}
