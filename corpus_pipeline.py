@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, quality_model
+from tripmart.llm import mixing, near_dups, packing, quality_model, suffix_dedup
 from tripmart.llm.shared import written
 
 THRESHOLD = 0.3
@@ -21,12 +21,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_model.classify(docs, labels).where(F.col("score") >= THRESHOLD).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id; rows without an id stay."""
+    found = near_dups.cluster(docs)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(written(first), F.col("doc_id") == F.col("_kept"), "left_semi")
+    return kept.union(docs.where(F.col("doc_id").isNull()))
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier text (or an earlier place) has."""
+    cut = suffix_dedup.without_repeats(docs, as_text=True)
+    return cut.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them."""
+    """Every row as often as the mix of sources takes it."""
     return mixing.repeated(docs)
 
 
-STAGES = [("quality classifier", quality), ("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in the packed sequences."""
+    return packing.pack(docs, with_ids=False)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("minhash near-dedup", near_dedup),
+    ("suffix-array dedup", passage_dedup),
+    ("entropy-balanced mix", mix),
+    ("best-fit packing", pack),
+]
 #: Learnt scores, minhash links and packing have no SQL form; tests hold the stages against plain code.
 ORACLE_SQL = None
 

@@ -121,18 +121,10 @@ def _rounded(cap: int, names: list[str]):
     return diffuse
 
 
-def mix(
-    docs: DataFrame,
-    key: str = "doc_id",
-    weights: tuple[int, ...] = WEIGHTS,
-    share: float = SHARE,
-    cap: int = CAP,
-    carry: tuple[str, ...] = (),
+def _mixed(
+    docs: DataFrame, key: str, weights: tuple[int, ...], share: float, cap: int, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Return ``key``, ``source``, ``size``, ``source_size``, ``target``, ``rate`` and ``copies``, a row per document.
-
-    Columns named in ``carry`` go along with their row under the same name, for ``repeated``.
-    """
+    """The columns of ``mix``, and those named in ``carry`` behind ``_with_``."""
     sized = docs.select(
         F.col(key).alias("_key"),
         F.col("source").cast("string").alias("source"),
@@ -170,17 +162,22 @@ def mix(
         _lookup(goal, source).alias("target"),
         "rate",
         "copies",
-        *[F.col(f"_with_{c}").alias(c) for c in carry],
+        *[f"_with_{c}" for c in carry],
     )
 
 
-def repeated(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as its copies say, with the columns of ``docs``."""
-    key = options.get("key", "doc_id")
-    carry = tuple(c for c in docs.columns if c not in (key, "source"))
-    mixed = mix(docs, carry=carry, **options)
-    return (
-        mixed.where("copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*docs.columns)
-    )
+def mix(
+    docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP
+) -> DataFrame:
+    """Return ``key``, ``source``, ``size``, ``source_size``, ``target``, ``rate`` and ``copies``, a row per document."""
+    return _mixed(docs, key, weights, share, cap)
+
+
+def repeated(
+    docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP
+) -> DataFrame:
+    """The mix itself: the rows and columns of ``docs``, each row as often as its copies say."""
+    mixed = _mixed(docs, key, weights, share, cap, tuple(docs.columns))
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
+    rows = mixed.where("copies > 0").select(*[f"_with_{c}" for c in docs.columns], copies)
+    return rows.select(*[F.col(f"_with_{c}").alias(c) for c in docs.columns])

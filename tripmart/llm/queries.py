@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, near_dups, packing, quality_model, quality_rules, sharding, suffix_dedup, warc
+from tripmart.llm import (
+    html_text,
+    mixing,
+    near_dups,
+    neighbours,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +30,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -44,6 +60,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.cluster(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
@@ -77,9 +98,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_html_extraction": op6_html_extraction,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
