@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the input and the cores; ``BENCH_RUNS`` (default
+``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the input and the cores, ``BENCH_SHARED_DIR`` the
+folder for intermediate files; ``BENCH_RUNS`` (default
 3) the timed passes over all queries, which follow an untimed one. Each value is the median
 and includes building the plan; results go to a no-op sink, so that every column of every
 row is computed and none is shipped to the driver.
@@ -48,6 +49,8 @@ def main() -> None:
     builder = SparkSession.builder.master(f"local[{CPUS}]").appName("tripmart-bench")
     for key, value in settings(size, CPUS).items():
         builder = builder.config(key, value)
+    # every executor must reach this folder; on one machine the default will do
+    builder = builder.config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "/tmp/tripmart-bench"))
     spark = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

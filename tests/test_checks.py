@@ -43,6 +43,12 @@ def test_freshness_counts_the_boundary_as_fresh(spark, zone, hours, status):
             assert checks.stale(df, "t", as_of, hours).count() == (status == "error")
 
 
+def test_freshness_is_judged_to_the_fraction_of_a_second(spark):
+    df = spark.createDataFrame([(dt.datetime(2019, 3, 10, 1),)], "t timestamp_ntz")
+    late = dt.datetime(2019, 3, 10, 7, 0, 0, 900_000)
+    assert tuple(checks.freshness(df, "t", late, 6).first())[2:] == (6 * 3600, "error")
+
+
 def test_freshness_of_an_empty_table_is_an_error(spark):
     df = spark.createDataFrame([], "t timestamp_ntz")
     assert checks.freshness(df, "t", dt.datetime(2024, 1, 1)).first().status == "error"

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripmart.contracts import FHV, GREEN, YELLOW, Contract
 from tripmart.operators.shape import between_ts
-from tripmart.session import scratch_folder, setting, settings
+from tripmart.session import scratch_database, scratch_folder, setting, settings
 from tripmart.sources import files, relational, tables
 from tripmart.streaming import promote_available
 
@@ -55,6 +56,31 @@ def test_csv_keeps_microseconds_quotes_and_nulls(spark, folder):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
 
 
+@pytest.mark.parametrize("line", ["abc,x,1.5,abc", "2019-01-01 00:00:00,x", '2019-01-01 00:00:00,"x\ny",1.5,1'])
+def test_csv_that_does_not_fit_its_contract_raises(spark, folder, line):
+    os.makedirs(folder)
+    with open(f"{folder}/t.csv", "w") as out:
+        out.write(f"t,s,d,n\n{line}\n")
+    for action in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("s").collect()):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+            action(files.read_csv(spark, f"{folder}/t.csv", NARROW))
+
+
+def test_csv_takes_both_forms_of_a_timestamp(spark, folder):
+    os.makedirs(folder)
+    with open(f"{folder}/t.csv", "w") as out:
+        out.write("t,s,d,n\n2019-01-02T03:04:05,x,1.5,1\n2019-01-02 03:04:05.000006,y,,\n")
+    at = dt.datetime(2019, 1, 2, 3, 4, 5)
+    got = [r.t for r in files.read_csv(spark, f"{folder}/t.csv", NARROW).orderBy("s").collect()]
+    assert got == [at, at.replace(microsecond=6)]
+
+
+def test_csv_refuses_to_write_line_breaks(spark, folder):
+    df = spark.createDataFrame([("a\nb", 1)], "s string, n int")
+    with pytest.raises(Exception, match="line break in column s"):
+        files.write_csv(df, f"{folder}/t")
+
+
 def test_csv_to_parquet_converts_or_refuses(spark, folder, zones):
     files.write_csv(zones, f"{folder}/zones.csv")
     copy = files.csv_to_parquet(spark, f"{folder}/zones.csv", f"{folder}/zones.parquet")
@@ -233,9 +259,128 @@ def test_streaming_promotes_each_file_once_and_rebuild_reads_it(spark, database,
     assert [(m, d) for m, d, _ in contents(kept)] == [("2019-02", "2019-02-03")]
 
 
+def stream(spark, folder):
+    promote_available(spark, folder, YELLOW, f"{folder}/checkpoint").awaitTermination()
+    return sorted((r.source_month, r.tpep_pickup_datetime.day) for r in files.read_service(spark, folder, YELLOW).collect())
+
+
+def test_streaming_replaces_a_redelivered_month(spark, folder, trips):
+    files.write_raw(trips(*on(1, 2)), folder, YELLOW, "2019-01")
+    assert stream(spark, folder) == [("2019-01", 1), ("2019-01", 2)]
+    files.write_raw(trips(*on(2)), folder, YELLOW, "2019-01")
+    assert stream(spark, folder) == [("2019-01", 2)]
+    assert stream(spark, folder) == [("2019-01", 2)]
+
+
+def test_streaming_takes_files_with_older_times(spark, folder, trips):
+    for month, day, age in (("2019-01", 1, 0), ("2019-03", 3, 0), ("2019-02", 2, 10)):
+        path = files.write_raw(trips(*on(day)), folder, YELLOW, month)
+        for file in os.listdir(path):
+            past = os.path.getmtime(f"{path}/{file}") - age * 86_400
+            os.utime(f"{path}/{file}", (past, past))
+        got = stream(spark, folder)
+    assert got == [("2019-01", 1), ("2019-02", 2), ("2019-03", 3)]
+
+
+def test_streaming_binds_drifted_files(spark, folder, trips):
+    drifted = trips(*on(1)).withColumn("passenger_count", F.lit(3)).withColumn("payment_type", F.lit(2.0))
+    files.write_raw(drifted, folder, YELLOW, "2019-01")
+    files.write_raw(trips(*on(2)), folder, YELLOW, "2019-02")
+    assert stream(spark, folder) == [("2019-01", 1), ("2019-02", 2)]
+    first = files.read_service(spark, folder, YELLOW).filter("source_month = '2019-01'").first()
+    assert (first.passenger_count, first.payment_type) == (3.0, 2)
+
+
+def test_streaming_finds_a_file_replaced_under_its_name(spark, folder, trips):
+    def deliver(*days):
+        files.write_raw(trips(*on(*days)).coalesce(1), f"{folder}/next", YELLOW, "2019-01")
+        made = files.raw_path(f"{folder}/next", YELLOW, "2019-01")
+        part = next(f for f in os.listdir(made) if f.startswith("part-"))
+        path = files.raw_path(folder, YELLOW, "2019-01")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        os.replace(f"{made}/{part}", path)
+
+    deliver(1, 2)
+    assert stream(spark, folder) == [("2019-01", 1), ("2019-01", 2)]
+    deliver(3)
+    assert stream(spark, folder) == [("2019-01", 3)]
+
+
+def test_a_raw_name_without_a_month_is_refused_by_name(spark, database, folder, trips):
+    trips(*on(1)).write.parquet(files.raw_path(folder, YELLOW, "latest"))
+    with pytest.raises(ValueError, match="latest"):
+        files.raw_months(spark, folder, YELLOW)
+    with pytest.raises(ValueError, match="latest"):
+        tables.promote(spark, folder, YELLOW, tables.create_trip_table(spark, YELLOW, database))
+    with pytest.raises(ValueError, match="latest"):
+        stream(spark, folder)
+
+
+def test_what_has_expired_or_was_empty_is_not_promoted_again(spark, database, folder, trips):
+    table = tables.create_trip_table(spark, YELLOW, database)
+    files.write_raw(trips(*on(1, 9)), folder, YELLOW, "2019-01")
+    files.write_raw(trips(), folder, YELLOW, "2019-02")
+    assert tables.promote(spark, folder, YELLOW, table).count() == 2
+    assert tables.expire_partitions(spark, table, dt.date(2019, 1, 12), days=5).count() == 1
+    assert tables.promote(spark, folder, YELLOW, table).count() == 1
+    assert spark.table(f"{table}_months").count() == 2
+
+
+def test_every_load_can_apply_retention(spark, database, folder, trips):
+    files.write_raw(trips(*on(1, 9), None), folder, YELLOW, "2019-01")
+    retention = {"as_of": dt.date(2019, 1, 12), "days": 5}
+    table = tables.create_trip_table(spark, YELLOW, database)
+    assert tables.promote(spark, folder, YELLOW, table, **retention).count() == 2
+    files.write_promoted(spark, folder, YELLOW, "2019-01")
+    assert tables.rebuild(spark, folder, YELLOW, database, **retention).count() == 2
+
+
 # ------------------------------------------------------------------ other tables
 
 
+def test_a_named_external_table_may_be_defined_again(spark, database, folder, zones):
+    zones.write.parquet(f"{folder}/zones")
+    for _ in range(2):
+        assert tables.external_table(spark, f"{database}.found", f"{folder}/zones").count() == 8
+    tables.refresh_table(zones, f"{database}.own")
+    spark.sql(f"CREATE TABLE {database}.managed (a INT) USING parquet")
+    with pytest.raises(ValueError, match="managed"):
+        tables.external_table(spark, f"{database}.managed", f"{folder}/zones")
+
+
+def test_a_failing_refresh_keeps_the_old_rows(spark, database, zones):
+    name = f"{database}.zones"
+    tables.refresh_table(zones, name)
+    broken = zones.withColumn("Zone", F.raise_error(F.lit("no such zone")).cast("string"))
+    with pytest.raises(Exception, match="no such zone"):
+        tables.refresh_table(broken, name)
+    assert spark.table(name).count() == 8
+
+
+def test_a_refreshed_table_is_partitioned_and_leaves_no_old_folder(spark, database, trips, plan):
+    name = f"{database}.trips"
+    for days in ((1, 2, 3), (1, 2)):
+        rows = trips(*on(*days), None).withColumn("day", F.to_date(YELLOW.pickup))
+        tables.refresh_table(rows, name, ("day",))
+    assert spark.table(name).count() == 3 and spark.table(name).filter("day IS NULL").count() == 1
+    one = spark.table(name).filter("day = DATE '2019-01-02'")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(day" in plan(one)
+    assert {f.split("/trips-")[1].split("/")[0] for f in spark.table(name).inputFiles()} == {
+        f.split("trips-")[1] for f in _folders(spark, database) if "trips-" in f
+    }
+
+
+def _folders(spark, database):
+    home = spark.sql(f"DESCRIBE DATABASE {database}").filter("info_name = 'Location'").first().info_value
+    return os.listdir(home.removeprefix("file:"))
+
+
+def test_a_catalog_view_is_seen_by_other_sessions(spark, database, zones):
+    tables.refresh_table(zones, f"{database}.zones")
+    tables.catalog_view(spark, f"{database}.near", f"SELECT * FROM {database}.zones WHERE LocationID < 10")
+    assert spark.newSession().table(f"{database}.near").count() == 3
+
+
 def test_external_table_with_and_without_a_contract(spark, database, folder, zones):
     zones.write.parquet(f"{folder}/zones")
     found = tables.external_table(spark, f"{database}.found", f"{folder}/zones")
@@ -301,7 +446,6 @@ def test_jdbc_options():
         "url": "jdbc:postgresql://h/db",
         "dbtable": "trips",
         "batchsize": "100000",
-        "numPartitions": "8",
     }
 
 
@@ -314,6 +458,16 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert first != second and first.startswith(shared) and second.startswith(shared)
 
 
+def test_a_labelled_folder_and_database_replace_their_earlier_ones(spark):
+    folder = scratch_folder(spark, "label")
+    spark.range(3).write.parquet(folder)
+    assert scratch_folder(spark, "label") == folder and not os.path.exists(folder.removeprefix("file:"))
+    for _ in range(2):
+        database = scratch_database(spark, "label")
+        tables.refresh_table(spark.range(3), f"{database}.numbers")
+    assert spark.table(f"{database}.numbers").count() == 3
+
+
 class Unset:
     """A session without ``spark.checkpoint.dir``."""
 
@@ -338,13 +492,13 @@ def test_only_a_local_session_may_lack_a_shared_folder():
         scratch_folder(Unset("yarn"))
 
 
-def test_settings_grow_with_the_input_within_bounds():
+def test_settings_grow_with_the_input():
     def partitions(size):
         return int(settings(size, 64)["spark.sql.shuffle.partitions"])
 
     assert partitions(0) == 64
     assert partitions(1 << 40) == 4096
-    assert partitions(100 << 40) == 50_000
+    assert partitions(100 << 40) == 409_600
 
 
 def test_timestamps_survive_files_in_any_zone(spark, folder, zone):

@@ -169,7 +169,7 @@ def source_tables(database, green, yellow, fhv, zones, extra=()):
     refresh_table(zones, f"{database}.{ZONE_TABLE}")
 
 
-def test_build_stores_the_marts_and_reports(spark, database, green, yellow, fhv, zones):
+def test_build_stores_the_marts_and_reports(spark, database, green, yellow, fhv, zones, plan):
     source_tables(database, green, yellow, fhv, zones)
     report = build.build(spark, database)
     status = {(r.table_name, r.check_name, r.column_name): (r.failures, r.status) for r in report.collect()}
@@ -178,7 +178,10 @@ def test_build_stores_the_marts_and_reports(spark, database, green, yellow, fhv,
     facts, revenue = (spark.table(f"{database}.{name}") for name in (build.FACT, build.REVENUE))
     assert facts.count() == 70 == revenue.agg(F.sum("total_monthly_trips")).first()[0]
     assert spark.table(f"{database}.{build.FACT_FHV}").count() == 1
-    assert spark.table("stg_green_taxi_trips").count() == 40
+    for name, rows in ((build.STG_GREEN, 40), (build.STG_YELLOW, 30), (build.STG_FHV, 1)):
+        assert spark.newSession().table(f"{database}.{name}").count() == rows
+    march = facts.filter("pickup_month = DATE '2019-03-01'")
+    assert march.count() == 70 and "PartitionFilters: [isnotnull(pickup_month" in plan(march)
     build.build(spark, database)
     assert spark.table(f"{database}.{build.FACT}").count() == 70
 
@@ -229,6 +232,21 @@ def test_staging_reads_and_joins_as_planned(green, yellow, zones, plan, spark, d
     assert text.count("partial_sum") > 0
 
 
+def test_a_build_deduplicates_each_service_once(spark, database, green, yellow, fhv, zones, monkeypatch):
+    plans = []
+    store = build.refresh_table
+
+    def recorded(df, name, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name, *args)
+
+    monkeypatch.setattr(build, "refresh_table", recorded)
+    source_tables(database, green, yellow, fhv, zones)
+    build.build(spark, database)
+    assert sum("Window [row_number()" in p for p in plans) == 2
+    assert sum(p.count("Window [row_number()") for p in plans) == 2
+
+
 def test_report_runs_each_deduplication_once(spark, database, green, yellow):
     trips = [green_trip(lpep_pickup_datetime=t, payment_type=float(i)) for i, t in enumerate(minutes(9))]
     refresh_table(green(*trips), f"{database}.{GREEN.table}")

@@ -236,7 +236,6 @@ BORO_LABEL, GREEN_LABEL = "Boro", "Green"
 DATABASE = "trips_data_all"
 RETENTION_DAYS = 10000
 FRESHNESS_HOURS = 6
-SAMPLE_ROWS = 100
 ADHOC_ROWS = 500
 PREVIEW_ROWS = 5
 JDBC_BATCH_ROWS = 100000

@@ -48,12 +48,13 @@ def relationships(child: DataFrame, key: str, parent: DataFrame, parent_key: str
 def freshness(df: DataFrame, loaded_at: str, as_of: dt.datetime, hours: int = FRESHNESS_HOURS) -> DataFrame:
     """One row: the newest ``loaded_at``, its age at ``as_of`` and ``pass`` or ``error``.
 
-    An empty table has no newest row and is an error.
+    The age is shown in whole seconds but judged exactly. An empty table has no newest row
+    and is an error.
     """
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("as_of"))
     newest = df.agg(F.max(loaded_at).alias("max_loaded_at")).withColumn("as_of", now)
-    fresh = F.col("age_seconds") <= hours * 3600
+    fresh = F.col("max_loaded_at") >= now - F.make_interval(hours=F.lit(hours))
     return newest.withColumn("age_seconds", age).withColumn(
         "status", F.when(fresh, F.lit("pass")).otherwise(F.lit("error"))
     )

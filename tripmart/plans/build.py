@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.contracts import DATABASE, FHV, GREEN, PAYMENT_TYPES, SERVICES, YELLOW, ZONE_TABLE
+from tripmart.contracts import DATABASE, FHV, GREEN, PAYMENT_TYPES, RETENTION_DAYS, SERVICES, YELLOW, ZONE_TABLE
+from tripmart.functions import month_start
 from tripmart.operators import checks
 from tripmart.operators.checks import ERROR, WARN, Check
 from tripmart.plans import marts, staging
 from tripmart.sources.tables import (
+    catalog_view,
     create_trip_table,
-    define_view,
     load_months,
     load_zones,
     refresh_table,
     source,
 )
 
+STG_GREEN, STG_YELLOW, STG_FHV = "stg_green_taxi_trips", "stg_yellow_taxi_trips", "stg_fhv_trips"
 FACT, FACT_FHV, ZONES, REVENUE = "fact_trips", "fact_fhv_trips", "dim_zones", "monthly_zone_revenue_cube"
 
 
@@ -28,34 +32,38 @@ def ingest(
     last: str,
     first: str | None = None,
     database: str = DATABASE,
+    as_of: dt.date | None = None,
+    days: int = RETENTION_DAYS,
 ) -> None:
     """Landed files -> the four source tables: every service month by month, zones once.
 
-    A service that ended earlier stops at its own last month.
+    A service that ended earlier stops at its own last month. With ``as_of``, days that
+    retention has expired by then are not loaded.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for service in SERVICES:
         table = create_trip_table(spark, service, database)
-        load_months(spark, landing, service, table, first, min(last, service.last_month or last))
+        load_months(spark, landing, service, table, first, min(last, service.last_month or last), as_of, days)
     load_zones(spark, zone_csv, root, database)
 
 
 def build(spark: SparkSession, database: str = DATABASE, sample_limit: int | None = None) -> DataFrame:
     """Source tables -> staging views -> mart tables; returns the check report.
 
-    Staging stays lazy. Each mart is written once and read back, so the revenue table
-    groups the stored facts and does not repeat the deduplication behind them. Raises
-    :class:`tripmart.operators.checks.CheckFailed` if a check of severity ``error`` fails.
+    Both street-hail services are stored once staged, so that facts and checks share one
+    deduplication; the staging views are catalog views over what is stored. Facts are
+    partitioned by month of pickup. Raises :class:`tripmart.operators.checks.CheckFailed`
+    if a check of severity ``error`` fails.
     """
-    green = define_view(
-        staging.stage_green(source(spark, database, GREEN.table), sample_limit), "stg_green_taxi_trips"
-    )
-    yellow = define_view(staging.stage_yellow(source(spark, database, YELLOW.table)), "stg_yellow_taxi_trips")
-    fhv = define_view(staging.stage_fhv(source(spark, database, FHV.table)), "stg_fhv_trips")
+    green = _staged(spark, staging.stage_green(source(spark, database, GREEN.table), sample_limit), database, STG_GREEN)
+    yellow = _staged(spark, staging.stage_yellow(source(spark, database, YELLOW.table)), database, STG_YELLOW)
 
     zones = refresh_table(marts.dim_zones(source(spark, database, ZONE_TABLE)), f"{database}.{ZONES}")
-    facts = refresh_table(marts.fact_trips(green, yellow, zones), f"{database}.{FACT}")
-    refresh_table(marts.fact_fhv_trips(fhv), f"{database}.{FACT_FHV}")
+    facts = store_facts(marts.fact_trips(green, yellow, zones), f"{database}.{FACT}")
+    refresh_table(
+        marts.fact_fhv_trips(staging.stage_fhv(source(spark, database, FHV.table))), f"{database}.{FACT_FHV}"
+    )
+    catalog_view(spark, f"{database}.{STG_FHV}", f"SELECT * FROM {database}.{FACT_FHV}")
     revenue = refresh_table(marts.monthly_zone_revenue(facts), f"{database}.{REVENUE}")
 
     results = checks.report(staging_checks(green, yellow) + mart_checks(facts, revenue))
@@ -64,8 +72,20 @@ def build(spark: SparkSession, database: str = DATABASE, sample_limit: int | Non
     return results
 
 
+def _staged(spark: SparkSession, staged: DataFrame, database: str, name: str) -> DataFrame:
+    """Store a staged service and define its view."""
+    refresh_table(staged, f"{database}.{name}_stored")
+    return catalog_view(spark, f"{database}.{name}", f"SELECT * FROM {database}.{name}_stored")
+
+
+def store_facts(facts: DataFrame, name: str) -> DataFrame:
+    """Facts as a table partitioned by ``pickup_month``, a hot month in several files."""
+    dated = facts.withColumn("pickup_month", month_start("pickup_ts").cast("date"))
+    return refresh_table(dated.hint("rebalance", "pickup_month"), name, ("pickup_month",))
+
+
 def staging_checks(green: DataFrame, yellow: DataFrame) -> list[Check]:
-    tables = {"stg_green_taxi_trips": green, "stg_yellow_taxi_trips": yellow}
+    tables = {STG_GREEN: green, STG_YELLOW: yellow}
     keys = [
         check
         for name, df in tables.items()
@@ -75,7 +95,7 @@ def staging_checks(green: DataFrame, yellow: DataFrame) -> list[Check]:
         )
     ]
     codes = checks.accepted_values(green, "payment_type", PAYMENT_TYPES)
-    return [*keys, Check("stg_green_taxi_trips", "accepted_values", "payment_type", WARN, codes)]
+    return [*keys, Check(STG_GREEN, "accepted_values", "payment_type", WARN, codes)]
 
 
 def mart_checks(facts: DataFrame, revenue: DataFrame) -> list[Check]:

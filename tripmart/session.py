@@ -16,11 +16,10 @@ MIB = 1024 * 1024
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Spark SQL settings for a job over ``input_bytes`` on ``cores``.
 
-    The shuffle gets one partition per 256 MiB of input, never fewer than the cores and
-    never more than 50,000 (the block count grows with the square). Adaptive execution
-    merges what turns out small and splits what turns out skewed.
+    The shuffle gets one partition per 256 MiB of input and never fewer than the cores.
+    Adaptive execution merges what turns out small and splits what turns out skewed.
     """
-    partitions = min(max(cores, math.ceil(input_bytes / (256 * MIB))), 50_000)
+    partitions = max(cores, math.ceil(input_bytes / (256 * MIB)))
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(partitions),
@@ -39,10 +38,12 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-def scratch_folder(spark: SparkSession) -> str:
+def scratch_folder(spark: SparkSession, label: str | None = None) -> str:
     """A new folder name under the shared folder in ``spark.checkpoint.dir``.
 
     Only a local session may go without that setting; it gets a temporary checkpoint folder.
+    A labelled folder is the application's only one of that label: what an earlier call put
+    there goes.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -51,16 +52,28 @@ def scratch_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tripmart-")
         context.setCheckpointDir(shared)
-    return f"{shared.rstrip('/')}/tripmart-{uuid.uuid4().hex}"
+    if label is None:
+        return f"{shared.rstrip('/')}/tripmart-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/tripmart-{context.applicationId}-{label}"
+    remove(spark, folder)
+    return folder
 
 
-def scratch_database(spark: SparkSession) -> str:
-    """A new database whose tables live in a new scratch folder."""
-    name = f"tripmart_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(spark)}'")
+def scratch_database(spark: SparkSession, label: str | None = None) -> str:
+    """A new database whose tables live in a scratch folder; a label replaces its earlier one."""
+    name = f"tripmart_{label or uuid.uuid4().hex}"
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    folder = scratch_folder(spark, None if label is None else f"{label}-tables")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
     return name
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file in whatever store the path names, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Change one session setting for the duration of a block."""

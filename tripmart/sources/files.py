@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +14,23 @@ from tripmart.operators.shape import conform
 # stops at milliseconds; doubled quotes are what other CSV readers expect.
 CSV_OPTIONS = {
     "header": "true",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd[' ']['T']HH:mm:ss[.SSSSSS]",
     "quote": '"',
     "escape": '"',
 }
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
+MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
+
+
+def checked_month(label: str, origin: str = "") -> str:
+    """``label``, if it is a ``YYYY-MM`` month."""
+    if not MONTH.fullmatch(label):
+        raise ValueError(f"not a YYYY-MM month: {label}" + f" ({origin})" * bool(origin))
+    return label
+
+
 def landing_path(landing: str, service: Service, month: str) -> str:
     return f"{landing}/{service.landing_prefix}{month}.parquet"
 
@@ -67,23 +79,58 @@ def read_service(spark: SparkSession, root: str, service: Service) -> DataFrame:
     return conform(stored, service.source.plus(("source_month", "string")), service.drifting)
 
 
-def month_from_path(service: Service) -> Column:
-    """``source_month`` of a raw-zone row: from the file name, never from the data."""
-    pattern = rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet"
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+def write_promoted(spark: SparkSession, root: str, service: Service, month: str) -> None:
+    """Replace a month in the service's folder by what the raw zone holds of it now."""
+    raw = spark.read.parquet(raw_path(root, service, checked_month(month)))
+    rows = conform(raw, service.source, service.drifting)
+    rows.write.mode("overwrite").parquet(f"{service_folder(root, service)}/source_month={month}")
+
+
+def month_from_path(service: Service, path: Column) -> Column:
+    """The month label of a raw-zone file: from its name, never from the data."""
+    return F.regexp_extract(path, rf"{service.raw_prefix}([^/]*)\.parquet(?:/|$)", 1)
+
+
+def raw_months(spark: SparkSession, root: str, service: Service) -> dict[str, int]:
+    """The delivered months and when each was last changed (milliseconds; 0 where a store does not know).
+
+    One name per month is listed, however many files a month has.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(raw_glob(root, service))
+    listed = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or ()
+    found = {}
+    for status in listed:
+        path = status.getPath()
+        label = path.getName().removeprefix(service.raw_prefix).removesuffix(".parquet")
+        found[checked_month(label, path.toString())] = status.getModificationTime()
+    return found
 
 
 def read_csv(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """CSV with a header. Without a contract the types are inferred, at the price of a
-    second pass over the text."""
+    second pass over the text. With one, a cell or row that does not fit it raises, also
+    when a query needs no or few columns."""
     reader = spark.read.options(**CSV_OPTIONS)
     if contract is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(contract.ddl).option("enforceSchema", False).csv(path)
+    strict = reader.options(mode="FAILFAST", enforceSchema=False).schema(contract.ddl).csv(path)
+    # a generator needs all its columns, so every cell is parsed whatever the query needs
+    return strict.select(F.inline(F.array(F.struct(*[F.col(f"`{n}`") for n in contract.names]))))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    """One line per row: a line break inside a text raises, since a reader in splits cannot see it."""
+    texts = [
+        F.when(
+            F.col(f"`{name}`").rlike("[\r\n]"), F.raise_error(F.lit(f"a line break in column {name}")).cast("string")
+        )
+        .otherwise(F.col(f"`{name}`"))
+        .alias(name)
+        if dtype == "string"
+        else F.col(f"`{name}`")
+        for name, dtype in df.dtypes
+    ]
+    df.select(*texts).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, contract: Contract | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from tripmart.contracts import JDBC_BATCH_ROWS, Contract, Service
-from tripmart.sources import files
+from tripmart.sources import files, tables
 
 
 class Target(Protocol):
@@ -23,12 +23,18 @@ class TableTarget:
     name: str
 
     def save(self, df: DataFrame, mode: str) -> None:
-        df.write.mode(mode).format("parquet").saveAsTable(self.name)
+        if mode == "overwrite":
+            tables.refresh_table(df, self.name)
+        else:
+            df.write.mode(mode).format("parquet").saveAsTable(self.name)
 
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """A table behind a JDBC URL. ``connections`` bounds how many tasks insert at a time.
+    """A table behind a JDBC URL.
+
+    ``connections`` bounds how many tasks insert at a time, if given; the rows are then dealt
+    to that many tasks by a shuffle, and the work before it keeps its own width.
 
     A task inserts its partition in one transaction, so a task lost before its commit
     leaves nothing behind. One lost between commit and report is run again and inserts
@@ -39,7 +45,7 @@ class JdbcTarget:
     table: str
     properties: dict[str, str] = field(default_factory=dict)
     batch_rows: int = JDBC_BATCH_ROWS
-    connections: int = 8
+    connections: int | None = None
 
     def options(self) -> dict[str, str]:
         return {
@@ -47,11 +53,11 @@ class JdbcTarget:
             "url": self.url,
             "dbtable": self.table,
             "batchsize": str(self.batch_rows),
-            "numPartitions": str(self.connections),
         }
 
     def writer(self, df: DataFrame, mode: str) -> DataFrameWriter:
-        return df.write.mode(mode).format("jdbc").options(**self.options())
+        dealt = df.repartition(self.connections) if self.connections else df
+        return dealt.write.mode(mode).format("jdbc").options(**self.options())
 
     def save(self, df: DataFrame, mode: str) -> None:
         self.writer(df, mode).save()

@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import RETENTION_DAYS, ZONE_FILE, ZONE_SOURCE, ZONE_TABLE, Contract, Service
 from tripmart.functions import pickup_date
-from tripmart.operators.shape import conform
-from tripmart.session import setting
+from tripmart.operators.shape import conform, unexpired
+from tripmart.session import remove, setting
 from tripmart.sources import files
 
-_MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
+PARTITIONS_PER_STATEMENT = 500
 
 
 def external_table(spark: SparkSession, name: str, location: str, contract: Contract | None = None) -> DataFrame:
-    """Define a table over Parquet files in place; the schema comes from the files if not given."""
+    """Define a table over Parquet files in place, anew if it is defined already; the schema
+    comes from the files if not given. The files stay untouched."""
     columns = f"({contract.ddl})" if contract else ""
+    if spark.catalog.tableExists(name):
+        if _description(spark, name).get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} is a table of its own, not one over files in place")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} {columns} USING parquet LOCATION '{location}'")
     return spark.table(name)
 
@@ -31,15 +35,51 @@ def source(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def define_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a lazy frame for SQL; nothing is computed."""
+    """Name a lazy frame for this session's SQL; nothing is computed."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
-def refresh_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace a table by ``df`` and read it back, which also cuts the lineage."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+def catalog_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """Define a view that other sessions see too; ``name`` and ``sql`` name databases."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
+def refresh_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace a table by ``df`` and read it back, which also cuts the lineage.
+
+    The rows go into a folder of their own first, and the name is moved to them when all are
+    there: a refresh that fails leaves the table as it was. Only the move itself, two
+    catalog commands, is not atomic.
+    """
+    spark = df.sparkSession
+    database, _, table = name.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    home = _description(spark, database, of="DATABASE")["Location"].rstrip("/")
+    folder = f"{home}/{table}-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by).parquet(folder)
+    except Exception:
+        remove(spark, folder)
+        raise
+    old = _description(spark, name).get("Location", "") if spark.catalog.tableExists(name) else ""
+    columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{folder}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if old.startswith(f"{home}/{table}-"):
+        remove(spark, old)
+    return spark.table(name)
+
+
+def _description(spark: SparkSession, name: str, of: str = "TABLE") -> dict[str, str]:
+    keys = {"TABLE": "col_name", "DATABASE": "info_name"}[of]
+    values = {"TABLE": "data_type", "DATABASE": "info_value"}[of]
+    described = spark.sql(f"DESCRIBE {of} EXTENDED {name}")
+    return {row[keys]: row[values] for row in described.collect() if row[keys] in ("Location", "Type")}
 
 
 def empty_like(df: DataFrame, name: str) -> DataFrame:
@@ -64,29 +104,40 @@ def create_trip_table(spark: SparkSession, service: Service, database: str) -> s
     return name
 
 
-def load_month(df: DataFrame, service: Service, table: str, month: str) -> None:
+def load_month(
+    df: DataFrame, service: Service, table: str, month: str, as_of: dt.date | None = None, days: int = RETENTION_DAYS
+) -> None:
     """Replace one delivered month in a trip table; running it again changes nothing.
 
-    ``df`` may have drifted types: it is bound to the service's contract here.
+    ``df`` may have drifted types: it is bound to the service's contract here. With ``as_of``
+    the days that retention has expired by then are left out.
     Static overwrite drops every date of the delivery before writing, so dates that a
     redelivery no longer holds disappear, while a stray date of another month stays inside
     its own delivery and cannot overwrite that other month. Rows are sorted by pickup time
     within each date (the write sorts by date anyway), so a time window skips row groups.
     """
-    if not _MONTH.fullmatch(month):
-        raise ValueError(f"not a YYYY-MM month: {month}")
+    files.checked_month(month)
     spark = df.sparkSession
-    rows = _dated(conform(df, service.source, service.drifting), service)
+    rows = _retained(_dated(conform(df, service.source, service.drifting), service), as_of, days)
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION (source_month = '{month}', pickup_date) "
             f"SELECT /*+ REBALANCE(pickup_date) */ * FROM {{rows}} SORT BY pickup_date, {service.pickup}",
             rows=rows,
         )
+    if month not in _consumed(spark, table):
+        spark.sql(f"INSERT INTO {_record(table)} VALUES ('{month}')")
 
 
 def load_months(
-    spark: SparkSession, landing: str, service: Service, table: str, first: str | None = None, last: str | None = None
+    spark: SparkSession,
+    landing: str,
+    service: Service,
+    table: str,
+    first: str | None = None,
+    last: str | None = None,
+    as_of: dt.date | None = None,
+    days: int = RETENTION_DAYS,
 ) -> DataFrame:
     """Backfill landed months ``first`` to ``last`` (the service's own range by default).
 
@@ -96,38 +147,40 @@ def load_months(
     if last is None:
         raise ValueError("an open-ended service needs a last month")
     for month in months_between(first or service.first_month, last):
-        load_month(files.read_file(spark, files.landing_path(landing, service, month)), service, table, month)
+        rows = files.read_file(spark, files.landing_path(landing, service, month))
+        load_month(rows, service, table, month, as_of, days)
     return spark.table(table)
 
 
 def promote(
-    spark: SparkSession, root: str, service: Service, table: str, months: Iterable[str] | None = None
+    spark: SparkSession,
+    root: str,
+    service: Service,
+    table: str,
+    months: Iterable[str] | None = None,
+    as_of: dt.date | None = None,
+    days: int = RETENTION_DAYS,
 ) -> DataFrame:
-    """Load raw months into the service's table: those it does not hold yet, or ``months``.
+    """Load raw months into the service's table: those it has never taken, or ``months``.
 
-    Name a month to load its redelivery. Only file and partition names are listed here.
+    Taken months are on record beside the table, so a month that was empty or has expired is
+    not new again. Name a month to load its redelivery. One name per raw month is listed.
     """
-    wanted = sorted(_raw_months(spark, root, service) - _loaded_months(spark, table) if months is None else months)
+    wanted = sorted(files.raw_months(spark, root, service).keys() - _consumed(spark, table) if months is None else months)
     for month in wanted:
-        load_month(files.read_file(spark, files.raw_path(root, service, month)), service, table, month)
+        rows = files.read_file(spark, files.raw_path(root, service, month))
+        load_month(rows, service, table, month, as_of, days)
     return spark.table(table)
 
 
-def _raw_months(spark: SparkSession, root: str, service: Service) -> set[str]:
-    declared = service.source.without(*service.drifting)
-    try:
-        listed = spark.read.schema(declared.ddl).parquet(files.raw_glob(root, service))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return set()
-        raise
-    named = re.compile(rf"{service.raw_prefix}(\d{{4}}-\d{{2}})\.parquet")
-    return {named.search(path).group(1) for path in listed.inputFiles()}
+def _record(table: str) -> str:
+    return f"{table}_months"
 
 
-def _loaded_months(spark: SparkSession, table: str) -> set[str]:
-    month = F.regexp_extract("partition", r"source_month=(\d{4}-\d{2})", 1)
-    return {row.month for row in spark.sql(f"SHOW PARTITIONS {table}").select(month.alias("month")).distinct().collect()}
+def _consumed(spark: SparkSession, table: str) -> set[str]:
+    """The months that a trip table has taken."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_record(table)} (source_month STRING) USING parquet")
+    return {row.source_month for row in spark.table(_record(table)).distinct().collect()}
 
 
 def load_zones(spark: SparkSession, csv: str, root: str, database: str) -> DataFrame:
@@ -136,20 +189,27 @@ def load_zones(spark: SparkSession, csv: str, root: str, database: str) -> DataF
     return refresh_table(copy, f"{database}.{ZONE_TABLE}")
 
 
-def rebuild(spark: SparkSession, root: str, service: Service, database: str) -> DataFrame:
+def rebuild(
+    spark: SparkSession,
+    root: str,
+    service: Service,
+    database: str,
+    as_of: dt.date | None = None,
+    days: int = RETENTION_DAYS,
+) -> DataFrame:
     """Full refresh of a trip table from everything promoted, in one job."""
     name = f"{database}.{service.table}"
-    rows = _dated(files.read_service(spark, root, service), service)
-    (
+    rows = _retained(_dated(files.read_service(spark, root, service), service), as_of, days)
+    dealt = (
         rows.select(*service.table_contract.names)
         .hint("rebalance", "source_month", "pickup_date")
         .sortWithinPartitions("source_month", "pickup_date", service.pickup)
-        .write.mode("overwrite")
-        .partitionBy("source_month", "pickup_date")
-        .format("parquet")
-        .saveAsTable(name)
     )
-    return spark.table(name)
+    return refresh_table(dealt, name, ("source_month", "pickup_date"))
+
+
+def _retained(df: DataFrame, as_of: dt.date | None, days: int) -> DataFrame:
+    return df if as_of is None else unexpired(df, "pickup_date", as_of, days)
 
 
 def _dated(df: DataFrame, service: Service) -> DataFrame:
@@ -170,8 +230,9 @@ def expire_partitions(spark: SparkSession, table: str, as_of: dt.date, days: int
         .filter((F.col("date") != "") & (F.col("date") <= cutoff.isoformat()))
         .collect()
     )
-    if expired:
-        specs = ", ".join(f"PARTITION (source_month = '{p.month}', pickup_date = DATE '{p.date}')" for p in expired)
+    for start in range(0, len(expired), PARTITIONS_PER_STATEMENT):
+        batch = expired[start : start + PARTITIONS_PER_STATEMENT]
+        specs = ", ".join(f"PARTITION (source_month = '{p.month}', pickup_date = DATE '{p.date}')" for p in batch)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return spark.table(table)
 

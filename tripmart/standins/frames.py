@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tripmart.contracts import FHV_SOURCE, GREEN_SOURCE, YELLOW_SOURCE, Contract
 
 _TRIP = {
-    "VendorID": "l_suppkey",
+    "VendorID": "nullif(l_suppkey, 3)",
     "store_and_fwd_flag": "l_returnflag",
     "RatecodeID": "nullif(l_linenumber, 3)",
-    "PULocationID": "s_nationkey",
+    "PULocationID": "nullif(s_nationkey, 5)",
     "DOLocationID": "c_nationkey",
     "passenger_count": "l_quantity * 0.5 - 2",
     "trip_distance": "l_quantity",

@@ -1,12 +1,12 @@
 """The same queries in DuckDB SQL, written against the driver's tables.
 
-The column mappings of :mod:`tripmart.standins.frames` and the fixed values are shared
-with the Spark side. Everything computed from them is spelled out here a second time.
+Only the column mappings of :mod:`tripmart.standins.frames` and the source contracts are
+shared with the Spark side. Everything computed from them is spelled out here a second time.
 """
 
 from __future__ import annotations
 
-from tripmart.contracts import FHV_SOURCE, GREEN_SOURCE, PAYMENT_TYPES, REVENUE_SUMS, YELLOW_SOURCE, Contract
+from tripmart.contracts import FHV_SOURCE, GREEN_SOURCE, YELLOW_SOURCE, Contract
 from tripmart.standins import frames
 
 _TYPES = {"timestamp_ntz": "timestamp", "string": "varchar"}
@@ -28,84 +28,83 @@ def _text(column: str) -> str:
     return f"coalesce(cast({column} as varchar), '')"
 
 
-def _amounts(columns: dict[str, str]) -> str:
-    return ", ".join(f"cast({text} as decimal(38,9)) as {name}" for name, text in columns.items())
-
-
 def _label(code: str) -> str:
-    cases = " ".join(f"when {value} then '{text}'" for value, text in PAYMENT_TYPES.items())
-    return f"case {code} {cases} end"
-
-
-_TRIP_AMOUNTS = _amounts({
-    "ehail_fee": "0",
-    **{
-        name: name
-        for name in (
-            "trip_distance fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_amount "
-            "congestion_surcharge"
-        ).split()
-    },
-})
+    return f"""case {code}
+        when 1 then 'Credit card'
+        when 2 then 'Cash'
+        when 3 then 'No charge'
+        when 4 then 'Dispute'
+        when 5 then 'Unknown'
+        when 6 then 'Voided trip'
+    end"""
 
 
 def _staged(columns: dict[str, str], contract: Contract, status: str, prefix: str, trip_type: str) -> str:
     pickup, dropoff = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
-    order = ", ".join(f"{n} nulls first" for n in contract.names if n not in ("VendorID", pickup))
-    rounded = ", ".join(
-        f"cast(round({text}) as bigint) as {name}"
-        for name, text in (
-            ("vendor_id", "VendorID"),
-            ("rate_code_id", "RatecodeID"),
-            ("pickup_location_id", "PULocationID"),
-            ("dropoff_location_id", "DOLocationID"),
-            ("passenger_count", "passenger_count"),
-            ("payment_type", "payment_type"),
-            ("trip_type", trip_type),
-        )
-    )
-    return (
-        f"select md5({_text('VendorID')} || '-' || {_text(pickup)}) as trip_id, {rounded}, {_TRIP_AMOUNTS}, "
-        f"store_and_fwd_flag, {_label('payment_type')} as payment_type_description, "
-        f"{pickup} as pickup_ts, {dropoff} as dropoff_ts "
-        f"from (select *, row_number() over (partition by VendorID, {pickup} order by {order}) as rn "
-        f"from (select {_mapped(columns, contract)} from {frames.LOCATED} where l_linestatus = '{status}') "
-        "where VendorID is not null) where rn = 1"
+    others = ", ".join(f"{n} nulls first" for n in contract.names if n not in ("VendorID", pickup))
+    return f"""
+    select
+        md5({_text("VendorID")} || '-' || {_text(pickup)}) as trip_id,
+        cast(round(VendorID) as bigint) as vendor_id,
+        cast(round(RatecodeID) as bigint) as rate_code_id,
+        cast(round(PULocationID) as bigint) as pickup_location_id,
+        cast(round(DOLocationID) as bigint) as dropoff_location_id,
+        {pickup} as pickup_ts,
+        {dropoff} as dropoff_ts,
+        store_and_fwd_flag,
+        cast(round(passenger_count) as bigint) as passenger_count,
+        cast(trip_distance as decimal(38,9)) as trip_distance,
+        cast(round({trip_type}) as bigint) as trip_type,
+        cast(fare_amount as decimal(38,9)) as fare_amount,
+        cast(extra as decimal(38,9)) as extra,
+        cast(mta_tax as decimal(38,9)) as mta_tax,
+        cast(tip_amount as decimal(38,9)) as tip_amount,
+        cast(tolls_amount as decimal(38,9)) as tolls_amount,
+        cast(0 as decimal(38,9)) as ehail_fee,
+        cast(improvement_surcharge as decimal(38,9)) as improvement_surcharge,
+        cast(total_amount as decimal(38,9)) as total_amount,
+        cast(round(payment_type) as bigint) as payment_type,
+        {_label("payment_type")} as payment_type_description,
+        cast(congestion_surcharge as decimal(38,9)) as congestion_surcharge
+    from (
+        select *, row_number() over (partition by VendorID, {pickup} order by {others}) as rn
+        from (select {_mapped(columns, contract)} from {frames.LOCATED} where l_linestatus = '{status}')
+        where VendorID is not null
     )
+    where rn = 1"""
 
 
 GREEN = _staged(frames.GREEN_COLUMNS, GREEN_SOURCE, "O", "lpep", "trip_type")
 YELLOW = _staged(frames.YELLOW_COLUMNS, YELLOW_SOURCE, "F", "tpep", "1")
 
-_FHV_AMOUNTS = _amounts({
-    "trip_distance": "trip_miles",
-    **{
-        name: name
-        for name in (
-            "trip_time base_passenger_fare tolls bcf sales_tax congestion_surcharge driver_pay"
-        ).split()
-    },
-})
-_FHV_RENAMED = ", ".join(
-    f"{source} as {name}"
-    for source, name in (
-        ("hvfhs_license_num", "hvfhs_license_code"),
-        ("dispatching_base_num", "dispatching_base_code"),
-        ("originating_base_num", "originating_base_code"),
-        ("PULocationID", "pickup_location_id"),
-        ("DOLocationID", "dropoff_location_id"),
-        ("request_datetime", "request_ts"),
-        ("on_scene_datetime", "on_scene_ts"),
-        ("pickup_datetime", "pickup_ts"),
-        ("dropoff_datetime", "dropoff_ts"),
-    )
-)
-FHV = (
-    f"select md5({_text('hvfhs_license_num')} || '-' || {_text('dispatching_base_num')} || '-' || "
-    f"{_text('pickup_datetime')}) as trip_id, {_FHV_RENAMED}, {_FHV_AMOUNTS}, "
-    "columns('.*_flag') "
-    f"from (select {_mapped(frames.FHV_COLUMNS, FHV_SOURCE)} from events)"
-)
+FHV = f"""
+    select
+        md5(
+            {_text("hvfhs_license_num")} || '-' || {_text("dispatching_base_num")} || '-' || {_text("pickup_datetime")}
+        ) as trip_id,
+        hvfhs_license_num as hvfhs_license_code,
+        dispatching_base_num as dispatching_base_code,
+        originating_base_num as originating_base_code,
+        request_datetime as request_ts,
+        on_scene_datetime as on_scene_ts,
+        pickup_datetime as pickup_ts,
+        dropoff_datetime as dropoff_ts,
+        PULocationID as pickup_location_id,
+        DOLocationID as dropoff_location_id,
+        cast(trip_miles as decimal(38,9)) as trip_distance,
+        cast(trip_time as decimal(38,9)) as trip_time,
+        cast(base_passenger_fare as decimal(38,9)) as base_passenger_fare,
+        cast(tolls as decimal(38,9)) as tolls,
+        cast(bcf as decimal(38,9)) as bcf,
+        cast(sales_tax as decimal(38,9)) as sales_tax,
+        cast(congestion_surcharge as decimal(38,9)) as congestion_surcharge,
+        cast(driver_pay as decimal(38,9)) as driver_pay,
+        shared_request_flag,
+        shared_match_flag,
+        access_a_ride_flag,
+        wav_request_flag,
+        wav_match_flag
+    from (select {_mapped(frames.FHV_COLUMNS, FHV_SOURCE)} from events)"""
 
 NATIONS = _zones(frames.NATION_ZONES, "nation join region on n_regionkey = r_regionkey")
 CUSTOMERS = _zones(frames.CUSTOMER_ZONES, "customer")
@@ -120,18 +119,30 @@ FACTS = (
     f"join (select * from ({NATIONS}) where borough <> 'Unknown') d on dropoff_location_id = d.location_id"
 )
 
-_SUMS = ", ".join(f"sum({amount}) as {name}" for amount, name in REVENUE_SUMS.items())
-REVENUE = (
-    "select pickup_zone as revenue_zone, date_trunc('month', pickup_ts) as revenue_month, service_type, "
-    f"{_SUMS}, count(trip_id) as total_monthly_trips, "
-    "cast(sum(passenger_count) as double) / count(passenger_count) as avg_montly_passenger_count, "
-    "cast(cast(sum(trip_distance) as double) / count(trip_distance) as decimal(38,9)) as avg_montly_trip_distance "
-    f"from ({FACTS}) group by 1, 2, 3"
-)
+REVENUE = f"""
+    select
+        pickup_zone as revenue_zone,
+        date_trunc('month', pickup_ts) as revenue_month,
+        service_type,
+        sum(fare_amount) as revenue_monthly_fare,
+        sum(extra) as revenue_monthly_extra,
+        sum(mta_tax) as revenue_monthly_mta_tax,
+        sum(tip_amount) as revenue_monthly_tip_amount,
+        sum(tolls_amount) as revenue_monthly_tolls_amount,
+        sum(ehail_fee) as revenue_monthly_ehail_fee,
+        sum(improvement_surcharge) as revenue_monthly_improvement_surcharge,
+        sum(total_amount) as revenue_monthly_total_amount,
+        sum(congestion_surcharge) as revenue_monthly_congestion_surcharge,
+        count(trip_id) as total_monthly_trips,
+        cast(sum(passenger_count) as double) / count(passenger_count) as avg_montly_passenger_count,
+        cast(cast(sum(trip_distance) as double) / count(trip_distance) as decimal(38,9)) as avg_montly_trip_distance
+    from ({FACTS})
+    group by 1, 2, 3"""
 
 _FIRST, _SECOND = frames.MONTHS
 DELIVERIES = " union all ".join(
-    f"select *, '{month}' as source_month, cast(pickup_datetime as date) as pickup_date from "
+    f"select * replace (cast(null as bigint) as airport_fee), '{month}' as source_month, "
+    "cast(pickup_datetime as date) as pickup_date from "
     f"(select {_mapped(frames.FHV_COLUMNS, FHV_SOURCE)} "
     f"from (select * replace ({shifted} as ts) from events where {rows}))"
     for month, (rows, shifted) in frames.DELIVERED.items()
@@ -143,14 +154,6 @@ WHOLE = (
 )
 
 
-def _by_partition(rows: str) -> str:
-    return (
-        "select source_month, pickup_date, count(*) as trips, "
-        "sum(cast(base_passenger_fare as decimal(38,9))) as fare, min(pickup_datetime) as first_pickup, "
-        f"cast(0 as bigint) as airport_fees from ({rows}) group by 1, 2"
-    )
-
-
 def _check(table: str, check: str, column: str, severity: str, offending: str) -> str:
     return (
         f"select '{table}' as table_name, '{check}' as check_name, '{column}' as column_name, "
@@ -253,18 +256,17 @@ ORACLE = {
     "load_zones": ZONE_ROWS,
     "csv_to_parquet": "select * from orders",
     "read_month": (
-        f"select * exclude (source_month, pickup_date) replace (cast(null as bigint) as airport_fee) "
-        f"from ({DELIVERIES}) where source_month = '{_SECOND}'"
+        f"select * exclude (source_month, pickup_date) from ({DELIVERIES}) where source_month = '{_SECOND}'"
     ),
-    "load_months": _by_partition(DELIVERIES),
-    "promote_raw": _by_partition(DELIVERIES),
-    "promote_stream": _by_partition(DELIVERIES),
-    "rebuild_table": _by_partition(DELIVERIES),
+    "load_months": DELIVERIES,
+    "promote_raw": DELIVERIES,
+    "promote_stream": DELIVERIES,
+    "rebuild_table": DELIVERIES,
     "partitioned_window": (
         f"select * from ({WHOLE}) where pickup_datetime >= timestamp '2024-01-05 00:00:00' "
         "and pickup_datetime < timestamp '2024-01-06 12:00:00'"
     ),
-    "expire_partitions": _by_partition(f"select * from ({WHOLE}) where pickup_date > date '2024-01-30' - 12"),
+    "expire_partitions": f"select * from ({WHOLE}) where pickup_date > date '2024-01-30' - 12",
     "external_table": "select event_type, count(*) as n, max(ts) as last_ts from events group by 1",
     "table_refresh": "select * from orders",
     "view_scan": f"select hvfhs_license_code, count(*) as trips, sum(driver_pay) as pay from ({FHV}) group by 1",
@@ -292,11 +294,13 @@ ORACLE = {
         "select l_linestatus, count(*) as n from lineitem where l_partkey not in "
         f"(select location_id from ({PARTS}) where borough <> 'Unknown') group by 1"
     ),
-    "check_freshness": (
-        "select max(ts) as max_loaded_at, timestamp '2024-01-31 00:00:00' as as_of, "
-        "date_sub('second', max(ts), timestamp '2024-01-31 00:00:00') as age_seconds, "
-        "case when date_sub('second', max(ts), timestamp '2024-01-31 00:00:00') <= 21600 then 'pass' else 'error' end "
-        "as status from events"
-    ),
+    # the newest event counts as 6 hours and 0.9 seconds old
+    "check_freshness": """
+        select
+            newest as max_loaded_at,
+            timestamp '2024-01-31 00:00:00' as as_of,
+            date_sub('second', newest, timestamp '2024-01-31 00:00:00') as age_seconds,
+            case when newest >= timestamp '2024-01-30 18:00:00' then 'pass' else 'error' end as status
+        from (select max(least(ts, timestamp '2024-01-30 17:59:59.1')) as newest from events)""",
     "check_report": REPORT,
 }

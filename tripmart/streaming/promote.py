@@ -1,34 +1,70 @@
-"""Move new raw files into a service's folder, once each."""
+"""Move new and redelivered raw months into a service's folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.contracts import Service
 from tripmart.sources import files
 
+_LISTED = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def promote_available(
     spark: SparkSession, root: str, service: Service, checkpoint: str, files_per_batch: int | None = None
 ) -> StreamingQuery:
     """Start a run that takes every raw file not taken before and then stops.
 
-    The file source remembers paths in ``checkpoint`` and the file sink commits each batch
-    in its own log, so a rerun after a lost driver or executor neither skips nor repeats a
-    file. There is no state. Read the result with :func:`tripmart.sources.files.read_service`,
-    which honours that log.
+    The stream only finds files, by name and whatever their age; their content is not read
+    and their types play no part. Each month that a batch names is replaced as a whole by
+    what the raw zone then holds of it, bound to the service's contract. A redelivery
+    therefore replaces, and a batch that runs twice changes nothing. Months whose files were
+    replaced under their old names are found by their time of change, before the stream
+    starts. A file whose name holds no month ends the run with an error that names it.
     """
-    declared = service.source.without(*service.drifting)
-    reader = spark.readStream.schema(declared.ddl)
+    taken = f"{checkpoint.rstrip('/')}-months"
+    for month, changed in files.raw_months(spark, root, service).items():
+        if 0 < _taken(spark, taken).get(month, changed) < changed:
+            _replace(spark, root, service, month, taken)
+
+    def replace(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        named = batch.select(files.month_from_path(service, F.col("path")).alias("month"), "path")
+        # one row per month
+        for row in named.groupBy("month").agg(F.min("path").alias("path")).orderBy("month").collect():
+            _replace(session, root, service, files.checked_month(row.month, row.path), taken)
+
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema(_LISTED)
+        .option("maxFileAge", "36500d")
+        .option("ignoreMissingFiles", True)
+    )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    fresh = reader.parquet(files.raw_glob(root, service))
     return (
-        fresh.withColumn("source_month", files.month_from_path(service))
-        .writeStream.format("parquet")
-        .partitionBy("source_month")
+        reader.load(files.raw_glob(root, service))
+        .select("path")
+        .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(files.service_folder(root, service))
+        .start()
     )
+
+
+def _replace(spark: SparkSession, root: str, service: Service, month: str, taken: str) -> None:
+    changed = files.raw_months(spark, root, service).get(month, 0)
+    files.write_promoted(spark, root, service, month)
+    row = spark.createDataFrame([(month, changed)], "month string, changed bigint").coalesce(1)
+    row.write.mode("append").parquet(taken)
+
+
+def _taken(spark: SparkSession, folder: str) -> dict[str, int]:
+    """When each month last taken had been changed; one row per month."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    rows = spark.read.schema("month string, changed bigint").parquet(folder)
+    return {r.month: r.changed for r in rows.groupBy("month").agg(F.max("changed").alias("changed")).collect()}
