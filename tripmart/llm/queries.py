@@ -17,6 +17,7 @@ from tripmart.llm import (
     suffix_dedup,
     warc,
 )
+from tripmart.llm.oracle import ORACLE as ORACLE
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,4 +109,3 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
-ORACLE: dict[str, str] = {}
