@@ -56,6 +56,11 @@ def _lookup(values: dict[str | None, float], source: Column) -> Column:
     return F.when(source.isNull(), F.lit(values.get(None))).otherwise(found)
 
 
+def _exact(value: Column) -> Column:
+    """Summed in any order to the same number, so that reruns take the same steps."""
+    return value.cast("decimal(28,6)")
+
+
 def solve(histogram: DataFrame, sizes: dict, counts: dict, goal: dict, cap: float) -> dict[str | None, float]:
     """The tilt of each source; ``histogram`` has ``source``, ``size``, ``rows``.
 
@@ -80,8 +85,8 @@ def solve(histogram: DataFrame, sizes: dict, counts: dict, goal: dict, cap: floa
             histogram.where(_lookup({s: 1.0 for s in open_}, F.col("source")).isNotNull())
             .groupBy("source")
             .agg(
-                F.sum(tokens * F.least(raw, F.lit(float(cap)))).alias("mass"),
-                F.sum(F.when(raw < cap, tokens * raw * feature).otherwise(0.0)).alias("slope"),
+                F.sum(_exact(tokens * F.least(raw, F.lit(float(cap))))).cast("double").alias("mass"),
+                F.sum(_exact(F.when(raw < cap, tokens * raw * feature).otherwise(0.0))).cast("double").alias("slope"),
             )
             .collect()
         )
