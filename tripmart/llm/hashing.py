@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _SEED = np.random.default_rng(20_240_229)
 _CODES = _SEED.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.session import scratch_folder
+from tripmart.session import scratch_folder, setting
 
 #: A word is a run of anything but these six white space characters.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 4096
+BATCH_BYTES = "8m"
 
 
 def words(text: Column) -> Column:
@@ -24,13 +27,34 @@ def words(text: Column) -> Column:
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """The frame as a Parquet table under the shared folder: it cuts the lineage and outlives executors."""
+    """The frame as a Parquet table under the shared folder: it cuts the lineage and outlives executors.
+
+    Texts go to Python tasks in batches of ``BATCH_BYTES``, which bounds what both sides hold.
+    """
     spark = frame.sparkSession
     path = scratch_folder(spark)
-    frame.write.parquet(path)
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def sampled(frame: DataFrame, by: list[str], rows: int) -> list:
+    """About ``rows`` rows, never more, chosen by the hash of ``by``; all of a smaller frame.
+
+    Whatever the input, no more than these rows travel.
+    """
+    every = max(1, math.ceil(frame.count() / rows))
+    return frame.where(F.pmod(F.xxhash64(*by), F.lit(every)) == 0).limit(rows).collect()
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def release(spark) -> None:
     """Let Spark drop the shuffle files of jobs whose results are written by now."""
     spark.sparkContext._jvm.System.gc()

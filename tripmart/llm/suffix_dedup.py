@@ -14,7 +14,8 @@ same text at a smaller offset. Strings are judged on the input and never cross t
    task's next few hundred anchors brings equal strings together: a run of suffixes with
    a common prefix of ``SPAN // BLOCK - 1`` symbols holds every copy of a window. The hash of
    the whole window confirms it. An anchor with more than ``CROWD`` classes does not go through one
-   task: its windows are grouped one by one, by a 128-bit hash.
+   task: its slices are grouped in runs of ``CELL`` windows and then, of runs that differ, window by
+   window, each by a 128-bit hash.
 4. The repeated windows go back to their texts, which are cut in one pass.
 
 A NULL text is an empty one. Rows that share id and text are one text (neither is earlier);
@@ -34,13 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.llm.hashing import Rolling, chunks, mixed
-from tripmart.llm.shared import release, written
+from tripmart.llm.shared import release, small, written
 from tripmart.llm.suffix_array import suffix_array
 
 SPAN, GRAM, BLOCK = 100, 37, 20
 RUN = SPAN - GRAM + 1
 SYMBOLS = SPAN // BLOCK - 1
 CROWD = 512
+CELL = 16
 SLICES = 4096
 #: Slices of a text longer than this are found in pieces that overlap by a span.
 PIECE = 1 << 21
@@ -103,7 +105,7 @@ def anchored(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows ``gram``, ``slice``, ``doc``, ``packed``; ``slice`` 0 marks a slice that is a repeat for sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, 2048):
             doc = np.asarray(batch.column(0))
             ties = np.asarray(batch.column(1)).astype(np.int64)
             pieces, of, at = _pieces([(t or "").encode() for t in batch.column(2).to_pylist()])
@@ -217,11 +219,11 @@ def compared(cut: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, value: Column) -> DataFrame:
-    """Texts with the ``list`` of ``value`` of the rows of ``wanted`` that lie in them (``doc``, ``packed``)."""
+    """Texts with the ``_list`` of ``value`` of the rows of ``wanted`` that lie in them (``doc``, ``packed``)."""
     lists = written(
         wanted.select("doc", F.shiftright("packed", 44).cast("int").alias("tie"), value.alias("v"))
         .groupBy("doc", "tie")
-        .agg(F.collect_list("v").alias("list"))
+        .agg(F.collect_list("v").alias("_list"))
         .withColumnsRenamed({"doc": "_doc", "tie": "_tie"})
     )
     body = docs.withColumns({"_place": place(key), "_own": tie(text)})
@@ -232,7 +234,7 @@ def _cut_out(rows: DataFrame) -> DataFrame:
     """``gram``, ``doc``, ``packed`` and the ``bytes`` of every wanted slice; once for rows of one id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
@@ -249,30 +251,61 @@ def _cut_out(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "gram long, doc long, packed long, bytes binary")
 
 
-def _single(crowded: DataFrame) -> DataFrame:
-    """``doc``, ``packed``, ``mask`` of the repeated windows of slices, window by window."""
+def _hashed_twice(raw: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every window of the width, read forwards and backwards."""
+    data = np.frombuffer(raw, np.uint8)
+    return Rolling(data).windows(width).view(np.int64), Rolling(data[::-1]).windows(width)[::-1].view(np.int64)
+
+
+def _runs(slices: DataFrame, length: int) -> DataFrame:
+    """Slices cut, counted from the anchor, into runs of at most ``length`` windows: ``x``, ``y`` (hashes of all bytes)
+    and the run as ``doc``, ``packed``, ``bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, packed, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                rolling = Rolling(np.frombuffer(raw, np.uint8))
-                one = rolling.windows(SPAN).view(np.int64).tolist()
-                back = Rolling(np.frombuffer(raw[::-1], np.uint8)).windows(SPAN)[::-1].view(np.int64).tolist()
-                head = (packed >> 12) + 0
-                out.extend((x, y, doc, (head + k) << 12) for k, (x, y) in enumerate(zip(one, back, strict=True)))
-            columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "y", "doc", "packed"])
-
-    windows = written(crowded.mapInArrow(run, "x long, y long, doc long, packed long"))
-    first = written(
-        windows.groupBy("x", "y")
-        .agg(F.min(F.struct("doc", "packed")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select(F.col("x").alias("_x"), F.col("y").alias("_y"), "first")
+            for doc, packed, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                count, offset = (packed >> 6 & 63) + 1, packed & 63
+                cuts = [0, *range(offset % length or length, count, length), count]
+                for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                    part = raw[low : high + SPAN - 1]
+                    (x,), (y,) = (h.tolist() for h in _hashed_twice(part, len(part)))
+                    place = (packed >> 12) + low << 12 | high - low - 1 << 6 | (offset - low) % length
+                    out.append((x, y, doc, place, part))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["x", "y", "doc", "packed", "bytes"])
+
+    return slices.mapInArrow(run, "x long, y long, doc long, packed long, bytes binary")
+
+
+def _single(crowded: DataFrame) -> DataFrame:
+    """``doc``, ``packed``, ``mask`` of the repeated windows of slices of crowded anchors.
+
+    First runs of windows that are repeated as a whole, then the windows of each run's first
+    copy one by one. Both are grouped by content, so a passage that every text has costs a task
+    no more than its share.
+    """
+    whole, first = _repeated(_runs(crowded.select("doc", "packed", "bytes"), CELL))
+    single, _ = _repeated(_runs(first, 1))
+    return whole.union(single)
+
+
+def _repeated(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs with an earlier copy (``doc``, ``packed``, ``mask``), and the first copies (``doc``, ``packed``, ``bytes``)."""
+    runs = written(runs)
+    groups = runs.groupBy("x", "y").agg(
+        F.min(F.struct("doc", "packed")).alias("first"), F.count("*").alias("n"), F.max("bytes").alias("bytes")
+    )
+    groups = written(groups)
+    several = groups.where("n > 1").select(F.col("x").alias("_x"), F.col("y").alias("_y"), "first")
+    both = runs.drop("bytes").join(several, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")))
+    again = both.where(F.struct("doc", "packed") != F.col("first"))
+    return (
+        again.select("doc", "packed", F.lit(-1).cast("long").alias("mask")),
+        groups.select("first.doc", "first.packed", "bytes"),
     )
-    both = windows.join(first, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")))
-    return both.where(F.struct("doc", "packed") != F.col("first")).select("doc", "packed", F.lit(1).cast("long").alias("mask"))
 
 
 def _spans(text: bytes, found: list[dict] | None) -> list[tuple[int, int]]:
@@ -295,7 +328,7 @@ def _spans(text: bytes, found: list[dict] | None) -> list[tuple[int, int]]:
 
 def _cut(rows: DataFrame, kept: list[str], text: str, as_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             columns = [batch.column(i) for i in range(len(kept))]
             sizes, spans, left = [], [], []
             for body, found in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):
@@ -312,7 +345,7 @@ def _cut(rows: DataFrame, kept: list[str], text: str, as_text: bool) -> DataFram
             )
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    chosen = rows.select(*kept, F.col(text).alias("_text"), "list")
+    chosen = rows.select(*kept, F.col(text).alias("_text"), "_list")
     schema = T.StructType(
         [
             *chosen.schema.fields[: len(kept)],
@@ -356,7 +389,7 @@ def without_repeats(
     repeats = found.where("sure").select("doc", "packed", F.lit(-1).cast("long").alias("mask"))
     mixed_grams = found.where("not sure")
     pieces = texts_of(docs, key, text, mixed_grams, F.struct("gram", "packed"))
-    pieces = pieces.where("list is not null").select(F.col("_place"), F.col(text), "list")
+    pieces = pieces.where("_list is not null").select("_place", F.col(text), "_list")
     cut = written(_cut_out(pieces))
     release(spark)
     crowds = written(cut.groupBy("gram").count().where(F.col("count") > CROWD).select(F.col("gram").alias("_gram")))
