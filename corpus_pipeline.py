@@ -31,7 +31,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier text (or an earlier place) has."""
-    cut = suffix_dedup.without_repeats(docs, as_text=True)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = suffix_dedup.without_repeats(docs, keep=others, as_text=True)
     return cut.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.shared import written
+from tripmart.llm.shared import small, written
 
 LEAST, SHARE = 3, 0.1
 
@@ -42,11 +42,12 @@ RAW = frozenset("script style noscript iframe template textarea title xmp svg ma
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("head nav footer aside form button dialog menu label input datalist".split())
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer gdpr login menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo "
-    "promotion reply replies respond responses share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar "
-    "widget widgets".split()
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination "
+    "pager popup promo promotion recommended related reply replies respond responses share sharing sidebar signup social sponsor "
+    "sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+HEADS_OF_TEXT = frozenset("article content entry post story".split())
 ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 CLOSED_BY = {
     "li": {"li"},
@@ -64,6 +65,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACE = re.compile(r"\s+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
 
 
 @dataclass
@@ -84,7 +86,8 @@ def _attributes(rest: str) -> dict[str, str]:
 
 def _node(tag: str, rest: str, parent: Node) -> Node:
     found = _attributes(rest) if rest.strip(" /\n\t") else {}
-    words = tuple(re.split(r"[\s_\-]+", f"{found.get('class', '')} {found.get('id', '')}".lower().strip()))
+    labels = _HUMP.sub(r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}").lower()
+    words = tuple(re.split(r"[\s_\-]+", labels.strip()))
     named = (
         tag in NO_TEXT
         or found.get("role", "").lower() in ROLES
@@ -92,7 +95,7 @@ def _node(tag: str, rest: str, parent: Node) -> Node:
         or found.get("aria-hidden", "").lower() == "true"
         or not NAMES.isdisjoint(words)
     )
-    if tag == "header":
+    if tag == "header" or ("header" in words and HEADS_OF_TEXT.isdisjoint(words)):
         above = parent
         while above is not None and above.tag not in ("article", "main"):
             above = above.parent
@@ -295,7 +298,7 @@ def main_text(pages: DataFrame, url: str = "url", body: str = "html") -> DataFra
     """Add ``text``: the main text of every page's whole html."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             hosts, out = [], []
             for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = candidates(page or "")
@@ -313,7 +316,7 @@ def main_text(pages: DataFrame, url: str = "url", body: str = "html") -> DataFra
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[tuple, frozenset] = {}
-        for batch in batches:
+        for batch in small(batches):
             columns = [batch.column(i) for i in range(len(kept))]
             texts = []
             for page, template in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import gapless, release, written
+from tripmart.llm.shared import gapless, release, small, written
 
 LENGTH = 1024
 END = 2
@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, key: str, text: str, length: int, end: int, tokenize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in small(batches):
             owner, out = [], []
             for i, body in enumerate(batch.column(1).to_pylist()):
                 ids = np.append(encode(body or ""), np.uint32(end))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.shared import written
+from tripmart.llm.shared import small, written
 
 #: One byte each; their rates per word are features.
 MARKS = b"#$%&*|!?.,<>"
@@ -65,14 +65,16 @@ def featured(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``_features`` (array of double) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t) for t in batch.column("_text").to_pylist()]
+        for batch in small(batches):
+            found = [features(t) for t in batch.column(batch.schema.get_field_index(own)).to_pylist()]
             flat = np.concatenate(found) if found else np.zeros(0)
             vectors = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * FEATURES, pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], vectors], [*keep, "_features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], vectors], [*keep, "_features"])
 
-    chosen = docs.select(*keep, F.col(text).alias("_text"))
-    schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("_features", T.ArrayType(T.DoubleType()))])
+    # a kept text is sent once
+    own = text if text in keep else "_text"
+    chosen = docs.select(*keep, *[F.col(text).alias("_text")] * (own == "_text"))
+    schema = T.StructType([*chosen.schema.fields[: len(keep)], T.StructField("_features", T.ArrayType(T.DoubleType()))])
     return chosen.mapInArrow(run, schema)
 
 
