@@ -95,6 +95,25 @@ def test_leftovers_find_all_links_of_a_region(spark, monkeypatch):
     assert {i: forest.find(i) for i in texts} == {i: root for i, (_, root) in plain_clusters(texts).items()}
 
 
+def test_leftovers_meet_a_large_component_as_a_whole(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 7)
+    texts = variants(9, base=2, words=60, edits=[n % 6 for n in range(40)])
+    rows = [(i, near_dups.signature(near_dups.shingles([t.lower().encode()])[0]), t) for i, t in texts.items()]
+    nodes = spark.createDataFrame(rows, "node long, signature binary, text string")
+    want = {i: root for i, (_, root) in plain_clusters(texts).items()}
+    # all but every fifth node of each cluster are joined already
+    known = [(i, root) for i, root in want.items() if i % 5 or i == root]
+    found = near_dups.leftovers(
+        nodes.select("node", "signature"), spark.createDataFrame(known, "node long, root long"), nodes.select("node", "text")
+    )
+    forest = Forest()
+    for i, root in known:
+        forest.join(i, root)
+    for r in found.collect():
+        forest.join(r.a, r.b)
+    assert {i: forest.find(i) for i in texts} == want
+
+
 def test_clusters_of_awkward_rows(awkward, nothing):
     rows = near_dups.cluster(awkward).collect()
     assert len(rows) == awkward.count()

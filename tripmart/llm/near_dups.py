@@ -7,9 +7,11 @@ a region the order goes on, so that neighbours have the longest common prefixes
 is searched at a greater depth than a thin one. The order is range partitioned: a hot region
 spreads over tasks, and the driver joins the rows at the partitions' edges.
 
-Neighbours are candidates; the shingle sets of both texts confirm a link. Regions that still hold
-several components after that are compared completely, in blocks of bounded size on signatures, so
-that no pair sharing a region is lost to the order. A pair at the threshold shares no region of
+Neighbours are candidates; the shingle sets of both texts confirm a link. In the first trees the first node
+of a region is a candidate for all the others too, which joins most copies in a few steps. After
+that come the neighbours in the other trees that are still apart; and regions that still hold
+several components are compared completely, in blocks of bounded size on signatures, so that
+no pair sharing a region is lost to the order. A pair at the threshold shares no region of
 any tree with probability (1 - 0.75 ** 4) ** 32, 5e-6.
 
 NULL and empty texts have no shingles and are linked with nothing. Rows that share an id form one
@@ -28,9 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.components import components
+from tripmart.llm.components import components, joined, rooted
 from tripmart.llm.hashing import Rolling, chunks, mixed
-from tripmart.llm.shared import release, written
+from tripmart.llm.shared import release, small, written
 
 WORDS = 5
 TREES, DEPTH, FURTHER = 32, 4, 4
@@ -85,7 +87,7 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_key``, ``words`` (digest of the word sequence), ``n_shingles``, ``signature``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [(t or "").encode().lower() for t in batch.column(1).to_pylist()]
             digests = [hashlib.md5(b" ".join(t.split())).digest() for t in texts]
             counts, signatures = [], []
@@ -155,8 +157,12 @@ def neighbours(nodes: DataFrame) -> DataFrame:
                 tree, region, node = (np.concatenate([[x], y]) for x, y in zip(last, (tree, region, node), strict=True))
             else:
                 first = tree[0], region[0], node[0]
-            same = np.flatnonzero((tree[1:] == tree[:-1]) & (region[1:] == region[:-1]))
-            a, b = node[same], node[same + 1]
+            new = np.concatenate([[True], (tree[1:] != tree[:-1]) | (region[1:] != region[:-1])])
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            same = np.flatnonzero(~new)
+            early = same[(tree[same] < FIRST_TREES) & (lead[same] < same - 1)]
+            a, b = np.concatenate([node[same - 1], node[lead[early]]]), np.concatenate([node[same], node[early]])
+            same = np.concatenate([same, early])
             last = tree[-1], region[-1], node[-1]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -199,20 +205,23 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     return written(pairs.groupBy("a", "b").agg(F.min("tree").alias("tree")))
 
 
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold; ``texts`` has ``node`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             left = [t.encode().lower() for t in batch.column(2).to_pylist()]
             right = [t.encode().lower() for t in batch.column(3).to_pylist()]
             good = []
             for part in chunks([x + y for x, y in zip(left, right, strict=True)]):
                 sets = shingles([t for i in part for t in (left[i], right[i])])
                 for k, i in enumerate(part):
-                    x, y = sets[2 * k], sets[2 * k + 1]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * both >= PERCENT * (len(x) + len(y) - both):
+                    if _alike(sets[2 * k], sets[2 * k + 1]):
                         good.append(i)
             yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
 
@@ -222,59 +231,114 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Add ``root`` to rows with ``node``; a node without links is its own."""
-    named = roots.select(F.col("node").alias("_node"), F.col("root"))
-    return nodes.join(named, F.col("node") == F.col("_node"), "left").select(
-        *nodes.columns, F.coalesce("root", "node").alias("root")
-    )
-
-
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs that no chain of links joins yet."""
-    left = rooted(pairs.withColumnRenamed("a", "node"), roots).withColumnsRenamed({"node": "a", "root": "root_a"})
-    both = rooted(left.withColumnRenamed("b", "node"), roots).withColumnsRenamed({"node": "b", "root": "root_b"})
-    return both.where("root_a != root_b").select("a", "b")
+    return rooted(rooted(pairs, "a", roots), "b", roots).where("a_root != b_root").select("a", "b")
 
 
-def leftovers(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that share a region and look similar by their whole signatures.
+def leftovers(nodes: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components that share a region, at least one per node and other component.
 
-    A region is cut into blocks of about ``BLOCK`` nodes, and blocks are compared with blocks.
+    Components above ``BLOCK`` nodes are compared as a whole with the nodes of smaller ones that meet them
+    in any region, so that their texts are moved once and not for every tree. Nodes of small components
+    are compared with each other region by region. Both go in blocks of about ``BLOCK`` nodes: a task
+    compares two blocks by their signatures and then confirms on the full sets, in the order of the
+    estimates and until a node is linked to a component.
     """
-    rows = written(forest(rooted(nodes, roots)).drop("label"))
+    nodes = written(rooted(nodes, "node", roots).withColumnRenamed("node_root", "root"))
+    large = written(
+        nodes.groupBy("root").agg(F.count("*").alias("nodes")).where(F.col("nodes") > BLOCK).withColumnRenamed("root", "_root")
+    )
+    sized = nodes.join(large, F.col("root") == F.col("_root"), "left")
+    nodes = written(sized.select("node", "root", "signature", F.coalesce("nodes", F.lit(0)).cast("long").alias("nodes")))
+    rows = written(forest(nodes).drop("label"))
+    of_root = rows.groupBy("tree", "region", "root", "nodes").agg(F.count("*").alias("n"))
+    bodies = written(nodes.join(texts, "node").select("node", "root", "nodes", "signature", "text"))
+
+    # small components, region by region
+    minor = F.col("nodes") == 0
+    regions = of_root.groupBy("tree", "region").agg(
+        F.sum("n").alias("all"), F.sum(F.when(minor, F.col("n"))).alias("n"), F.count(F.when(minor, 1)).alias("roots")
+    )
+    # two nodes alone in a region were neighbours
     crowded = written(
-        rows.groupBy("tree", "region")
-        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("n > 2 and low != high")
-        .select(F.col("tree").alias("_tree"), F.col("region").alias("_region"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
+        regions.where(F.col("all") > 2).where("roots > 1").select(
+            F.col("tree").alias("_tree"), F.col("region").alias("_region"), F.ceil(F.col("n") / BLOCK).alias("blocks")
+        )
     )
-    inside = rows.join(crowded, (F.col("tree") == F.col("_tree")) & (F.col("region") == F.col("_region")))
-    inside = inside.select("tree", "region", "node", "root", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-    members = inside.join(nodes, "node").select("tree", "region", "block", F.struct("node", "root", "signature").alias("m"))
-    blocks = written(members.groupBy("tree", "region", "block").agg(F.collect_list("m").alias("members")))
+    same_region = (F.col("tree") == F.col("_tree")) & (F.col("region") == F.col("_region"))
+    inside = rows.where("nodes = 0").join(crowded, same_region).select(
+        "tree", "region", F.col("node").alias("_node"), F.pmod(F.xxhash64("node"), "blocks").alias("block")
+    )
+    blocks = _gathered(inside, bodies, ["tree", "region", "block"])
+    sides = [blocks.select("tree", "region", F.col("block").alias(f"block_{s}"), F.col("members").alias(s)) for s in "xy"]
+    within = sides[0].join(sides[1], ["tree", "region"]).where("block_x <= block_y").select("tree", "x", "y")
+
+    # large components, each as a whole, with what meets them
+    hosts = of_root.where("nodes > 0").select(
+        F.col("tree").alias("_tree"), F.col("region").alias("_region"), F.col("root").alias("host"), F.col("nodes").alias("host_nodes")
+    )
+    smaller = F.struct("nodes", "root") < F.struct("host_nodes", "host")
+    guests = written(rows.join(written(hosts), same_region).where(smaller).select("host", F.col("node").alias("_node")).distinct())
+    counts = written(
+        guests.groupBy("host").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).withColumnRenamed("host", "_host")
+    )
+    guests = guests.join(counts, F.col("host") == F.col("_host")).select(
+        "host", "_node", F.pmod(F.xxhash64("_node"), "blocks").alias("block")
+    )
+    asked = _gathered(guests, bodies, ["host", "block"])
+    met = nodes.join(counts, F.col("root") == F.col("_host"), "left_semi").select(
+        F.col("root").alias("host"),
+        F.col("node").alias("_node"),
+        F.pmod(F.xxhash64("node"), F.ceil(F.col("nodes") / BLOCK)).alias("block"),
+    )
+    stored = _gathered(met, bodies, ["host", "block"])
+    one = asked.select("host", F.col("members").alias("x"))
+    whole = one.join(stored.select("host", F.col("members").alias("y")), "host").select(F.lit(TREES).alias("tree"), "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_a, out_b = [], []
-            for x, y in zip(batch.column(0), batch.column(1), strict=True):
-                x, y = x.values, y.values
-                nodes_x, nodes_y = np.asarray(x.field("node")), np.asarray(y.field("node"))
-                roots_x, roots_y = np.asarray(x.field("root")), np.asarray(y.field("root"))
-                sig_x, sig_y = _matrix(x.field("signature")), _matrix(y.field("signature"))
-                for i in range(len(nodes_x)):
-                    other = np.flatnonzero(roots_y != roots_x[i])
-                    like = other[(sig_y[other] == sig_x[i]).mean(axis=1) >= ESTIMATE]
-                    out_a.append(np.minimum(nodes_x[i], nodes_y[like]))
-                    out_b.append(np.maximum(nodes_x[i], nodes_y[like]))
-            a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-            b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
+            found = []
+            for tree, x, y in zip(*batch.columns, strict=True):
+                found.extend(_linked(tree.as_py(), x.values, y.values))
+            a, b = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    one = blocks.select("tree", "region", F.col("block").alias("block_x"), F.col("members").alias("x"))
-    two = blocks.select("tree", "region", F.col("block").alias("block_y"), F.col("members").alias("y"))
-    against = one.join(two, ["tree", "region"]).where("block_x <= block_y").select("x", "y")
-    return against.mapInArrow(run, "a long, b long").distinct()
+    return within.union(whole).mapInArrow(run, "a long, b long")
+
+
+def _gathered(dealt: DataFrame, bodies: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``members`` of every block: node, root, signature and text of its ``_node`` rows."""
+    members = dealt.join(bodies, F.col("_node") == F.col("node"))
+    gathered = members.groupBy(*keys).agg(F.collect_list(F.struct("node", "root", "signature", "text")).alias("members"))
+    return written(gathered)
+
+
+def _linked(tree: int, x: pa.StructArray, y: pa.StructArray) -> Iterator[tuple[int, int]]:
+    """Links between two blocks of a region of ``tree``; pairs that share a region of an earlier tree are left to it.
+
+    With ``TREES`` for the tree, pairs that share a region of any.
+    """
+    nodes_x, nodes_y, roots_x, roots_y = (np.asarray(s.field(f)) for f in ("node", "root") for s in (x, y))
+    sig_x, sig_y = _matrix(x.field("signature")), _matrix(y.field("signature"))
+    earlier = tree * DEPTH
+    sets: dict[tuple[int, int], np.ndarray] = {}
+
+    def shingled(side: int, at: int) -> np.ndarray:
+        if (side, at) not in sets:
+            sets[side, at] = shingles([(x, y)[side].field("text")[at].as_py().encode().lower()])[0]
+        return sets[side, at]
+
+    for i in range(len(nodes_x)):
+        equal = sig_y == sig_x[i]
+        likely = equal.mean(axis=1)
+        shared = equal[:, :earlier].reshape(len(equal), tree, DEPTH).all(axis=2).any(axis=1)
+        open_ = np.flatnonzero((roots_y != roots_x[i]) & (likely >= ESTIMATE) & (shared == (tree == TREES)))
+        linked = set()
+        for j in open_[np.argsort(-likely[open_], kind="stable")].tolist():
+            if roots_y[j] not in linked and _alike(shingled(0, i), shingled(1, j)):
+                linked.add(roots_y[j])
+                yield int(nodes_x[i]), int(nodes_y[j])
 
 
 def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,22 +357,16 @@ def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     live = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     wanted = nodes.join(live, "node").select("node", F.col("first_key").alias("_first"), "words")
     body = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    texts = written(
-        body.join(wanted, F.col("_key").eqNullSafe(F.col("_first")))
-        .where(F.md5(F.array_join(_lowered(F.col("text")), " ").cast("binary")) == F.lower(F.hex("words")))
-        .select("node", "text")
-    )
+    texts = written(_of_words(body.join(wanted, F.col("_key").eqNullSafe(F.col("_first")))))
     release(docs.sparkSession)
-    links = written(confirmed(pairs.where(F.col("tree") < FIRST_TREES), texts))
-    roots = written(components(links))
-    links = written(links.union(confirmed(apart(pairs.where(F.col("tree") >= FIRST_TREES), roots), texts)))
-    roots = written(components(links))
-    live_nodes = written(signatures.join(live, "node").select("node", "signature"))
-    missed = written(leftovers(live_nodes, roots).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    more = written(confirmed(missed, texts))
+    early = pairs.where(F.col("tree") < FIRST_TREES)
+    roots = written(components(written(confirmed(early, texts))))
+    live_nodes = signatures.join(live, "node").select("node", "signature")
+    later = apart(pairs.where(F.col("tree") >= FIRST_TREES), roots)
+    more = written(confirmed(later, texts).union(leftovers(live_nodes, roots, texts)))
     if not more.isEmpty():
-        roots = written(components(links.union(more)))
-    found = written(rooted(nodes.select("node", "words", "first_key"), roots))
+        roots = written(joined(roots, more))
+    found = written(rooted(nodes.select("node", "words", "first_key"), "node", roots).withColumnRenamed("node_root", "root"))
     least = written(found.groupBy("root").agg(F.min("first_key").alias("component_id")).withColumnRenamed("root", "_root"))
     named = written(found.join(least, F.col("root") == F.col("_root")).select(F.col("words").alias("_words"), "component_id"))
     return rows.join(named, F.col("words") == F.col("_words"), "left").select(
@@ -318,8 +376,15 @@ def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def _lowered(text):
-    from tripmart.llm.shared import words
+def _of_words(rows: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of rows whose text has the node's words; ids alone may be shared by several texts."""
 
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return words(low)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            own = [
+                hashlib.md5(b" ".join((t or "").encode().lower().split())).digest() == w
+                for t, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            ]
+            yield batch.filter(pa.array(own, pa.bool_())).select([0, 1])
+
+    return rows.select("node", "text", "words").mapInArrow(run, "node long, text string")
