@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import written
+from tripmart.llm.shared import sampled, small, written
 from tripmart.session import scratch_folder
 
 #: Fixed values of the formats.
@@ -155,14 +155,8 @@ def records(stream) -> Iterator[Record]:
 
 def trained(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of whole pages; empty where there is too little to learn from."""
-    sample = (
-        pages.select("page_id", F.col("html").cast("binary").alias("html"))
-        .where(F.length("html").between(1, SAMPLE_BYTES))
-        .orderBy(F.xxhash64("page_id", "html"))
-        .limit(SAMPLE_PAGES)
-        .select("html")
-        .collect()
-    )
+    whole = pages.select("page_id", F.col("html").cast("binary").alias("html"))
+    sample = sampled(whole.where(F.length("html").between(1, SAMPLE_BYTES)), ["page_id", "html"], SAMPLE_PAGES)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(r["html"]) for r in sample]).as_bytes()
     except zstandard.ZstdError:
@@ -201,7 +195,7 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         attempt = f"{base}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         done, sink, size, count = [], None, 0, 0
-        for batch in batches:
+        for batch in small(batches):
             for page, url, payload, leader in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 again = leader is not None and page is not None and page != leader
                 record = Record(
@@ -214,7 +208,7 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
                     f"{URN}{leader}" if again else None,
                 )
                 if sink is None:
-                    sink, size, count = storage.open_output_stream(f"{attempt}-{len(done)}.warc.zst"), 0, 0
+                    sink, size, count = storage.open_output_stream(f"{attempt}-{len(done)}.warc.zst", compression=None), 0, 0
                     sink.write(preamble(dictionary))
                 frame = compressor.compress(encoded(record))
                 sink.write(frame)
@@ -275,7 +269,7 @@ def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                         seen += 1
                         yield record
 
-                with storage.open_input_stream(f"{base}/{name}") as stream:
+                with storage.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     yield from _batches(counted(stream), with_payload)
                 if seen != expected:
                     raise ValueError(f"{path} holds {seen} records, not {expected}")
