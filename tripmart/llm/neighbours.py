@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.hashing import mixed
-from tripmart.llm.shared import written
+from tripmart.llm.shared import sampled, written
 from tripmart.session import setting
 
 TABLES, SUCCESS = 4, 0.5
@@ -39,6 +39,7 @@ SAMPLE = 2000
 BEAM = 2048
 SPARE = 4
 PAIRS_PER_BATCH = 64
+HELD = 1_000_000
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -113,8 +114,7 @@ def fitted(distinct: DataFrame, k: int) -> Projections | None:
     n, largest = distinct.agg(F.count("*"), F.max(norm)).first()
     if not n:
         return None
-    sample = distinct.orderBy(F.xxhash64("class")).limit(SAMPLE).select("vec").collect()
-    x = np.array([r["vec"] for r in sample])
+    x = np.array([r["vec"] for r in sampled(distinct.select("class", "vec"), ["class"], SAMPLE)])
     unit = x * (largest / np.sqrt((x * x).sum(1)))[:, None]
     products = unit @ x.T
     np.fill_diagonal(products, -np.inf)
@@ -141,30 +141,81 @@ def _blocked(rows: DataFrame, members: list[str], out: str) -> DataFrame:
     return written(gathered.drop("block"))
 
 
-def _best(pairs: DataFrame, k: int) -> DataFrame:
-    """``query``, ``class``, ``score``: the best of each block pair (``asked``, ``stored``)."""
+def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], most: int) -> list[tuple[np.ndarray, ...]]:
+    """The ``most`` best classes of each query among the parts, each class once; a list of one part."""
+    query, kind, score = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((kind, -score, query))
+    query, kind, score = query[order], kind[order], score[order]
+    # a class has the same score whichever table found it, so repeats are neighbours
+    new = np.concatenate([[True], (query[1:] != query[:-1]) | (kind[1:] != kind[:-1])])[: len(query)]
+    query, kind, score = query[new], kind[new], score[new]
+    start = np.maximum.accumulate(np.where(np.concatenate([[True], query[1:] != query[:-1]])[: len(query)], np.arange(len(query)), 0))
+    keep = np.arange(len(query)) - start < most
+    return [(query[keep], kind[keep], score[keep])]
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    """``query``, ``class``, ``score``: the best of all block pairs (``asked``, ``stored``).
+
+    A task merges what its pairs find for a query and sends that query's best as one row, so what
+    it sends grows with its queries, not with the buckets they visit. A second step merges a
+    query's rows. Both hold at most about ``HELD`` candidates.
+    """
+    most = k + 1 + SPARE
+
+    def compact(found: list, held: int) -> tuple[list, int]:
+        found = _merged(found, most)
+        return found, len(found[0][0])
+
+    def packed(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        query, kind, score = part
+        first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])[: len(query)])
+        offsets = pa.array(np.append(first, len(query)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in (kind.astype(np.int64), score.astype(np.float64))]
+        return pa.RecordBatch.from_arrays([pa.array(query[first].astype(np.int64)), *lists], ["query", "classes", "scores"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
-            out = []
             for asked, stored in zip(batch.column(0), batch.column(1), strict=True):
                 asked, stored = asked.values, stored.values
                 q, x = _array(asked.field("vec")), _array(stored.field("vec"))
                 own, kinds = np.asarray(asked.field("query")), np.asarray(stored.field("class"))
                 rough = q @ x.T
-                top = min(k + 1 + SPARE, len(x))
+                top = min(most, len(x))
                 at = np.argpartition(rough, len(x) - top, axis=1)[:, len(x) - top :]
                 exact = (q[:, None, :] * x[at]).sum(-1)
-                out.append((np.repeat(own, top), kinds[at].ravel(), exact.ravel()))
-            query, kind, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0),) * 3
+                found.append((np.repeat(own, top), kinds[at].ravel(), exact.ravel()))
+                held += len(own) * top
+            if held > HELD:
+                found, held = compact(found, held)
+                if held > HELD // 2:
+                    yield packed(found[0])
+                    found, held = [], 0
+        if found:
+            yield packed(compact(found, held)[0][0])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for batch in batches:
+            sizes = np.diff(np.asarray(batch.column(1).offsets))
+            kinds, scores = (np.asarray(batch.column(i).flatten()) for i in (1, 2))
+            found.append((np.repeat(np.asarray(batch.column(0)), sizes), kinds, scores))
+            held += len(kinds)
+            if held > HELD:  # the queries of a task and their best stay
+                found, held = compact(found, held)
+        if found:
+            query, kind, score = compact(found, held)[0][0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query.astype(np.int64)), pa.array(kind.astype(np.int64)), pa.array(score.astype(np.float64))],
-                ["query", "class", "score"],
+                [pa.array(query.astype(np.int64)), pa.array(kind.astype(np.int64)), pa.array(score)], ["query", "class", "score"]
             )
 
     spark = pairs.sparkSession
     with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(PAIRS_PER_BATCH)):
-        return written(pairs.select("asked", "stored").mapInArrow(run, "query long, class long, score double"))
+        lists = written(
+            pairs.select("asked", "stored").mapInArrow(compare, "query long, classes array<long>, scores array<double>")
+        )
+    return written(lists.repartition("query").mapInArrow(merge, "query long, class long, score double"))
 
 
 def _answers(found: DataFrame, distinct: DataFrame, k: int) -> DataFrame:
@@ -191,8 +242,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id"
     distinct = classes(usable(rows, key, vector), k)
     asked = written(usable(queries, key, vector).dropDuplicates(["id"]))
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    projections = fitted(distinct, k)
-    if projections is None or asked.isEmpty():
+    projections, wanted = fitted(distinct, k), asked.count()
+    if projections is None or not wanted:
         return empty
     dim = projections.lines.shape[1] - 1
 
@@ -224,7 +275,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id"
     index = distinct.select("class", "vec").mapInArrow(stored, "class long, vec array<double>, bucket long, table int")
     index = written(index)
     blocks = _blocked(index.drop("table"), ["class", "vec"], "stored")
-    probes = _blocked(same_length.mapInArrow(probed, "query long, vec array<double>, bucket long"), ["query", "vec"], "asked")
+    spread = same_length.repartition(math.ceil(wanted / BLOCK), "query")
+    probes = _blocked(spread.mapInArrow(probed, "query long, vec array<double>, bucket long"), ["query", "vec"], "asked")
     found = _best(blocks.join(probes, "bucket"), k)
     answers = written(_answers(found, distinct, k))
     # queries with too few answers, though there are more vectors
