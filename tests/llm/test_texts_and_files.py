@@ -384,6 +384,26 @@ def test_queries_without_candidates_are_compared_with_all(spark, monkeypatch):
     assert len(got) == 15 and all(len(f) == 20 for f in got.values())
 
 
+def test_success_is_reached_at_every_size():
+    rng = np.random.default_rng(4)
+    for n in (20_000, 30_000_000, 10**9):
+        projections = neighbours.Projections(8, neighbours.depth_for(n), 1.0, 1.0)
+        for query in rng.normal(size=(20, 8)):
+            assert projections.probed(0, query) is not None
+    deep = neighbours.Projections(8, 11, 1.0, 1.0)
+    assert all(deep.probed(0, query) is None for query in rng.normal(size=(5, 8)))
+
+
+def test_queries_beyond_the_beam_are_compared_with_all(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 8))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "BEAM", 2)
+    monkeypatch.setattr(neighbours, "depth_for", lambda n: 3)
+    got, want = answers(neighbours.search(frame, frame.where("vec_id % 50 = 0"), k=10)), exact(np.arange(3000), x, 10)
+    assert all([j for j, _ in got[i]] == [j for j, _ in want[i]] for i in range(0, 3000, 50))
+
+
 # ------------------------------------------------------------------ pipeline
 
 

@@ -11,8 +11,9 @@ inner product in double precision on the original vectors.
 Equal vectors are searched as one, with as many of their smallest ids as an answer can hold, so a hot
 vector costs one row. Buckets are cut into blocks of about ``BLOCK`` rows and joined block by block. The
 typical neighbour distance comes from a sample of at most ``SAMPLE`` vectors; in a sample neighbours
-are further away than in all rows, which errs towards more probes. Queries that end with fewer
-neighbours than asked for are compared with all vectors, in blocks.
+are further away than in all rows, which errs towards more probes. A table has as many projections as its rows
+ask for, but no more than let ``BEAM`` buckets reach ``SUCCESS``. Queries that would have to visit more, and those
+that end with fewer neighbours than asked for, are compared with all vectors, in blocks.
 
 Vectors that are NULL, zero, of another length than most, or hold NULL or non-finite components take no part, nor do
 rows without an id. Rows that share an id are never neighbours of each other. An empty table gives no rows.
@@ -36,6 +37,7 @@ TABLES, SUCCESS = 4, 0.5
 BUCKETS_FOR = 200
 BLOCK = 256
 SAMPLE = 2000
+WIDTH = 4 / 3
 BEAM = 2048
 SPARE = 4
 PAIRS_PER_BATCH = 64
@@ -62,12 +64,42 @@ def classes(vectors: DataFrame, k: int) -> DataFrame:
     return written(grouped.select(F.monotonically_increasing_id().alias("class"), "vec", "ids"))
 
 
+def likeliest(place: np.ndarray, width: float) -> np.ndarray | None:
+    """The likeliest cells of a neighbour at distance 1 from ``place``, until ``SUCCESS`` is spent; None if ``BEAM`` fall short.
+
+    The likeliest ``BEAM`` cells start with cells that are the likeliest ``BEAM`` of the first coordinates.
+    """
+    home = np.floor(place).astype(np.int64)
+    reach = math.ceil(4 / width)
+    offsets = np.arange(-reach, reach + 1)
+    chance, cells = np.ones(1), np.zeros((1, 0), np.int64)
+    for i in range(len(place)):
+        edges = (np.append(offsets, reach + 1) - (place[i] - home[i])) * width
+        below = np.array([0.5 * (1 + math.erf(z / math.sqrt(2))) for z in edges])
+        chance = (chance[:, None] * np.diff(below)).ravel()
+        best = np.argsort(-chance, kind="stable")[:BEAM]
+        cells = np.column_stack([cells[best // len(offsets)], home[i] + offsets[best % len(offsets)]])
+        chance = chance[best]
+        if chance.sum() < SUCCESS:
+            return None
+    return cells[: int(np.searchsorted(np.cumsum(chance), SUCCESS)) + 1]
+
+
+def depth_for(n: int) -> int:
+    """Projections per table for ``n`` distinct vectors: at most as many as let ``BEAM`` cells reach ``SUCCESS`` wherever a query lies."""
+    depth = max(1, round(math.log(max(n / BUCKETS_FOR, 1)) / math.log(4)))
+    places = np.random.default_rng(2_005).uniform(size=(50, depth))
+    while depth > 1 and any(likeliest(place[:depth], WIDTH) is None for place in places):
+        depth -= 1
+    return depth
+
+
 class Projections:
     """The tables' random projections, and the buckets that they give vectors and probes."""
 
     def __init__(self, dim: int, depth: int, distance: float, largest: float):
         rng = np.random.default_rng(2_004)
-        self.width = distance * 4 / 3
+        self.width = distance * WIDTH
         self.lines = rng.normal(size=(TABLES, dim + 1, depth))
         self.shifts = rng.uniform(0, self.width, (TABLES, depth))
         self.distance, self.largest, self.depth = distance, largest, depth
@@ -85,23 +117,11 @@ class Projections:
             code = mixed(code * np.uint64(31) + cells[:, i].astype(np.uint64))
         return code.view(np.int64)
 
-    def probed(self, table: int, x: np.ndarray) -> np.ndarray:
-        """Codes of the buckets to visit for one query, most promising first."""
+    def probed(self, table: int, x: np.ndarray) -> np.ndarray | None:
+        """Codes of the buckets to visit for one query, most promising first; None if ``BEAM`` do not reach ``SUCCESS``."""
         scaled = x * (self.largest / math.sqrt(float(x @ x)))
-        place = self._cells(table, np.append(scaled, 0.0)[None])[0]
-        home = np.floor(place).astype(np.int64)
-        reach = math.ceil(4 * self.distance / self.width)
-        offsets = np.arange(-reach, reach + 1)
-        chance, cells = np.ones(1), np.zeros((1, 0), np.int64)
-        for i in range(self.depth):
-            edges = (np.append(offsets, reach + 1) - (place[i] - home[i])) * self.width / self.distance
-            below = np.array([0.5 * (1 + math.erf(z / math.sqrt(2))) for z in edges])
-            chance = (chance[:, None] * np.diff(below)).ravel()
-            cells = np.column_stack([np.repeat(cells, len(offsets), 0), np.tile(home[i] + offsets, len(cells))])
-            best = np.argsort(-chance, kind="stable")[:BEAM]
-            chance, cells = chance[best], cells[best]
-        count = int(np.searchsorted(np.cumsum(chance), SUCCESS)) + 1
-        return self._code(table, cells[:count])
+        cells = likeliest(self._cells(table, np.append(scaled, 0.0)[None])[0], self.width / self.distance)
+        return None if cells is None else self._code(table, cells)
 
 
 def _array(column: pa.Array) -> np.ndarray:
@@ -124,8 +144,7 @@ def fitted(distinct: DataFrame, k: int) -> Projections | None:
         distance = float(np.median(np.sqrt(np.maximum(2 * largest**2 - 2 * near, 0))))
     else:
         distance = float(largest)
-    depth = max(1, round(math.log(max(n / BUCKETS_FOR, 1)) / math.log(4)))
-    return Projections(x.shape[1], depth, max(distance, 1e-6 * float(largest)), float(largest))
+    return Projections(x.shape[1], depth_for(n), max(distance, 1e-6 * float(largest)), float(largest))
 
 
 def _blocked(rows: DataFrame, members: list[str], out: str) -> DataFrame:
@@ -261,10 +280,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id"
         for batch in batches:
             x, owner, codes = _array(batch.column(1)), [], []
             for i in range(len(x)):
-                for table in range(TABLES):
-                    found = projections.probed(table, x[i])
-                    codes.append(found)
-                    owner.append(np.full(len(found), i))
+                found = [projections.probed(table, x[i]) for table in range(TABLES)]
+                if any(f is None for f in found):  # compared with all
+                    continue
+                codes.extend(found)
+                owner.append(np.full(sum(len(f) for f in found), i))
             if owner:
                 at = pa.array(np.concatenate(owner))
                 yield pa.RecordBatch.from_arrays(
