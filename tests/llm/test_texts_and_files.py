@@ -404,6 +404,19 @@ def test_queries_beyond_the_beam_are_compared_with_all(spark, monkeypatch):
     assert all([j for j, _ in got[i]] == [j for j, _ in want[i]] for i in range(0, 3000, 50))
 
 
+@pytest.mark.parametrize(("noise", "beam"), [(0.2, 2048), (0.4, 2048), (0.2, 64)])
+def test_recall_of_each_part_of_a_table_of_mixed_density(spark, monkeypatch, noise, beam):
+    monkeypatch.setattr(neighbours, "BEAM", beam)
+    rng = np.random.default_rng(6)
+    tight = [c + rng.normal(size=(60, 64)) * noise for c in rng.normal(size=(60, 64))]
+    x = np.concatenate([*tight, rng.normal(size=(2400, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got, want = answers(neighbours.search(frame, frame.where("vec_id % 60 = 0"), k=20)), exact(np.arange(6000), x, 20)
+    for part in (range(0, 3600, 60), range(3600, 6000, 60)):
+        hits = sum(len({j for j, _ in got[i]} & {j for j, _ in want[i]}) for i in part)
+        assert hits / (20 * len(part)) >= 0.88
+
+
 # ------------------------------------------------------------------ pipeline
 
 

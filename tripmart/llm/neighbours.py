@@ -8,6 +8,11 @@ A neighbour is missed by all tables with probability about ``(1 - SUCCESS) ** TA
 data; what the data decide is how much of the table that takes. Candidates are reranked by their
 inner product in double precision on the original vectors.
 
+The distance is each query's own. Buckets are first probed at the typical distance. A query's last answer is then
+no nearer than its last neighbour; where it is further away than typical, the query goes on to the buckets that
+reach ``SUCCESS`` at that distance. Those cells are star-shaped around the query, so that nearer neighbours are in them with a
+higher probability still.
+
 Equal vectors are searched as one, with as many of their smallest ids as an answer can hold, so a hot
 vector costs one row. Buckets are cut into blocks of about ``BLOCK`` rows and joined block by block. The
 typical neighbour distance comes from a sample of at most ``SAMPLE`` vectors; in a sample neighbours
@@ -117,10 +122,13 @@ class Projections:
             code = mixed(code * np.uint64(31) + cells[:, i].astype(np.uint64))
         return code.view(np.int64)
 
-    def probed(self, table: int, x: np.ndarray) -> np.ndarray | None:
-        """Codes of the buckets to visit for one query, most promising first; None if ``BEAM`` do not reach ``SUCCESS``."""
+    def probed(self, table: int, x: np.ndarray, distance: float | None = None) -> np.ndarray | None:
+        """Codes of the buckets to visit for one query, most promising first; None if ``BEAM`` do not reach ``SUCCESS``.
+
+        Its neighbours are at the typical distance, or at ``distance``.
+        """
         scaled = x * (self.largest / math.sqrt(float(x @ x)))
-        cells = likeliest(self._cells(table, np.append(scaled, 0.0)[None])[0], self.width / self.distance)
+        cells = likeliest(self._cells(table, np.append(scaled, 0.0)[None])[0], self.width / (distance or self.distance))
         return None if cells is None else self._code(table, cells)
 
 
@@ -148,8 +156,7 @@ def fitted(distinct: DataFrame, k: int) -> Projections | None:
 
 
 def _blocked(rows: DataFrame, members: list[str], out: str) -> DataFrame:
-    """Rows of a bucket gathered into blocks of about ``BLOCK``: ``bucket``, ``out``."""
-    rows = written(rows)
+    """Rows of a bucket gathered into blocks of about ``BLOCK``: ``bucket``, ``out``. ``rows`` are read twice from a written table."""
     sizes = written(
         rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).withColumnRenamed("bucket", "_bucket")
     )
@@ -279,36 +286,62 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id"
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, owner, codes = _array(batch.column(1)), [], []
+            reach = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(x)
             for i in range(len(x)):
-                found = [projections.probed(table, x[i]) for table in range(TABLES)]
-                if any(f is None for f in found):  # compared with all
+                found = [projections.probed(table, x[i], reach[i]) for table in range(TABLES)]
+                if any(f is None for f in found):  # falls short: one row without a bucket
+                    owner.append(np.array([i]))
+                    codes.append(pa.nulls(1, pa.int64()))
                     continue
-                codes.extend(found)
-                owner.append(np.full(sum(len(f) for f in found), i))
+                for table, new in enumerate(found):
+                    before = None if reach[i] is None else projections.probed(table, x[i])
+                    if before is not None:
+                        new = new[~np.isin(new, before)]
+                    owner.append(np.full(len(new), i))
+                    codes.append(pa.array(new))
             if owner:
                 at = pa.array(np.concatenate(owner))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(codes))], ["query", "vec", "bucket"]
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.concat_arrays(codes)], ["query", "vec", "bucket"]
                 )
 
+    def visited(queries: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+        """Scored classes from the buckets of the queries, and the queries that fall short."""
+        spread = queries.repartition(math.ceil(n / BLOCK), "query")
+        probes = written(spread.mapInArrow(probed, "query long, vec array<double>, bucket long"))
+        found = _best(blocks.join(_blocked(probes.where("bucket IS NOT NULL"), ["query", "vec"], "asked"), "bucket"), k)
+        return found, probes.where("bucket IS NULL").select(F.col("query").alias("_query"))
+
     same_length = asked.where(F.size("vec") == dim).select(F.col("id").alias("query"), "vec")
     index = distinct.select("class", "vec").mapInArrow(stored, "class long, vec array<double>, bucket long, table int")
-    index = written(index)
-    blocks = _blocked(index.drop("table"), ["class", "vec"], "stored")
-    spread = same_length.repartition(math.ceil(wanted / BLOCK), "query")
-    probes = _blocked(spread.mapInArrow(probed, "query long, vec array<double>, bucket long"), ["query", "vec"], "asked")
-    found = _best(blocks.join(probes, "bucket"), k)
+    blocks = _blocked(written(index.drop("table")), ["class", "vec"], "stored")
+    found, _ = visited(same_length, wanted)
     answers = written(_answers(found, distinct, k))
-    # queries with too few answers, though there are more vectors
+    # a query's k-th answer is no nearer than its k-th neighbour: where it is beyond the typical distance, probe on
     ids = distinct.agg(F.sum(F.size("ids"))).first()[0]
-    enough = answers.groupBy("query_id").count().where(F.col("count") >= min(k, ids - 1))
-    short = written(same_length.join(enough, F.col("query") == F.col("query_id"), "left_anti"))
+    last = answers.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("last")).where(F.col("n") >= min(k, ids - 1))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    square = 2 * projections.largest**2 - 2 * projections.largest * F.col("last") / norm
+    reached = written(
+        same_length.join(last, F.col("query") == F.col("query_id")).select("query", "vec", F.sqrt(F.greatest(square, F.lit(0.0))).alias("reach"))
+    )
+    short = same_length.join(reached.select(F.col("query").alias("_query")), F.col("query") == F.col("_query"), "left_anti")
+    further = reached.where(F.col("reach") > projections.distance * (1 + 1e-9))
+    n = further.count()
+    if n:
+        more, beyond = visited(further, n)
+        both = found.join(further.select(F.col("query").alias("_query")), F.col("query") == F.col("_query"), "left_semi").union(more)
+        settled = answers.join(further, F.col("query_id") == F.col("query"), "left_anti")
+        answers = written(settled.union(_answers(both, distinct, k).select(settled.columns)))
+        short = short.union(further.select("query", "vec").join(beyond, F.col("query") == F.col("_query"), "left_semi"))
+    # queries with too few answers, though there are more vectors, or without enough buckets
+    short = written(short)
     if short.isEmpty():
         return answers
     every = _blocked(
-        distinct.select("class", "vec", F.pmod(F.xxhash64("class"), F.lit(64)).alias("bucket")), ["class", "vec"], "stored"
+        written(distinct.select("class", "vec", F.pmod(F.xxhash64("class"), F.lit(64)).alias("bucket"))), ["class", "vec"], "stored"
     )
     asking = short.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(63)).cast("array<long>")))
-    whole = _best(every.join(_blocked(asking, ["query", "vec"], "asked"), "bucket"), k)
+    whole = _best(every.join(_blocked(written(asking), ["query", "vec"], "asked"), "bucket"), k)
     rest = answers.join(short, F.col("query_id") == F.col("query"), "left_anti")
     return rest.union(_answers(whole, distinct, k).select(rest.columns))
