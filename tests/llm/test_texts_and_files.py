@@ -190,6 +190,19 @@ def test_recurring_paragraphs_of_articles_stay(spark):
     assert {r.text for r in html_text.main_text(pages).collect()} == {"Same title\nSame words on every page."}
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["<div class='content has-sidebar'>", "<div id='page' class='right-sidebar'>", "<div class='share'><div class='ad x'>", "<form>"]
+)
+def test_names_of_wrappers_do_not_remove_the_text(wrapper):
+    body = "<p>The text of this page, a sentence of some length.</p><p>And one more.</p>"
+    want = "The text of this page, a sentence of some length.\nAnd one more."
+    menu = "<nav>Home</nav><div class='sidebar'>Side</div>"
+    for inner in (f"<article>{body}</article>", f"<div>{body}</div>"):
+        assert html_text.extracted(f"<body>{menu}{wrapper}{inner}<div class='widget'>Box</div>", frozenset()) == want
+    talk = "<div id='comments'>" + "<p>A comment that goes on and on.</p>" * 20 + "</div>"
+    assert html_text.extracted(f"<body>{menu}<article>{body}</article>{talk}", frozenset()) == want
+
+
 def test_extraction_of_awkward_pages(spark):
     rows = [(1, None, None, "x"), (None, "http://h/1", "", "x"), (2, "no url", "<p>a</p>", None), (2, "no url", "<p>a</p>", None)]
     rows.append((3, "http://h/2", "<article>" + "<p>word</p>" * 50_000 + "</article>", "x"))

@@ -7,7 +7,8 @@ lies outside the main element; recurring means on ``LEAST`` pages and a ``SHARE`
 a host has at most ``1 / SHARE`` times a page's containers of such hashes. What HTML or common class
 names mark as menus, headers, footers, adverts, notices, forms or comments goes on every page,
 however rare. The main element (``article``, ``main``, or else the element with the most text of its own) and
-its ancestors stay, and so do paragraphs and headings in it that merely recur.
+its ancestors stay, and so do paragraphs and headings in it that merely recur. A name or a form alone
+does not remove the only article, nor what holds most of the page's text.
 
 A NULL html is an empty one and gives an empty text; a NULL url is a host of its own. Unclosed, crossing
 and unknown tags are tolerated. Repeated rows are pages of their own, an empty table gives no rows. All
@@ -47,6 +48,7 @@ NAMES = frozenset(
     "pager popup promo promotion recommended related reply replies respond responses share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+COMMENTS = frozenset("comment comments disqus reply replies respond responses".split())
 HEADS_OF_TEXT = frozenset("article content entry post story".split())
 ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 CLOSED_BY = {
@@ -76,6 +78,7 @@ class Node:
     parent: Node | None
     names: tuple[str, ...] = ()
     named: bool = False
+    only_named: bool = False
     children: list = field(default_factory=list)
     own: int = 0
 
@@ -88,23 +91,66 @@ def _node(tag: str, rest: str, parent: Node) -> Node:
     found = _attributes(rest) if rest.strip(" /\n\t") else {}
     labels = _HUMP.sub(r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}").lower()
     words = tuple(re.split(r"[\s_\-]+", labels.strip()))
-    named = (
-        tag in NO_TEXT
+    sure = (
+        (tag in NO_TEXT and tag != "form")
         or found.get("role", "").lower() in ROLES
         or "hidden" in found
         or found.get("aria-hidden", "").lower() == "true"
-        or not NAMES.isdisjoint(words)
     )
+    named = sure or tag == "form" or not NAMES.isdisjoint(words)
     if tag == "header" or ("header" in words and HEADS_OF_TEXT.isdisjoint(words)):
         above = parent
         while above is not None and above.tag not in ("article", "main"):
             above = above.parent
         named = named or above is None
-    return Node(tag, parent, words, named and tag not in ("html", "body", "main"))
+    return Node(tag, parent, words, named and tag not in ("html", "body", "main"), not sure and tag != "header")
 
 
 def parsed(page: str) -> Node:
-    """The root of the page's tree."""
+    """The root of the page's tree, without marks that a name alone gives to what holds the page's text."""
+    root = _tree(page)
+    _unmark(root)
+    return root
+
+
+def _unmark(root: Node) -> None:
+    """Take the marks by name (or form) off the elements around the main text.
+
+    These are the ancestors of the longest ``article`` or ``main`` if all of these are in marked elements, and elements
+    with most of the page's text, unless an unmarked ``article`` or ``main`` outside has a quarter as much (any, for comments).
+    """
+    nodes = _below(root)
+    if not any(n.named and n.only_named for n in nodes):
+        return
+    long: dict[int, int] = {}
+    for node in nodes:
+        sure = node.named and not node.only_named
+        long[id(node)] = 0 if sure else sum(len(c.strip()) if isinstance(c, str) else long[id(c)] for c in node.children)
+    every = sum(len(c.strip()) for n in nodes for c in n.children if isinstance(c, str))
+    heads = [n for n in nodes if n.tag in ("article", "main") and not n.named and long[id(n)]]
+
+    def marked(node: Node | None) -> list[Node]:
+        out = []
+        while node is not None:
+            if node.named:
+                out.append(node)
+            node = node.parent
+        return out
+
+    if heads and all(marked(n) for n in heads):
+        around = {id(n): marked(n) for n in heads}
+        inside = [n for n in heads if all(m.only_named for m in around[id(n)])]
+        for node in around[id(max(inside, key=lambda n: long[id(n)]))] if inside else []:
+            node.named = False
+    for node in reversed(nodes):
+        if node.named and node.only_named and 2 * long[id(node)] > every:
+            within = {id(n) for n in _below(node)}
+            least = 1 if not COMMENTS.isdisjoint(node.names) else long[id(node)] / 4
+            if sum(long[id(n)] for n in heads if id(n) not in within and not marked(n)) < least:
+                node.named = False
+
+
+def _tree(page: str) -> Node:
     root = Node("#root", None)
     top, at = root, 0
 
