@@ -203,6 +203,24 @@ def test_names_of_wrappers_do_not_remove_the_text(wrapper):
     assert html_text.extracted(f"<body>{menu}<article>{body}</article>{talk}", frozenset()) == want
 
 
+def test_counts_decide_on_pages_with_articles(spark):
+    def page(i):
+        teasers = "".join(f"<article><p>Teaser {k}</p></article>" for k in range(2))
+        links = f'<div class="q7"><a href="/{i}">See also {i}</a></div>'
+        body = "".join(f"<p>Paragraph {i}-{k} of the text of this page.</p>" for k in range(4))
+        return i, f"http://a.example/{i}", f"<body><div class=z1>{teasers}</div><div class=b>{body}</div><p>All rights kept.</p>{links}"
+
+    def beside(i):
+        text = f"<article><p>The article number {i}, longer than the rest.</p></article><div class=k><p>Beside {i}.</p></div>"
+        return i, f"http://b.example/{i}", f"<body>{text}<ul><li>Terms of use</ul>"
+
+    rows = [page(i) for i in range(8)] + [beside(i) for i in range(20, 28)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in html_text.main_text(pages).collect()}
+    assert got[3] == [f"Paragraph 3-{k} of the text of this page." for k in range(4)]
+    assert got[23] == ["The article number 23, longer than the rest.", "Beside 23."]
+
+
 def test_extraction_of_awkward_pages(spark):
     rows = [(1, None, None, "x"), (None, "http://h/1", "", "x"), (2, "no url", "<p>a</p>", None), (2, "no url", "<p>a</p>", None)]
     rows.append((3, "http://h/2", "<article>" + "<p>word</p>" * 50_000 + "</article>", "x"))

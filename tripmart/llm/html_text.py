@@ -2,13 +2,14 @@
 
 Tasks parse each page into a tree and hash the subtrees of its containers in two ways: with their
 text, and as a frame of tags and classes alone (equal neighbours count once). Spark counts on how many
-pages of a host each hash occurs. A container goes if its text recurs, or if its frame does and it
-lies outside the main element; recurring means on ``LEAST`` pages and a ``SHARE`` of the host's pages, so
-a host has at most ``1 / SHARE`` times a page's containers of such hashes. What HTML or common class
-names mark as menus, headers, footers, adverts, notices, forms or comments goes on every page,
-however rare. The main element (``article``, ``main``, or else the element with the most text of its own) and
-its ancestors stay, and so do paragraphs and headings in it that merely recur. A name or a form alone
-does not remove the only article, nor what holds most of the page's text.
+pages of a host each hash occurs. A container, or a paragraph or list item outside the main text, goes if its text
+recurs; a container mostly of links outside the main text goes if its frame does. Recurring means on ``LEAST`` pages and a
+``SHARE`` of the host's pages, so a host has at most ``1 / SHARE`` times a page's elements of such hashes. The
+element with the most text of its own and its ancestors stay. An ``article`` or ``main`` and what is in it goes only by recurring text, its
+paragraphs and headings never alone.
+
+What HTML or common class names mark as menus, headers, footers, adverts, notices, forms or comments goes on every page, however
+rare, but a name or a form alone does not remove the only article, nor what holds most of the page's text.
 
 A NULL html is an empty one and gives an empty text; a NULL url is a host of its own. Unclosed, crossing
 and unknown tags are tolerated. Repeated rows are pages of their own, an empty table gives no rows. All
@@ -39,6 +40,7 @@ BLOCKS = frozenset(
     "th thead tr ul".split()
 )
 CONTAINERS = frozenset("aside center details div dl fieldset figure footer form header menu nav ol section table ul".split())
+HINTS = frozenset("article main".split())
 RAW = frozenset("script style noscript iframe template textarea title xmp svg math object select canvas video audio".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("head nav footer aside form button dialog menu label input datalist".split())
@@ -235,72 +237,88 @@ def hashes(root: Node) -> dict[int, tuple[int, int]]:
     return out
 
 
-def main_elements(root: Node) -> list[Node]:
-    """The outermost unmarked ``article`` or ``main`` elements with text, or else the element with most own text."""
-    found, todo, best, most = [], [root], root, -1
+def main_element(root: Node) -> Node:
+    """The unmarked element with the most text of its own."""
+    todo, best, most = [root], root, -1
     while todo:
         node = todo.pop()
         if node.named:
             continue
-        if node.tag in ("article", "main") and _has_text(node):
-            found.append(node)
-            continue
         own = sum(
             len(c.strip()) if isinstance(c, str) else sum(len(x.strip()) for x in c.children if isinstance(x, str))
             for c in node.children
-            if isinstance(c, str) or (c.tag not in CONTAINERS and not c.named)
+            if isinstance(c, str) or (c.tag not in CONTAINERS and c.tag not in HINTS and not c.named)
         )
-        if own > most and (node.tag in CONTAINERS or node.tag in ("body", "#root", "td")):
+        if own > most and (node.tag in CONTAINERS or node.tag in HINTS or node.tag in ("body", "#root", "td")):
             best, most = node, own
         todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
-    return found or [best]
+    return best
 
 
-def _has_text(node: Node) -> bool:
-    todo = [node]
+def _links(node: Node) -> bool:
+    """Whether at least half of the text below is in links."""
+    linked = every = 0
+    todo = [(node, False)]
     while todo:
-        for child in todo.pop().children:
-            if isinstance(child, str):
-                if child.strip():
-                    return True
-            elif not child.named:
-                todo.append(child)
-    return False
-
-
-def _protected(mains: list[Node]) -> set[int]:
-    out = set()
-    for node in mains:
-        while node is not None:
-            out.add(id(node))
-            node = node.parent
+        node, link = todo.pop()
+        link = link or node.tag == "a"
+        for child in node.children:
+            if isinstance(child, Node):
+                todo.append((child, link))
+            else:
+                every += len(child.strip())
+                linked += len(child.strip()) if link else 0
+    return 2 * linked >= every
+
+
+def _tests(root: Node) -> dict[int, tuple[int, ...]]:
+    """For every element (by ``id``) that may be template the hashes by which it is, if they recur."""
+    found = None
+    best = main_element(root)
+    kept, inside, hinted = set(), {id(n) for n in _below(best)}, set()
+    node = best
+    while node is not None:
+        kept.add(id(node))
+        node = node.parent
+    out: dict[int, tuple[int, ...]] = {}
+    todo = [(root, False)]
+    while todo:
+        node, article = todo.pop()
+        if node.named:
+            continue
+        if node.tag in HINTS:
+            article = True
+            above = node
+            while above is not None and id(above) not in hinted:
+                hinted.add(id(above))
+                above = above.parent
+        elif article:
+            hinted.add(id(node))
+        if id(node) not in kept:
+            if node.tag in CONTAINERS or node.tag in HINTS:
+                out[id(node)] = ()
+            elif node.tag in ("p", "li") and id(node) not in inside and not article:
+                out[id(node)] = ()
+        todo.extend((c, article) for c in node.children if isinstance(c, Node))
+    if out:
+        found = hashes(root)
+        for node in _below(root):
+            if id(node) in out:
+                whole, frame = found[id(node)]
+                framed = node.tag in CONTAINERS and id(node) not in inside and id(node) not in hinted and _links(node)
+                out[id(node)] = (whole, frame) if framed else (whole,)
     return out
 
 
 def candidates(page: str) -> list[int]:
-    """The distinct hashes by which a container of the page may turn out to be template."""
-    root = parsed(page)
-    found, out = hashes(root), set()
-    mains = main_elements(root)
-    inside = {id(n) for m in mains for n in _below(m)}
-    kept = _protected(mains)
-    for node in _below(root):
-        if node.tag in CONTAINERS and id(node) not in kept:
-            whole, frame = found[id(node)]
-            out.add(whole)
-            if id(node) not in inside:
-                out.add(frame)
-    return sorted(out)
+    """The distinct hashes by which an element of the page may turn out to be template."""
+    return sorted({h for tests in _tests(parsed(page)).values() for h in tests})
 
 
 def extracted(page: str, template: frozenset[int]) -> str:
     """The blocks of the main text, one per line."""
     root = parsed(page)
-    mains = main_elements(root)
-    found = hashes(root) if template else {}
-    inside = {id(n) for m in mains for n in _below(m)} if template else set()
-    kept = _protected(mains)
-    whole_page = not any(m.tag in ("article", "main") for m in mains)
+    tests = _tests(root) if template else {}
     lines: list[str] = []
     block: list[str] = []
 
@@ -310,7 +328,7 @@ def extracted(page: str, template: frozenset[int]) -> str:
         if line:
             lines.append(line)
 
-    todo: list = [root] if whole_page else list(reversed(mains))
+    todo: list = [root]
     while todo:
         node = todo.pop()
         if node is None:
@@ -320,13 +338,8 @@ def extracted(page: str, template: frozenset[int]) -> str:
         elif node.tag in ("br", "wbr", "img", "input"):
             block.append(" " if node.tag == "br" else "")
         else:
-            if id(node) not in kept:
-                if node.named:
-                    continue
-                if template and node.tag in CONTAINERS:
-                    whole, frame = found[id(node)]
-                    if whole in template or (id(node) not in inside and frame in template):
-                        continue
+            if node.named or not template.isdisjoint(tests.get(id(node), ())):
+                continue
             if node.tag in BLOCKS:
                 close()
                 todo.append(None)
