@@ -221,6 +221,18 @@ def test_counts_decide_on_pages_with_articles(spark):
     assert got[23] == ["The article number 23, longer than the rest.", "Beside 23."]
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    def page(i):
+        box = "<div class=q><p>Spring offers of this section</p></div>" if i < 5 else "<div class=q><p>Twice</p></div>" if i < 7 else ""
+        return i, f"http://a.example/{i}", f"<body>{box}<div><p>The text of page {i}, longer than boxes.</p></div></body>"
+
+    for size in (40, 400):
+        pages = spark.createDataFrame([page(i) for i in range(size)], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+        for i in range(size):
+            assert got[i] == ("Twice\n" if 5 <= i < 7 else "") + f"The text of page {i}, longer than boxes."
+
+
 def test_extraction_of_awkward_pages(spark):
     rows = [(1, None, None, "x"), (None, "http://h/1", "", "x"), (2, "no url", "<p>a</p>", None), (2, "no url", "<p>a</p>", None)]
     rows.append((3, "http://h/2", "<article>" + "<p>word</p>" * 50_000 + "</article>", "x"))

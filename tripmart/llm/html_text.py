@@ -3,8 +3,8 @@
 Tasks parse each page into a tree and hash the subtrees of its containers in two ways: with their
 text, and as a frame of tags and classes alone (equal neighbours count once). Spark counts on how many
 pages of a host each hash occurs. A container, or a paragraph or list item outside the main text, goes if its text
-recurs; a container mostly of links outside the main text goes if its frame does. Recurring means on ``LEAST`` pages and a
-``SHARE`` of the host's pages, so a host has at most ``1 / SHARE`` times a page's elements of such hashes. The
+recurs; a container mostly of links outside the main text goes if its frame does. Recurring means on ``LEAST`` pages of the host, whatever its size. A
+page learns which of its own elements recur, so no task holds a list of a host, and pages of a hot host are salted. The
 element with the most text of its own and its ancestors stay. An ``article`` or ``main`` and what is in it goes only by recurring text, its
 paragraphs and headings never alone.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,7 +32,8 @@ from pyspark.sql import types as T
 
 from tripmart.llm.shared import small, written
 
-LEAST, SHARE = 3, 0.1
+LEAST = 3
+PAGES_PER_SALT = 4096
 
 # What elements and names of HTML mean.
 BLOCKS = frozenset(
@@ -358,34 +360,36 @@ def main_text(pages: DataFrame, url: str = "url", body: str = "html") -> DataFra
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            hosts, out = [], []
-            for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            owner, out = [], []
+            for i, page in enumerate(batch.column(3).to_pylist()):
                 found = candidates(page or "")
-                hosts.extend([host] * len(found))
+                owner.extend([i] * len(found))
                 out.extend(found)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, pa.int64())], ["host", "hash"])
-
-    hosts = pages.select(_host(url).alias("host"), body)
-    counts = hosts.mapInArrow(hashed, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = hosts.groupBy("host").agg(F.count("*").alias("pages")).withColumnRenamed("host", "_of")
-    recurring = counts.join(sizes, F.col("host") == F.col("_of")).where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages")))
-    # at most 1 / SHARE times the containers of a page for each host
-    templates = written(recurring.groupBy("host").agg(F.collect_list("hash").alias("_template")).withColumnRenamed("host", "_of"))
+            at = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(3)), pa.array(out, pa.int64())], ["host", "x", "y", "hash"])
+
+    # equal pages of a url have the same elements, so they may share x and y
+    marks = {"_x": F.xxhash64(url, body), "_y": F.xxhash64(F.lit(1), url, body)}
+    known = pages.select(_host(url).alias("host"), marks["_x"].alias("x"), marks["_y"].alias("y"), body)
+    found = written(known.mapInArrow(hashed, "host string, x long, y long, hash long"))
+    # hot hosts: the pages of an element are dealt over salts, and each salt learns whether the element recurs
+    salts = max(64, math.ceil(found.count() / PAGES_PER_SALT))
+    found = found.withColumn("salt", F.pmod("x", F.lit(salts)))
+    parts = written(found.groupBy("host", "hash", "salt").agg(F.count("*").alias("n")))
+    recurring = parts.groupBy("host", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("host", "hash")
+    where = parts.select("host", "hash", "salt").join(recurring, ["host", "hash"], "left_semi")
+    hits = found.join(where, ["host", "hash", "salt"], "left_semi")
+    templates = written(hits.groupBy(F.col("x").alias("_of_x"), F.col("y").alias("_of_y")).agg(F.collect_set("hash").alias("_template")))
     kept = [c for c in pages.columns if c != "text"]
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[tuple, frozenset] = {}
         for batch in small(batches):
             columns = [batch.column(i) for i in range(len(kept))]
-            texts = []
-            for page, template in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):
-                known = tuple(template or ())
-                if known not in sets:
-                    sets = {known: frozenset(known)} if len(sets) > 1000 else sets | {known: frozenset(known)}
-                texts.append(extracted(page or "", sets[known]))
+            bodies, lists = (batch.column(len(kept) + i).to_pylist() for i in range(2))
+            texts = [extracted(page or "", frozenset(template or ())) for page, template in zip(bodies, lists, strict=True)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*kept, "text"])
 
-    joined = pages.withColumn("_host", _host(url)).join(templates, F.col("_host") == F.col("_of"), "left")
+    joined = pages.withColumns(marks).join(templates, (F.col("_x") == F.col("_of_x")) & (F.col("_y") == F.col("_of_y")), "left")
     chosen = joined.select(*kept, F.col(body).alias("_body"), "_template")
     schema = T.StructType([*chosen.schema.fields[: len(kept)], T.StructField("text", T.StringType())])
     return chosen.mapInArrow(cleaned, schema)
