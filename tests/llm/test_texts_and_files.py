@@ -221,6 +221,18 @@ def test_counts_decide_on_pages_with_articles(spark):
     assert got[23] == ["The article number 23, longer than the rest.", "Beside 23."]
 
 
+def test_short_rotating_boxes_beside_long_articles_go(spark):
+    def page(i):
+        text = "".join(f"<p>Paragraph {i}-{k} of the article of this page.</p>" for k in range(12))
+        box = f"<div class=z2>Offer number {i}.</div>"
+        return i, f"http://a.example/{i}", f"<body>{box}<article>{text}</article><div class=k><p>{f'Beside {i}, at length. ' * 9}</p></div>"
+
+    pages = spark.createDataFrame([page(i) for i in range(6)], "page_id long, url string, html string")
+    for r in html_text.main_text(pages).collect():
+        lines = r.text.split("\n")
+        assert lines == [f"Paragraph {r.page_id}-{k} of the article of this page." for k in range(12)] + [(f"Beside {r.page_id}, at length. " * 9).strip()]
+
+
 def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     def page(i):
         box = "<div class=q><p>Spring offers of this section</p></div>" if i < 5 else "<div class=q><p>Twice</p></div>" if i < 7 else ""

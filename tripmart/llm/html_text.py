@@ -3,7 +3,8 @@
 Tasks parse each page into a tree and hash the subtrees of its containers in two ways: with their
 text, and as a frame of tags and classes alone (equal neighbours count once). Spark counts on how many
 pages of a host each hash occurs. A container, or a paragraph or list item outside the main text, goes if its text
-recurs; a container mostly of links outside the main text goes if its frame does. Recurring means on ``LEAST`` pages of the host, whatever its size. A
+recurs; a container outside the main text goes if its frame does
+and it is mostly links, or has less than ``ASIDE`` of the text of the article that holds the main text. Recurring means on ``LEAST`` pages of the host, whatever its size. A
 page learns which of its own elements recur, so no task holds a list of a host, and pages of a hot host are salted. The
 element with the most text of its own and its ancestors stay. An ``article`` or ``main`` and what is in it goes only by recurring text, its
 paragraphs and headings never alone.
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from tripmart.llm.shared import small, written
 
-LEAST = 3
+LEAST, ASIDE = 3, 0.1
 PAGES_PER_SALT = 4096
 
 # What elements and names of HTML mean.
@@ -257,8 +258,8 @@ def main_element(root: Node) -> Node:
     return best
 
 
-def _links(node: Node) -> bool:
-    """Whether at least half of the text below is in links."""
+def _lengths(node: Node) -> tuple[int, int]:
+    """The length of the text below, and of its part in links."""
     linked = every = 0
     todo = [(node, False)]
     while todo:
@@ -270,7 +271,7 @@ def _links(node: Node) -> bool:
             else:
                 every += len(child.strip())
                 linked += len(child.strip()) if link else 0
-    return 2 * linked >= every
+    return every, linked
 
 
 def _tests(root: Node) -> dict[int, tuple[int, ...]]:
@@ -278,10 +279,12 @@ def _tests(root: Node) -> dict[int, tuple[int, ...]]:
     found = None
     best = main_element(root)
     kept, inside, hinted = set(), {id(n) for n in _below(best)}, set()
-    node = best
+    node, article = best, None
     while node is not None:
         kept.add(id(node))
+        article = node if node.tag in HINTS else article
         node = node.parent
+    least = _lengths(article)[0] * ASIDE if article is not None else 0
     out: dict[int, tuple[int, ...]] = {}
     todo = [(root, False)]
     while todo:
@@ -307,8 +310,11 @@ def _tests(root: Node) -> dict[int, tuple[int, ...]]:
         for node in _below(root):
             if id(node) in out:
                 whole, frame = found[id(node)]
-                framed = node.tag in CONTAINERS and id(node) not in inside and id(node) not in hinted and _links(node)
-                out[id(node)] = (whole, frame) if framed else (whole,)
+                out[id(node)] = (whole,)
+                if node.tag in CONTAINERS and id(node) not in inside and id(node) not in hinted:
+                    every, linked = _lengths(node)
+                    if 2 * linked >= every or every < least:
+                        out[id(node)] = whole, frame
     return out
 
 
