@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline: rules, search, packing, shards, models, archives, duplicates and mixes."""
+"""Operators of a training-data pipeline: rules, search, packing, shards, models, archives, token files, duplicates, spelling and mixes."""
 
 import sys
 

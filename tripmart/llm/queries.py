@@ -13,8 +13,11 @@ from tripmart.llm import (
     packing,
     quality_model,
     quality_rules,
+    resampling,
     sharding,
+    spelling,
     suffix_dedup,
+    token_files,
     warc,
 )
 from tripmart.llm.oracle import ORACLE as ORACLE
@@ -97,6 +100,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_files.read(files, with_ids=False)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.occurrences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.forms(spelling.vocabulary(found)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    drawn = resampling.resample(docs.select("doc_id", "text"), target.select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -108,4 +127,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op11_token_output": op11_token_output,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_resampling": op13_resampling,
 }

@@ -47,6 +47,13 @@ def sampled(frame: DataFrame, by: list[str], rows: int) -> list:
     return frame.where(F.pmod(F.xxhash64(*by), F.lit(every)) == 0).limit(rows).collect()
 
 
+def storage_of(uri: str) -> tuple:
+    """The file system that tasks reach a shared folder or file by, and the path within it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of few, so that a task holds few texts as Python objects."""
     for batch in batches:
@@ -84,3 +91,25 @@ def gapless(frame: DataFrame, keys: list[str], order: list[str], out: str) -> Da
     return ranked.join(starts, same).select(
         *frame.columns, (F.col("_start") + F.col("_rank") - 1).cast("long").alias(out)
     )
+
+
+def globally_ranked(frame: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Number all rows from 0 in an order, with no task that sees more than its range of it.
+
+    Rows are range partitioned and sorted, their place within their part is written with them, and the parts before it
+    (one row each) say where a part starts. Equal rows are told apart by where they were read, so that many of
+    them are not one part. ``frame`` should be a written table.
+    """
+    marked = frame.withColumn("_read", F.monotonically_increasing_id())
+    place = written(
+        marked.repartitionByRange(*order, "_read")
+        .sortWithinPartitions(*order, "_read")
+        .drop("_read")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumns({"_part": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)})
+    )
+    sizes = place.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    joined = place.join(starts, F.col("_part") == F.col("_of"))
+    return joined.select(*frame.columns, (F.col("_start") + F.col("_place")).alias(out))
