@@ -1,0 +1,384 @@
+"""Token files, spelling variants and importance resampling."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from compare import connect, difference
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tripmart.llm import grammar, queries, resampling, shared, spelling, token_files
+
+LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+
+# ------------------------------------------------------------------ token files
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(token_files.default_tokenizer())
+
+
+def ids_of(tokenizer, text):
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+
+
+def test_token_files_round_trip(spark, sf_dir, tokenizer, documents):
+    found = {r.doc_id: r for r in queries.op11_token_output(spark, sf_dir).collect()}
+    at = 0
+    for doc in documents.orderBy("doc_id").collect():
+        ids, row = ids_of(tokenizer, doc.text), found.pop(doc.doc_id)
+        assert (row.start, row.n_tokens, row.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert not found
+
+
+UNUSUAL = [
+    "",
+    " \t\n\x0b\x0c\r ",
+    "don't they'll I'M IT'S 'tis x's'",
+    "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|> <| endoftext|>",
+    "J̌ǰ Éé Å µ ªº İIıi ẞß ΑΣ ΣΑΣ",
+    " nbsp   em space \u0085next ​ zero​width ﻿",
+    "\x00\x01\x1c\x1d\x1e\x1f \x7f a\x1cb",
+    "12345 ４５ ½ 3.14 1e-9 a1b2 ÀÖØöøÿ×÷ naïve café",
+    "你好世界 \U0001f600\U0001f468‍\U0001f469 한국어 ไทย नमस्ते",
+    "!!!??? --- ... ''' '''s 's't",
+    "x" * 3000,
+    "� \U0010ffff ퟿",
+]
+
+
+def test_words_have_the_ids_of_whole_texts(tokenizer):
+    import pyarrow as pa
+
+    encode = token_files.WordEncoder(token_files.default_tokenizer())
+    texts = [*UNUSUAL, " ".join(UNUSUAL), *(chr(c) + "a" + chr(c) for c in range(0x20, 0x500)), None]
+    for _ in range(2):  # the second time all words are known
+        ids, ends = encode(pa.array(texts))
+        for text, own in zip(texts, np.split(ids, ends[:-1]), strict=True):
+            assert own.tolist() == ids_of(tokenizer, text).tolist(), text
+    # of a slice the offsets do not start at 0
+    ids, ends = encode(pa.array(texts).slice(2, 3))
+    assert ids.tolist() == np.concatenate([ids_of(tokenizer, t) for t in texts[2:5]]).tolist()
+
+
+def test_words_are_forgotten_in_time(monkeypatch, tokenizer):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "MEMORY", 5)
+    encode = token_files.WordEncoder(token_files.default_tokenizer())
+    for text in ("one two three", "three four five six", "one"):
+        assert encode(pa.array([text]))[0].tolist() == ids_of(tokenizer, text).tolist()
+
+
+def documents_of(lists):
+    ids = np.array([i for x in lists for i in [*x, 2]], np.uint32)
+    return ids, np.cumsum([len(x) + 1 for x in lists])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), max_size=60), min_size=1, max_size=8), st.integers(1, 4))
+def test_grammar_round_trip(lists, least):
+    ids, ends = documents_of([x * 5 for x in lists])
+    before, grammar.LEAST_COUNT = grammar.LEAST_COUNT, least
+    try:
+        g = grammar.compressed(ids, ends, 7)
+    finally:
+        grammar.LEAST_COUNT = before
+    expand = grammar.Expander(g)
+    assert expand(g.symbols).tolist() == ids.tolist()
+    for n, own in enumerate(np.split(ids, ends[:-1])):
+        for start, stop in ((0, len(own)), (len(own) // 3, len(own) // 2), (len(own), len(own)), (0, 1)):
+            assert grammar.part(g, expand, n, start, stop).tolist() == own[start:stop].tolist()
+        with pytest.raises(IndexError):
+            grammar.part(g, expand, n, 0, len(own) + 1)
+
+
+def test_rules_are_frequent_pairs_and_repeats_cost_few_symbols():
+    phrase = np.random.default_rng(1).integers(3, 40_000, 64).tolist()
+    ids, ends = documents_of([phrase * 40] * 20)
+    g = grammar.compressed(ids, ends, 49_408)
+    assert len(g.symbols) + 2 * len(g.left) < len(ids) / 20
+    assert (np.maximum(g.left, g.right) < np.arange(len(g.left)) + g.base).all()
+    # the most frequent pair has a rule
+    pair = Counter(zip(ids[:-1].tolist(), ids[1:].tolist(), strict=True)).most_common(1)[0][0]
+    expand = grammar.Expander(g)
+    assert any(expand(np.array([g.base + n])).tolist()[:2] == list(pair) or pair == (a, b) for n, (a, b) in enumerate(zip(g.left, g.right, strict=True)))
+
+
+def test_no_rule_reaches_over_the_end_of_a_document():
+    ids, ends = documents_of([[5, 6]] * 500)
+    g = grammar.compressed(ids, ends, 10)
+    assert len(g.starts) == 501 and len(g.symbols) >= 500
+    expand = grammar.Expander(g)
+    assert all(grammar.part(g, expand, n, 0, 3).tolist() == [5, 6, 2] for n in (0, 250, 499))
+
+
+def one_file(spark, folder, monkeypatch, shard=50):
+    monkeypatch.setattr(token_files, "SHARD", shard)
+    docs = spark.createDataFrame([(i, f"text number {i} of many " * (1 + i % 7)) for i in range(120)], "doc_id long, text string")
+    files = token_files.write(docs.coalesce(1)).collect()
+    return files
+
+
+def test_files_are_read_in_part(spark, tmp_path, monkeypatch, tokenizer):
+    files = one_file(spark, tmp_path, monkeypatch)
+    seen = []
+    for row in files:
+        storage, place = shared.storage_of(row.path)
+        with storage.open_input_file(place) as stream:
+            file = token_files.TokenFile(stream, storage.get_file_info(place).size)
+            seen += [k for shard in file for k in shard.keys]
+            for i in range(-1, 122, 7):
+                where = file.locate(i)
+                if where:
+                    ids = ids_of(tokenizer, f"text number {i} of many " * (1 + i % 7))
+                    assert file.shard(where[0]).tokens(where[1], 1, len(ids) - 1).tolist() == ids[1:-1].tolist()
+    assert sorted(seen) == list(range(120))
+
+
+def test_damaged_files_raise(spark, tmp_path, monkeypatch):
+    row = one_file(spark, tmp_path, monkeypatch)[0]
+    storage, place = shared.storage_of(row.path)
+    raw = storage.open_input_file(place).read()
+    whole = token_files.TokenFile(io.BytesIO(raw), len(raw))
+    assert sum(len(s.keys) for s in whole) == row.n_docs
+    for cut in (0, 3, 12, len(raw) // 2, len(raw) - 1):
+        with pytest.raises(ValueError, match="cut off"):
+            token_files.TokenFile(io.BytesIO(raw[:cut]), cut)
+    changed = bytearray(raw)
+    changed[60] ^= 1
+    with pytest.raises(ValueError, match="not what was written"):
+        list(token_files.TokenFile(io.BytesIO(bytes(changed)), len(changed)))
+    with pytest.raises(ValueError, match="another size"):
+        token_files.Shard(raw[len(token_files.MARK) : len(token_files.MARK) + whole.shards[0]["bytes"] - 1])
+
+
+def test_reader_misses_documents_that_were_reported(spark, tmp_path, monkeypatch):
+    files = spark.createDataFrame(one_file(spark, tmp_path, monkeypatch))
+    with pytest.raises(Exception, match="holds"):
+        token_files.read(files.selectExpr("path", "part", "n_docs + 1 AS n_docs", "n_tokens")).collect()
+
+
+def test_token_files_of_awkward_rows(spark, awkward, nothing, tokenizer):
+    rows = token_files.read(token_files.write(awkward)).collect()
+    texts = defaultdict(list)
+    for r in awkward.collect():
+        texts[r.doc_id].append(ids_of(tokenizer, r.text).tolist())
+    found = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.start):
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.n_tokens
+        found[r.doc_id].append(r.ids)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in texts.items()}
+    ordered = sorted(rows, key=lambda r: r.start)
+    keys = [r.doc_id for r in ordered]
+    assert keys == [None, None, *sorted(k for k in keys if k is not None)]
+    assert [r.start for r in ordered] == np.cumsum([0, *(r.n_tokens for r in ordered[:-1])]).tolist()
+    assert token_files.read(token_files.write(nothing)).collect() == []
+
+
+def test_one_id_is_spread_over_files(spark, monkeypatch):
+    """A third of all rows without an id, many of them alike, do not land in one file."""
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "if(id % 2 = 0, 'the same', concat('text ', id)) AS text")
+    with shared.setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        files = token_files.write(docs.repartition(4)).collect()
+    assert sum(f.n_docs for f in files) == 3000 and max(f.n_docs for f in files) < 1500
+    rows = token_files.read(spark.createDataFrame(files), with_ids=False).orderBy("start").collect()
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows[:-1])]).tolist()
+    keys = [-1 if r.doc_id is None else r.doc_id for r in rows]
+    assert keys == sorted(keys)
+
+
+# ------------------------------------------------------------------ spelling
+
+
+def one_edit_apart(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_forms(counts):
+    """``form``, ``root``, ``n``, ``n_near`` and ``form_n`` of every word, from all pairs."""
+    near = {w: [v for v in counts if abs(len(v) - len(w)) < 2 and one_edit_apart(v, w)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * counts[w] else None
+    out = {}
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, counts[w], len(near[w]), counts[form[w]] if form[w] else None)
+    return out
+
+
+def plain_words(rows):
+    counts = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 97 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def as_dict(frame):
+    rows = frame.collect()
+    found = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_variants_against_all_pairs(spark, sf_dir, documents):
+    found = as_dict(queries.op12_spelling_variants(spark, sf_dir))
+    assert found == plain_forms(plain_words([(r.doc_id, r.text) for r in documents.collect()]))
+    assert any(f for f, *_ in found.values())
+
+
+@pytest.mark.parametrize("name", ["op12_spelling_variants", "op13_resampling"])
+def test_query_against_its_sql(spark, sf_dir, name):
+    assert difference(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLE[name]) is None
+
+
+def test_every_edit_of_a_word_is_found(spark):
+    """All words one edit from some, with letters from all parts, doubled ones and accents."""
+    alphabet = "aeéßzÿ"
+    words = set()
+    for w in ("aabbccdd", "zzzzz", "ÿéßae", "étions", "abcdefghijklmnop"):
+        words.add(w)
+        words |= {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in alphabet}
+        words |= {w[:i] + w[i + 1 :] for i in range(len(w))}
+        words |= {w[:i] + c + w[i + 1 :] for i in range(len(w)) for c in alphabet}
+    counts = {w: 3 + i % 50 for i, w in enumerate(sorted(words))}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert as_dict(spelling.forms(frame)) == plain_forms(counts)
+
+
+def test_long_chains_end_at_their_root(spark):
+    counts = {"a" * (5 + i): 3 * 2**i for i in range(30)}
+    found = as_dict(spelling.forms(spark.createDataFrame(list(counts.items()), "word string, n long")))
+    assert {root for _, root, *_ in found.values()} == {"a" * 34}
+
+
+def test_variants_of_awkward_rows(spark, awkward, nothing):
+    found = as_dict(spelling.forms(spelling.vocabulary(spelling.occurrences(awkward))))
+    assert found == plain_forms(plain_words([(r.doc_id, r.text) for r in awkward.collect()]))
+    assert spelling.forms(spelling.vocabulary(spelling.occurrences(nothing))).collect() == []
+    case = [(1, "STRASSE Straße ÀÉÎ àéî Ünder×÷ünder Öl a1b abcde" * 4), (1, None), (2, "")]
+    docs = spark.createDataFrame(case, "doc_id long, text string")
+    assert as_dict(spelling.forms(spelling.vocabulary(spelling.occurrences(docs)))) == plain_forms(plain_words(case))
+
+
+def test_variants_run_no_python(documents, plan):
+    text = plan(spelling.vocabulary(spelling.occurrences(documents))) + plan(
+        spelling.near(documents.selectExpr("lang AS word", "doc_id AS n"))
+    )
+    assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+# ------------------------------------------------------------------ resampling
+
+
+def plain_sample(rows, targets, percent=10, least=1, most=1, buckets=10_000):
+    def hashed(text):
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+        grams = [" ".join(words[i : i + n]) for n in range(least, most + 1) for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(g.encode()) % buckets for g in grams]
+
+    found = [(key, *hashed(text)) for key, text in rows]
+    s, t = Counter(b for *_, x in found for b in x), Counter(b for text in targets for b in hashed(text)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[i] + 1) * (s_all + buckets) / ((s[i] + 1) * (t_all + buckets)))) for i in range(buckets)
+    ]
+    out = []
+    for key, n_words, x in found:
+        weight = sum(gain[b] for b in x) // len(x) if x else 0
+        h = int(hashlib.sha256(f"2024:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([key, n_words, len(x), weight, score, None])
+    eligible = sorted((r for r in out if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for i, r in enumerate(eligible[: percent * len(eligible) // 100]):
+        r[5] = i + 1
+    return out
+
+
+def listed(rows):
+    return sorted([list(r) for r in rows], key=lambda r: [(x is None, x or 0) for x in r])
+
+
+def test_sample_against_plain_code(spark, sf_dir, documents):
+    targets = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    found = resampling.resample(documents, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()
+    assert listed(found) == listed(plain_sample([(r.doc_id, r.text) for r in documents.collect()], targets))
+
+
+def test_sample_by_longer_runs_of_words(spark, sf_dir, documents):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    chosen = resampling.Settings(least_words=1, most_words=3, buckets=977, percent=25)
+    found = resampling.resample(documents, bench, settings=chosen).collect()
+    plain = plain_sample(
+        [(r.doc_id, r.text) for r in documents.collect()], [r.text for r in bench.collect()], 25, 1, 3, 977
+    )
+    assert listed(found) == listed(plain)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.binary(min_size=1, max_size=9), max_size=6), max_size=5))
+def test_checksums_of_runs_from_prefixes(texts):
+    found = resampling.Prefixes(texts, resampling.Shift())
+    for n in range(1, 5):
+        crcs, owners = found.grams(n)
+        plain = [(zlib.crc32(b" ".join(t[i : i + n])), k) for k, t in enumerate(texts) for i in range(len(t) - n + 1)]
+        assert list(zip(crcs.tolist(), owners.tolist(), strict=True)) == plain
+
+
+def test_checksums_shift_over_long_runs():
+    words = [bytes([65 + i % 26]) * (1 + i % 997) for i in range(300)]
+    crcs, _ = resampling.Prefixes([words], resampling.Shift()).grams(250)
+    assert crcs.tolist() == [zlib.crc32(b" ".join(words[i : i + 250])) for i in range(51)]
+
+
+def test_sample_of_awkward_rows(spark, awkward, nothing):
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    target = spark.createDataFrame([(None,), ("",), ("the quick word7 and",)], "text string")
+    chosen = resampling.Settings(percent=100)
+    assert listed(resampling.resample(awkward, target, settings=chosen).collect()) == listed(
+        plain_sample(rows, [None, "", "the quick word7 and"], 100)
+    )
+    assert resampling.resample(nothing, target).collect() == []
+    assert listed(resampling.resample(awkward, nothing, settings=chosen).collect()) == listed(plain_sample(rows, [], 100))
+
+
+def test_ties_and_repeated_rows_are_ranked_without_gaps(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(None, text)] * 700 + [(i, text) for i in range(300)], "doc_id long, text string")
+    rows = resampling.resample(docs, docs.limit(1), settings=resampling.Settings(percent=50)).collect()
+    assert listed(rows) == listed(plain_sample([(r.doc_id, r.text) for r in rows and docs.collect()], [text], 50))
+
+
+def test_ranks_are_spread_over_parts(spark):
+    frame = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id) AS v", "id % 2 AS other")
+    with shared.setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        ranked = shared.globally_ranked(shared.written(frame), ["v"], "place").collect()
+    assert sorted(r.place for r in ranked) == list(range(5000))
+    values = [r.v for r in sorted(ranked, key=lambda r: r.place)]
+    assert values == sorted(values)

@@ -188,9 +188,145 @@ select
 from bytes left join cut using (doc_id)
 """
 
+
+
+def _crc_table() -> str:
+    """What the CRC-32 polynomial (bits in reverse) makes of each byte, as a SQL list."""
+    values = list(range(256))
+    for _ in range(8):
+        values = [v >> 1 ^ 0xEDB88320 * (v & 1) for v in values]
+    return f"([{', '.join(map(str, values))}]::bigint[])"
+
+
+def _crc(text: str) -> str:
+    """The CRC-32 of the UTF-8 bytes of a text."""
+    start = 0xFFFFFFFF
+    bytes_ = f"""list_transform(
+        range(0, octet_length(encode({text}))),
+        lambda i: cast('0x' || substr(hex(encode({text})), cast(2 * i + 1 as integer), 2) as bigint)
+    )"""
+    return f"""xor({start}::bigint, list_reduce(
+        list_prepend({start}::bigint, {bytes_}),
+        lambda c, b: xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1])
+    ))"""
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+with recursive runs as (
+    select doc_id, run, count(*) as times
+    from (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) as run from documents)
+    group by doc_id, run
+),
+checked as (select run, times, {_crc("concat(doc_id, ':', run)")} as h from runs),
+words as (
+    select word, cast(sum(times) as bigint) as n
+    from (
+        select
+            times,
+            case
+                when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                else run
+            end as word
+        from checked
+    )
+    where length(word) >= 5
+    group by word
+    having sum(times) >= 3
+),
+shorter as (
+    select word, n, place, substr(word, 1, place) || substr(word, place + 2) as rest
+    from (select word, n, unnest(range(0, length(word))) as place from words)
+),
+near as (
+    select a.word as a, b.word as b, b.n as n
+    from shorter as a join shorter as b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+    union
+    select a.word, b.word, b.n from shorter as a join words as b on a.rest = b.word
+    union
+    select b.word, a.word, a.n from shorter as a join words as b on a.rest = b.word
+),
+best as (select a as word, count(*) as n_near, first(b order by n desc, b) as b, max(n) as b_n from near group by a),
+formed as (
+    select
+        words.word,
+        words.n,
+        coalesce(n_near, 0) as n_near,
+        case when b_n >= 2 * words.n then b end as form,
+        case when b_n >= 2 * words.n then b_n end as form_n
+    from words left join best using (word)
+),
+chains as (
+    select word, word as at from formed
+    union all
+    select chains.word, formed.form from chains join formed on formed.word = chains.at where formed.form is not null
+),
+roots as (
+    select chains.word, chains.at as root from chains join formed on formed.word = chains.at where formed.form is null
+)
+select formed.word, form, root, n, n_near, form_n from formed join roots using (word)
+"""
+
+OP13 = rf"""
+with given as (
+    select true as document, doc_id, text from documents union all select false, null, text from benchmark
+),
+features as (
+    select document, doc_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as word from given
+),
+crcs as (select word, {_crc("word")} % 10000 as bucket from (select distinct word from features)),
+bucketed as (select document, doc_id, bucket from features join crcs using (word)),
+counts as (
+    select
+        bucket,
+        cast(count(*) filter (document) as double) as s,
+        cast(count(*) filter (not document) as double) as t
+    from bucketed group by bucket
+),
+totals as (select sum(s) as s_all, sum(t) as t_all from counts),
+gains as (
+    select
+        bucket,
+        cast(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) as bigint) as gain
+    from counts, totals
+),
+weights as (
+    select doc_id, count(*) as n_features, cast(sum(gain) as bigint) as total
+    from bucketed join gains using (bucket) where document group by doc_id
+),
+scored as (
+    select
+        doc_id,
+        coalesce(n_features, 0) as n_features,
+        case
+            when n_features > 0 then total // n_features - case when total % n_features < 0 then 1 else 0 end
+            else 0
+        end as weight,
+        cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) as h
+    from documents left join weights using (doc_id)
+),
+noisy as (
+    select
+        doc_id,
+        n_features,
+        cast(weight as bigint) as weight,
+        cast(weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score
+    from scored
+),
+eligible as (
+    select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n
+    from noisy where n_features >= 20
+)
+select doc_id, n_features, weight, score, cast(place as bigint) as rank
+from noisy left join (select * from eligible where place <= 10 * n // 100) using (doc_id)
+"""
+
 ORACLE = {
     "op1_quality_rules": OP1,
     "op7_minhash_near_dedup": OP7,
     "op8_warc": OP8,
     "op9_suffix_dedup": OP9,
+    "op12_spelling_variants": OP12,
+    "op13_resampling": OP13,
 }
