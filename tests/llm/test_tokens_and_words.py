@@ -125,15 +125,15 @@ def test_no_rule_reaches_over_the_end_of_a_document():
     assert all(grammar.part(g, expand, n, 0, 3).tolist() == [5, 6, 2] for n in (0, 250, 499))
 
 
-def one_file(spark, folder, monkeypatch, shard=50):
-    monkeypatch.setattr(token_files, "SHARD", shard)
+def one_file(spark, monkeypatch, shard=400):
+    monkeypatch.setattr(token_files, "SHARD_BYTES", shard)
     docs = spark.createDataFrame([(i, f"text number {i} of many " * (1 + i % 7)) for i in range(120)], "doc_id long, text string")
     files = token_files.write(docs.coalesce(1)).collect()
     return files
 
 
-def test_files_are_read_in_part(spark, tmp_path, monkeypatch, tokenizer):
-    files = one_file(spark, tmp_path, monkeypatch)
+def test_files_are_read_in_part(spark, monkeypatch, tokenizer):
+    files = one_file(spark, monkeypatch)
     seen = []
     for row in files:
         storage, place = shared.storage_of(row.path)
@@ -148,8 +148,8 @@ def test_files_are_read_in_part(spark, tmp_path, monkeypatch, tokenizer):
     assert sorted(seen) == list(range(120))
 
 
-def test_damaged_files_raise(spark, tmp_path, monkeypatch):
-    row = one_file(spark, tmp_path, monkeypatch)[0]
+def test_damaged_files_raise(spark, monkeypatch):
+    row = one_file(spark, monkeypatch)[0]
     storage, place = shared.storage_of(row.path)
     raw = storage.open_input_file(place).read()
     whole = token_files.TokenFile(io.BytesIO(raw), len(raw))
@@ -165,8 +165,8 @@ def test_damaged_files_raise(spark, tmp_path, monkeypatch):
         token_files.Shard(raw[len(token_files.MARK) : len(token_files.MARK) + whole.shards[0]["bytes"] - 1])
 
 
-def test_reader_misses_documents_that_were_reported(spark, tmp_path, monkeypatch):
-    files = spark.createDataFrame(one_file(spark, tmp_path, monkeypatch))
+def test_reader_misses_documents_that_were_reported(spark, monkeypatch):
+    files = spark.createDataFrame(one_file(spark, monkeypatch))
     with pytest.raises(Exception, match="holds"):
         token_files.read(files.selectExpr("path", "part", "n_docs + 1 AS n_docs", "n_tokens")).collect()
 

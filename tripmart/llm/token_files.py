@@ -1,7 +1,7 @@
 """Token ids of a corpus in binary files, compressed by Re-Pair grammars, for random access.
 
 Documents are range partitioned by id and sorted, a task writes one file of its range, and shards of about
-``SHARD`` tokens inside it have a grammar each. A shard keeps rules, lengths of their expansions and where its documents
+``SHARD_BYTES`` of text inside it have a grammar each. A shard keeps rules, lengths of their expansions and where its documents
 start, so any stretch of tokens of any document is decoded from the symbols that hold it. Files go to the shared
 folder; only files that a finished task reported are in the list, so what a lost or repeated attempt left
 behind is never read. Readers check marks, sizes and checksums and raise ``ValueError`` for a damaged file.
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import sys
 import types
@@ -41,13 +40,12 @@ from tripmart.session import scratch_folder
 MARK = b"TMTOKEN1"
 ENCODER = "word_bpe_49k.json"
 END = 2
-SHARD = 1 << 20
-#: Words whose ids a worker remembers at most; beyond that it starts afresh.
-MEMORY = 300_000
+SHARD_BYTES = 3 << 20
+#: Pieces of words whose ids a worker remembers at most; beyond that it starts afresh.
+MEMORY = 1_000_000
 _HEAD, _HEAD_BYTES = "<6Q", 48
-#: Printable ASCII and Latin-1 letters: no normalization touches them and each has one lower case.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Kinds of bytes.
+BLANK, LETTER, DIGIT, SIGN, STOP, WHOLE = range(6)
 
 
 def default_tokenizer() -> str:
@@ -57,79 +55,118 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids of texts, word by word, for vocabularies that drop white space and mark the ends of words."""
+    """Ids of texts, word by word, for vocabularies that drop white space and mark the ends of words.
+
+    Texts are cut with numpy, all of a batch at once, into runs of letters, digits and runs of signs, and every distinct
+    piece is encoded once. That is what the vocabulary itself does with ASCII and Latin-1 letters, which no
+    normalization composes and which have one lower case each. Words with anything else in them, an apostrophe or a sign
+    that a special token starts with stay whole.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for pieces, which are cut and in lower case already
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.kinds = np.full(256, WHOLE, np.uint8)
+        self.kinds[0x21:0x7F] = SIGN
+        self.kinds[0x30:0x3A] = DIGIT
+        self.kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+        self.kinds[[0x20, *range(0x09, 0x0E)]] = BLANK
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.kinds[[ord("'"), *(t.content.encode()[0] for t in special)]] = WHOLE
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[0x41:0x5B] += 0x20
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.ids, self.at, self.count = array("I"), array("q", [0]), array("q", [0])
-
-    def _learn(self, word: str, ids) -> None:
-        self.known[word] = len(self.at)
-        self.at.append(len(self.ids))
-        self.count.append(len(ids))
+        self.known = {b"\n": 0}
+        self.ids, self.at, self.count = array("I", [END]), array("q", [0]), array("q", [1])
+
+    def _pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """All pieces in order, that of a line feed at every end of a document, and which of them are whole words."""
+        low, kind = self.lower[data], self.kinds[data]
+        lead = np.flatnonzero(data == 0xC3)  # the UTF-8 lead byte of the Latin-1 letters
+        lead = lead[~np.isin(data[lead + 1], (0x97, 0xB7))]  # but for the signs of multiplication and division
+        kind[lead] = kind[lead + 1] = LETTER
+        low[lead[data[lead + 1] < 0x9F] + 1] += 0x20
+        kind[ends] = STOP
+        odd = np.flatnonzero(kind == WHOLE)
+        if len(odd):
+            blanks = np.flatnonzero((kind == BLANK) | (kind == STOP))
+            stop = np.unique(np.searchsorted(blanks, odd))
+            step = np.zeros(len(data), np.int8)
+            step[np.where(stop > 0, blanks[stop - 1] + 1, 0)] += 1
+            step[blanks[stop]] -= 1
+            inside = np.cumsum(step, dtype=np.int8).astype(bool)
+            kind[inside] = WHOLE
+            low[inside] = data[inside]
+        first = kind != BLANK
+        keep = first.copy()
+        first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT) | (kind[1:] == STOP)
+        starts = np.flatnonzero(first[keep])
+        offsets = np.append(starts, np.count_nonzero(keep))
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(low[keep])]
+        return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), kind[first] == WHOLE
+
+    def _learn(self, pieces: list[bytes], ids: list[int], ends: list[int]) -> None:
+        self.known.update(zip(pieces, range(len(self.at), len(self.at) + len(pieces)), strict=True))
+        starts = [0, *ends[:-1]]
+        self.at.extend([len(self.ids) + a for a in starts])
+        self.count.extend([b - a for a, b in zip(starts, ends, strict=True)])
         self.ids.extend(ids)
 
-    def _of(self, word: str) -> array:
-        k = self.known[word]
-        return self.ids[self.at[k] : self.at[k] + self.count[k]]
-
-    def _study(self, words: list[str]) -> None:
-        """Learn new words: plain ones from their letter runs, digits and signs, others as a whole."""
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        composed, pieces, whole = {}, {}, []
-        for word in words:
-            if _PLAIN.fullmatch(word) and "'" not in word and not any(s in word for s in special):
-                composed[word] = _PIECES.findall(word.lower())
-                pieces.update((p, None) for p in composed[word] if p not in self.known)
-            else:
-                whole.append(word)
-        new = list(pieces)
-        for start in range(0, len(new), 512):
-            some = new[start : start + 512]
-            ids = np.array(self._encoded(["\n".join(some)])[0], np.int64)
-            ends = np.flatnonzero(self.closes[ids]) + 1
+    def _study(self, plain: list[bytes], whole: list[bytes]) -> None:
+        for start in range(0, len(plain), 1024):
+            some = plain[start : start + 1024]
+            ids = self._encoded(self.merger, [b"\n".join(some)])[0]
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
             if len(ends) != len(some):
                 raise ValueError(f"{len(some)} pieces have {len(ends)} ends of words")
-            for piece, own in zip(some, np.split(ids, ends[:-1]), strict=True):
-                self._learn(piece, own.tolist())
-        for word, ids in zip(whole, self._encoded(whole), strict=True):
-            self._learn(word, ids)
-        for word, parts in composed.items():
-            if word not in self.known:
-                self._learn(word, [i for p in parts for i in self._of(p)])
+            self._learn(some, ids, ends)
+        if whole:
+            found = self._encoded(self.tokenizer, whole)
+            self._learn(whole, [i for ids in found for i in ids], np.cumsum([len(ids) for ids in found]).tolist())
 
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, tokenizer, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, the end token after each, and where each text ends."""
-        split = pc.ascii_split_whitespace(texts.fill_null(""))
-        words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        texts = texts.fill_null("").cast(pa.large_binary())
+        _, places, body = texts.buffers()
+        places = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(body or b"", np.uint8)[places[0] : places[-1]]
+        data = np.insert(data, places[1:] - places[0], ord("\n"))
+        pieces, odd = self._pieces(data, places[1:] - places[0] + np.arange(len(texts)))
+        coded = pieces.dictionary_encode()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > MEMORY:
             self._forget()
-        self._study([w for w in distinct if w not in self.known])
-        number = np.array([self.known[w] for w in distinct], np.int64)
-        at, count = (np.frombuffer(x, np.int64)[number] for x in (self.at, self.count))
-        index = words.indices.to_numpy()
+        is_whole = np.zeros(len(distinct), bool)
+        is_whole[index[odd]] = True
+        new = [k for k, piece in enumerate(distinct) if piece not in self.known]
+        self._study([distinct[k] for k in new if not is_whole[k]], [distinct[k] for k in new if is_whole[k]])
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        # a token has a byte at least, so narrow numbers will do for all but the longest texts
+        kind = np.int32 if len(data) < 1 << 30 else np.int64
+        at, count = (np.frombuffer(x, np.int64)[number].astype(kind) for x in (self.at, self.count))
         size = count[index]
-        of_word = np.concatenate(([0], np.cumsum(size)))
-        flat = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32)
-        ids = flat[np.repeat(at[index] - of_word[:-1], size) + np.arange(of_word[-1])]
-        ends = of_word[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
-        out = np.insert(ids, ends, END)
-        return out, ends + np.arange(1, len(ends) + 1)
+        upto = np.cumsum(size, dtype=kind)
+        place = np.repeat(at[index] - upto + size, size)
+        place += np.arange(len(place), dtype=kind)
+        ids = np.frombuffer(self.ids, np.uint32)[place]
+        return ids, upto[(number == 0)[index]].astype(np.int64)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -244,19 +281,21 @@ class TokenFile:
 
 
 def _shards(batches: Iterator[pa.RecordBatch], encode: WordEncoder) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Keys, ids and ends of documents of about ``SHARD`` tokens at a time."""
-    keys, parts, sizes, total = [], [], [], 0
+    """Keys, ids and ends of documents of about ``SHARD_BYTES`` of text at a time."""
+
+    def encoded() -> tuple[list, np.ndarray, np.ndarray]:
+        return keys, *encode(pa.concat_arrays(texts))
+
+    keys, texts, size = [], [], 0
     for batch in small(batches):
-        ids, ends = encode(batch.column(1))
         keys += batch.column(0).to_pylist()
-        parts.append(ids)
-        sizes.append(np.diff(ends, prepend=0))
-        total += len(ids)
-        if total >= SHARD:
-            yield keys, np.concatenate(parts), np.cumsum(np.concatenate(sizes))
-            keys, parts, sizes, total = [], [], [], 0
+        texts.append(batch.column(1))
+        size += pc.sum(pc.binary_length(texts[-1])).as_py() or 0
+        if size >= SHARD_BYTES:
+            yield encoded()
+            keys, texts, size = [], [], 0
     if keys:
-        yield keys, np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+        yield encoded()
 
 
 def write(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
