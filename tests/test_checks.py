@@ -67,3 +67,58 @@ def test_report_and_enforce(spark, keyed):
     checks.enforce(checks.report([warned, passed]))
     with pytest.raises(checks.CheckFailed, match="t.k not_null: 2 rows"):
         checks.enforce(checks.report([warned, passed, failed]))
+
+
+RULES = (
+    checks.must_be_unique("k"),
+    checks.must_be_present("k"),
+    checks.must_be_unique("k", "s"),
+    checks.must_be_one_of("k", [1]),
+    checks.must_be_one_of("s", ["a", "b"]),
+    checks.must_be_fresh("t", dt.datetime(2019, 3, 10, 7)),
+    checks.must_be_present("s"),
+)
+
+
+def plain_failures(df, rule):
+    if rule.name == "unique":
+        return checks.unique(df, *rule.columns).count()
+    if rule.name == "not_null":
+        return checks.not_null(df, *rule.columns).count()
+    if rule.name == "accepted_values":
+        return checks.accepted_values(df, *rule.columns, rule.values).count()
+    return checks.stale(df, *rule.columns, dt.datetime(2019, 3, 10, 7)).count()
+
+
+@pytest.mark.parametrize("rows", ["all", "none", "nulls"])
+@pytest.mark.parametrize("chosen", [RULES, RULES[:1], RULES[1:2], RULES[5:], RULES[3:5], RULES[:2] + RULES[5:6]])
+def test_compiled_rules_count_what_single_checks_find(spark, rows, chosen):
+    at = dt.datetime(2019, 3, 10, 1)
+    data = {
+        "all": [(1, "a", at), (1, "a", None), (1, "b", at), (2, None, at), (None, "c", at), (None, "c", None), (3, "d", at)],
+        "none": [],
+        "nulls": [(None, None, None)] * 2,
+    }[rows]
+    df = spark.createDataFrame(data, "k bigint, s string, t timestamp_ntz")
+    found = checks.report(checks.ruled("t", df, WARN, *chosen)).collect()
+    assert [r.failures for r in found] == [plain_failures(df, rule) for rule in chosen]
+    assert [(r.check_name, r.column_name) for r in found] == [(c.name, ", ".join(c.columns)) for c in chosen]
+
+
+def test_all_rules_of_a_frame_share_one_scan_and_one_exchange(spark, database, plan):
+    spark.range(100).selectExpr("id % 7 AS k", "'a' AS s", "timestamp_ntz '2019-03-10 01:00:00' AS t").write.saveAsTable(
+        f"{database}.t"
+    )
+    text = plan(checks.report(checks.ruled("t", spark.table(f"{database}.t"), WARN, *RULES)))
+    body = text.split("\n\n(")[0]
+    assert body.count("Scan parquet") == 1 and body.count("Exchange") == 2 and body.count("Expand") == 1
+    # without a key there is nothing to expand
+    rows = [r for r in RULES if not r.key]
+    body = plan(checks.report(checks.ruled("t", spark.table(f"{database}.t"), WARN, *rows))).split("\n\n(")[0]
+    assert body.count("Scan parquet") == 1 and body.count("Exchange") == 1 and "Expand" not in body
+
+
+def test_a_hot_key_is_combined_before_the_exchange(spark, plan):
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 7, id) AS k", "'x' AS s", "timestamp_ntz '2019-03-10 01:00:00' AS t")
+    assert "partial_count" in plan(checks.report(checks.ruled("t", df, WARN, *RULES)))
+    assert [r.failures for r in checks.report(checks.ruled("t", df, WARN, RULES[0])).collect()] == [1]

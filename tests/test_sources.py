@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tripmart.contracts import FHV, GREEN, YELLOW, Contract
 from tripmart.operators.shape import between_ts
-from tripmart.session import scratch_database, scratch_folder, setting, settings
-from tripmart.sources import files, relational, tables
+from tripmart.session import scratch_database, scratch_folder, setting, settings, today
+from tripmart.sources import files, ledger, relational, tables, versions
 from tripmart.streaming import promote_available
 
 NARROW = Contract((("t", "timestamp_ntz"), ("s", "string"), ("d", "double"), ("n", "bigint")))
@@ -204,7 +204,7 @@ def test_expire_partitions(spark, database, trips):
     tables.load_month(trips(*on(1, 2, 3)), YELLOW, table, "2019-01")
     boundary = dt.date(2019, 1, 2) + dt.timedelta(days=10000)
     assert [str(r.pickup_date) for r in tables.expire_partitions(spark, table, boundary).collect()] == ["2019-01-03"]
-    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
+    assert spark.sql(f"SHOW PARTITIONS {versions.stored(spark, table)}").count() == 1
     assert tables.expire_partitions(spark, table, boundary).count() == 1
 
 
@@ -261,7 +261,9 @@ def test_streaming_promotes_each_file_once_and_rebuild_reads_it(spark, database,
 
 def stream(spark, folder):
     promote_available(spark, folder, YELLOW, f"{folder}/checkpoint").awaitTermination()
-    return sorted((r.source_month, r.tpep_pickup_datetime.day) for r in files.read_service(spark, folder, YELLOW).collect())
+    rows = files.read_service(spark, folder, YELLOW).collect()
+    days = [(r.source_month, r.tpep_pickup_datetime and r.tpep_pickup_datetime.day) for r in rows]
+    return sorted(days, key=lambda d: (d[0], d[1] or 0))
 
 
 def test_streaming_replaces_a_redelivered_month(spark, folder, trips):
@@ -306,6 +308,106 @@ def test_streaming_finds_a_file_replaced_under_its_name(spark, folder, trips):
     assert stream(spark, folder) == [("2019-01", 3)]
 
 
+def deliver(spark, folder, trips, *days, month="2019-01", age=0):
+    """A month as one file under its fixed name, changed so many days ago."""
+    source = trips(*on(*days)).coalesce(1)
+    files.write_raw(source, f"{folder}/next", YELLOW, month)
+    made = files.raw_path(f"{folder}/next", YELLOW, month)
+    part = next(f for f in os.listdir(made) if f.startswith("part-"))
+    path = files.raw_path(folder, YELLOW, month)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    os.replace(f"{made}/{part}", path)
+    past = os.path.getmtime(path) - age * 86_400
+    os.utime(path, (past, past))
+    return path
+
+
+def test_streaming_finds_an_older_file_under_the_same_name(spark, folder, trips):
+    deliver(spark, folder, trips, 1, 2, 3)
+    assert [d for _, d in stream(spark, folder)] == [1, 2, 3]
+    deliver(spark, folder, trips, 4, age=30)
+    assert [d for _, d in stream(spark, folder)] == [4]
+    # the same length, an older time still
+    before = os.path.getsize(deliver(spark, folder, trips, 5, age=60))
+    assert [d for _, d in stream(spark, folder)] == [5]
+    assert before == os.path.getsize(deliver(spark, folder, trips, 6, age=90))
+    assert [d for _, d in stream(spark, folder)] == [6]
+    assert [d for _, d in stream(spark, folder)] == [6]
+
+
+def test_streaming_notices_files_that_left_a_month(spark, folder, trips):
+    path = files.write_raw(trips(*on(1, 2)).repartition(2, "trip_distance"), folder, YELLOW, "2019-01")
+    both = stream(spark, folder)
+    gone = sorted(f for f in os.listdir(path) if f.startswith("part-"))[0]
+    os.remove(f"{path}/{gone}")
+    left = stream(spark, folder)
+    assert len(both) == 2 and len(left) < 2 or len(os.listdir(path)) == 0
+
+
+def test_a_month_without_rows_loses_what_it_had(spark, folder, trips):
+    files.write_raw(trips(*on(1, 2)), folder, YELLOW, "2019-01")
+    files.write_raw(trips(*on(1, month=2)), folder, YELLOW, "2019-02")
+    assert len(stream(spark, folder)) == 3
+    files.write_raw(trips(), folder, YELLOW, "2019-01")
+    assert stream(spark, folder) == [("2019-02", 1)]
+
+
+def test_jobs_of_a_run_do_not_grow_with_the_months(spark, folder, trips):
+    """Months of two schemas, some of them mixed, are replaced by as many jobs as two months are."""
+
+    def jobs(run):
+        group = f"counted-{os.urandom(4).hex()}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    def run(months):
+        listed = ledger.pending(spark, f"{folder}/book", ledger.listing(spark, folder, YELLOW).filter(F.col("month").isin(months)))
+        files.write_promoted(spark, folder, YELLOW, listed)
+        ledger.record(spark, f"{folder}/book", listed)
+
+    months = [f"20{y}-{m:02d}" for y in (19, 20) for m in range(1, 13)]
+    for i, month in enumerate(months):
+        rows = trips(*on(1 + i % 27)).coalesce(1)
+        files.write_raw(rows.withColumn("passenger_count", F.lit(3)) if i % 2 else rows, folder, YELLOW, month)
+    few, many = jobs(lambda: run(months[:2])), jobs(lambda: run(months))
+    assert files.read_service(spark, folder, YELLOW).select("source_month").distinct().count() == 24
+    assert many <= few + 2
+    assert ledger.due(spark, folder, YELLOW, f"{folder}/book").count() == 0
+
+
+def test_the_ledger_is_merged_and_says_the_same(spark, folder, trips, monkeypatch):
+    monkeypatch.setattr(ledger, "MOST_ENTRIES", 3)
+    book = f"{folder}/book"
+    for i in range(9):
+        month = f"2019-{1 + i % 4:02d}"
+        deliver(spark, folder, trips, 1 + i, month=month)
+        due = ledger.due(spark, folder, YELLOW, book)
+        assert [r.month for r in due.collect()] == [month]
+        ledger.record(spark, book, ledger.pending(spark, book, due))
+        assert len(ledger.entries(spark, book)) <= 4
+        assert ledger.due(spark, folder, YELLOW, book).count() == 0
+    assert {r.month for r in ledger.taken(spark, book).collect()} == {f"2019-{m:02d}" for m in range(1, 5)}
+
+
+def test_an_entry_that_was_not_committed_does_not_count(spark, folder, trips):
+    book = f"{folder}/book"
+    deliver(spark, folder, trips, 1)
+    ledger.record(spark, book, ledger.pending(spark, book, ledger.due(spark, folder, YELLOW, book)))
+    os.makedirs(f"{book}/entry-000000000002")
+    assert ledger.entries(spark, book) == [1] and ledger.taken(spark, book).count() == 1
+
+
+def test_a_month_of_mixed_schemas_is_taken_whole(spark, folder, trips):
+    path = files.write_raw(trips(*on(1)).coalesce(1), folder, YELLOW, "2019-01")
+    drifted = trips(*on(2)).withColumn("passenger_count", F.lit(3)).withColumn("payment_type", F.lit(2.0))
+    drifted.coalesce(1).write.mode("append").parquet(path)
+    assert stream(spark, folder) == [("2019-01", 1), ("2019-01", 2)]
+
+
 def test_a_raw_name_without_a_month_is_refused_by_name(spark, database, folder, trips):
     trips(*on(1)).write.parquet(files.raw_path(folder, YELLOW, "latest"))
     with pytest.raises(ValueError, match="latest"):
@@ -331,10 +433,44 @@ def test_every_load_can_apply_retention(spark, database, folder, trips):
     retention = {"as_of": dt.date(2019, 1, 12), "days": 5}
     table = tables.create_trip_table(spark, YELLOW, database)
     assert tables.promote(spark, folder, YELLOW, table, **retention).count() == 2
-    files.write_promoted(spark, folder, YELLOW, "2019-01")
+    stream(spark, folder)
     assert tables.rebuild(spark, folder, YELLOW, database, **retention).count() == 2
 
 
+def test_no_path_brings_an_expired_day_back(spark, database, folder, trips):
+    """Retention is a property of tables and folders: callers only ask for loads."""
+    days = (1, 6, 7, 9)
+    landing = f"{folder}/landing"
+    trips(*on(*days), None).write.parquet(files.landing_path(landing, YELLOW, "2019-01"))
+    files.write_raw(trips(*on(*days), None), folder, YELLOW, "2019-01")
+    left = [None, 7, 9]
+
+    def kept(df):
+        return sorted((r[YELLOW.pickup] and r[YELLOW.pickup].day for r in df.collect()), key=lambda d: d or 0)
+
+    with setting(spark, "tripmart.today", "2019-01-11"):
+        table = tables.create_trip_table(spark, YELLOW, database, days=5)
+        assert kept(tables.promote(spark, folder, YELLOW, table)) == left
+        assert kept(tables.load_months(spark, landing, YELLOW, table, "2019-01", "2019-01")) == left
+        files.set_retention(spark, folder, YELLOW, 5)
+        stream(spark, folder)
+        assert kept(files.read_service(spark, folder, YELLOW)) == left
+        assert kept(tables.rebuild(spark, folder, YELLOW, database)) == left
+        assert tables.retention(spark, table) == 5
+    with setting(spark, "tripmart.today", "2019-01-13"):
+        assert kept(files.read_service(spark, folder, YELLOW)) == [None, 9]
+        assert kept(tables.expire_partitions(spark, table)) == [None, 9]
+        assert kept(tables.promote(spark, folder, YELLOW, table, months=["2019-01"])) == [None, 9]
+        tables.set_retention(spark, table, None)
+        assert kept(tables.promote(spark, folder, YELLOW, table, months=["2019-01"])) == [None, 1, 6, 7, 9]
+
+
+def test_today_is_the_calendar_unless_the_session_says_otherwise(spark):
+    assert today(spark) == spark.sql("SELECT current_date() AS d").first().d
+    with setting(spark, "tripmart.today", "2019-01-11"):
+        assert today(spark) == dt.date(2019, 1, 11)
+
+
 # ------------------------------------------------------------------ other tables
 
 
@@ -344,8 +480,31 @@ def test_a_named_external_table_may_be_defined_again(spark, database, folder, zo
         assert tables.external_table(spark, f"{database}.found", f"{folder}/zones").count() == 8
     tables.refresh_table(zones, f"{database}.own")
     spark.sql(f"CREATE TABLE {database}.managed (a INT) USING parquet")
-    with pytest.raises(ValueError, match="managed"):
-        tables.external_table(spark, f"{database}.managed", f"{folder}/zones")
+    for taken in ("managed", "own"):
+        with pytest.raises(ValueError, match=taken):
+            tables.external_table(spark, f"{database}.{taken}", f"{folder}/zones")
+    assert spark.table(f"{database}.own").count() == 8
+
+
+def test_an_external_table_over_drifting_files(spark, database, folder):
+    months = [
+        "SELECT 1L AS n, 2 AS k, 'a' AS s, DATE '2019-01-01' AS d",
+        "SELECT 1.5D AS n, 3L AS k, 'b' AS S, TIMESTAMP_NTZ '2019-01-02 03:00:00' AS d",
+        "SELECT 7 AS n, 4S AS k, 'c' AS s, DATE '2019-01-03' AS d, true AS more",
+    ]
+    for i, month in enumerate(months):
+        spark.sql(month).coalesce(1).write.parquet(f"{folder}/in/month,{i}.parquet")
+    for _ in range(2):
+        found = tables.external_table(spark, f"{database}.found", f"{folder}/in")
+    assert found.dtypes == [("n", "double"), ("k", "bigint"), ("s", "string"), ("d", "timestamp_ntz"), ("more", "boolean")] or {
+        *found.dtypes
+    } == {("n", "double"), ("k", "bigint"), (found.columns[2], "string"), ("d", "timestamp_ntz"), ("more", "boolean")}
+    rows = sorted(tuple(r)[:2] for r in found.collect())
+    assert rows == [(1.0, 2), (1.5, 3), (7.0, 4)]
+    assert spark.newSession().table(f"{database}.found").filter("more").count() == 1
+    spark.sql("SELECT 'x' AS n").write.parquet(f"{folder}/in/more.parquet")
+    with pytest.raises(ValueError, match="column n is"):
+        tables.external_table(spark, f"{database}.found2", f"{folder}/in")
 
 
 def test_a_failing_refresh_keeps_the_old_rows(spark, database, zones):
@@ -361,18 +520,63 @@ def test_a_refreshed_table_is_partitioned_and_leaves_no_old_folder(spark, databa
     name = f"{database}.trips"
     for days in ((1, 2, 3), (1, 2)):
         rows = trips(*on(*days), None).withColumn("day", F.to_date(YELLOW.pickup))
-        tables.refresh_table(rows, name, ("day",))
+        tables.refresh_table(rows, name, ("day",), grace=dt.timedelta(0))
     assert spark.table(name).count() == 3 and spark.table(name).filter("day IS NULL").count() == 1
     one = spark.table(name).filter("day = DATE '2019-01-02'")
     assert one.count() == 1 and "PartitionFilters: [isnotnull(day" in plan(one)
-    assert {f.split("/trips-")[1].split("/")[0] for f in spark.table(name).inputFiles()} == {
-        f.split("trips-")[1] for f in _folders(spark, database) if "trips-" in f
-    }
+    assert len(_folders(spark, database)) == 1
+    versions.drop(spark, name)
+    assert _folders(spark, database) == [] and not spark.catalog.tableExists(name)
 
 
 def _folders(spark, database):
-    home = spark.sql(f"DESCRIBE DATABASE {database}").filter("info_name = 'Location'").first().info_value
-    return os.listdir(home.removeprefix("file:"))
+    return os.listdir(versions.home(spark, f"{database}.any").removeprefix("file:"))
+
+
+def test_a_reader_in_another_session_survives_a_refresh(spark, database, zones):
+    name = f"{database}.zones"
+    tables.refresh_table(zones, name)
+    other = spark.newSession().table(name)
+    assert other.count() == 8
+    tables.refresh_table(zones.filter("LocationID < 10"), name)
+    assert other.count() == 8 and spark.newSession().table(name).count() == 3
+    # the version goes with the first refresh after its time
+    assert len(_folders(spark, database)) == 2
+    tables.refresh_table(zones, name, grace=dt.timedelta(0))
+    assert len(_folders(spark, database)) == 1
+
+
+def test_a_refresh_may_read_its_own_table(spark, database, zones):
+    name = f"{database}.zones"
+    tables.refresh_table(zones, name)
+    tables.refresh_table(spark.table(name).filter("LocationID < 10"), name)
+    assert spark.table(name).count() == 3
+
+
+def test_a_failing_refresh_leaves_no_files(spark, database, zones):
+    name = f"{database}.zones"
+    tables.refresh_table(zones, name)
+    broken = zones.withColumn("Zone", F.raise_error(F.lit("no such zone")).cast("string"))
+    with pytest.raises(Exception, match="no such zone"):
+        tables.refresh_table(broken, name)
+    assert len(_folders(spark, database)) == 1
+    assert versions.versions(spark, name) == [versions.stored(spark, name)]
+
+
+def test_a_version_that_was_never_published_goes_later(spark, database, zones):
+    name = f"{database}.zones"
+    tables.refresh_table(zones, name)
+    zones.write.saveAsTable(versions.new_version(spark, name))  # a refresh that ended before it moved the name
+    versions.prune(spark, name)
+    assert len(versions.versions(spark, name)) == 2
+    versions.prune(spark, name, dt.timedelta(0))
+    assert versions.versions(spark, name) == [versions.stored(spark, name)]
+
+
+def test_a_refresh_takes_no_name_of_another_kind(spark, database, zones):
+    spark.sql(f"CREATE TABLE {database}.plain (a INT) USING parquet")
+    with pytest.raises(ValueError, match="plain is no versioned table"):
+        tables.refresh_table(zones, f"{database}.plain")
 
 
 def test_a_catalog_view_is_seen_by_other_sessions(spark, database, zones):
@@ -426,6 +630,44 @@ def test_replace_then_append_on_a_table(spark, database):
     assert spark.table(target.name).count() == 7
 
 
+def test_a_repeated_append_changes_nothing(spark, database):
+    target = relational.TableTarget(f"{database}.numbers")
+    relational.replace(spark.range(5), target)
+    for _ in range(2):
+        relational.append(spark.range(5, 8), target, "o'clock \\ 2019/01")
+    relational.append(spark.range(8, 9), target, "second")
+    assert sorted(r.id for r in spark.table(target.name).collect()) == list(range(9))
+    assert spark.table(target.name).columns == ["id"]
+    # a delivery that comes again with other rows replaces itself alone
+    relational.append(spark.range(100, 101), target, "second")
+    assert sorted(r.id for r in spark.table(target.name).collect()) == [*range(8), 100]
+    for _ in range(2):
+        relational.append(spark.range(7, 8), target)
+    assert spark.table(target.name).filter("id = 7").count() == 3
+
+
+def test_a_failed_append_is_mended_by_repeating_it(spark, database):
+    target = relational.TableTarget(f"{database}.numbers")
+    relational.replace_then_append(spark.range(5), target)
+    broken = spark.range(3).selectExpr("if(id = 2, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        relational.append(broken, target, "late")
+    assert spark.table(target.name).count() == 5
+    relational.append(spark.range(3), target, "late")
+    assert spark.table(target.name).count() == 8
+
+
+def test_appends_match_columns_by_name(spark, database):
+    target = relational.TableTarget(f"{database}.pairs")
+    relational.replace(spark.sql("SELECT 1 AS a, 'x' AS b"), target)
+    relational.append(spark.sql("SELECT 'y' AS b, 2 AS a"), target, "second")
+    assert sorted(map(tuple, spark.table(target.name).collect())) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="_delivery"):
+        relational.append(spark.sql("SELECT 1 AS a, 'x' AS b, 'z' AS _delivery"), target)
+    with pytest.raises(ValueError, match="JDBC"):
+        relational.append(spark.range(1), relational.JdbcTarget("jdbc:x", "t"), "second")
+
+
 def test_a_month_and_a_csv_go_into_their_own_tables(spark, database, folder, trips):
     assert relational.month_table(YELLOW, "2019-01") == "yellow_taxi_2019_01"
     trips(*on(1, 2)).write.parquet(files.landing_path(folder, YELLOW, "2019-01"))

@@ -1,13 +1,13 @@
-"""Data checks. A check is a frame of offending rows: empty means passed."""
+"""Data checks: frames of offending rows (empty means passed), and rules that are compiled into one scan per frame."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.contracts import FRESHNESS_HOURS
@@ -65,28 +65,130 @@ def stale(df: DataFrame, loaded_at: str, as_of: dt.datetime, hours: int = FRESHN
     return freshness(df, loaded_at, as_of, hours).filter(F.col("status") == "error")
 
 
+# ------------------------------------------------------------------ rules and their compilation
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What must hold of a frame. A ``key`` rule is judged by group, any other by row or by the whole frame."""
+
+    name: str
+    columns: tuple[str, ...]
+    values: tuple[object, ...] = ()
+    bound: dt.datetime | None = None
+
+    @property
+    def key(self) -> tuple[str, ...]:
+        return self.columns if self.name in ("unique", "accepted_values") else ()
+
+    def measure(self) -> Column:
+        """What the whole frame adds up to, for a rule without a key."""
+        column = F.col(self.columns[0])
+        return F.max(column) if self.name == "freshness" else F.count_if(column.isNull())
+
+    def offends(self, rows: Column) -> Column:
+        """Whether a group of so many rows counts as a failure. A key with a NULL never does."""
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.columns])
+        return present & (~F.col(self.columns[0]).isin(*self.values) if self.name == "accepted_values" else rows > 1)
+
+    def failures(self, measured: Column) -> Column:
+        if self.name == "freshness":
+            fresh = measured >= F.lit(self.bound.isoformat(sep=" ")).cast("timestamp_ntz")
+            return F.when(fresh, 0).otherwise(1)
+        return F.coalesce(measured, F.lit(0))
+
+
+def must_be_unique(*columns: str) -> Rule:
+    return Rule("unique", columns)
+
+
+def must_be_present(column: str) -> Rule:
+    return Rule("not_null", (column,))
+
+
+def must_be_one_of(column: str, values: Iterable[object]) -> Rule:
+    return Rule("accepted_values", (column,), tuple(values))
+
+
+def must_be_fresh(column: str, as_of: dt.datetime, hours: int = FRESHNESS_HOURS) -> Rule:
+    return Rule("freshness", (column,), bound=as_of - dt.timedelta(hours=hours))
+
+
 @dataclass(frozen=True)
 class Check:
+    """A rule over ``frame``, or a name for the offending rows that ``frame`` holds."""
+
     table: str
     name: str
     column: str
     severity: str
-    offending: DataFrame
+    frame: DataFrame
+    rule: Rule | None = None
 
 
-def report(checks: Iterable[Check]) -> DataFrame:
-    """One row per check: ``table_name, check_name, column_name, severity, failures, status``."""
-    rows = [
-        c.offending.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.table).alias("table_name"),
-            F.lit(c.name).alias("check_name"),
-            F.lit(c.column).alias("column_name"),
-            F.lit(c.severity).alias("severity"),
-            "failures",
-            F.when(F.col("failures") == 0, "pass").otherwise(c.severity).alias("status"),
-        )
-        for c in checks
+def ruled(table: str, frame: DataFrame, severity: str, *rules: Rule) -> list[Check]:
+    return [Check(table, rule.name, ", ".join(rule.columns), severity, frame, rule) for rule in rules]
+
+
+def measured(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: the failures of every rule, ``_0``, ``_1``, ..., from a single scan of the frame.
+
+    Rules without a key are sums over all rows. Every key is a grouping set of the same aggregation, so a row meets
+    all keys and sums in one pass, is combined per task, and one exchange serves them all. What
+    is left after it, a row per group, is summed again.
+    """
+    keys = list(dict.fromkeys(r.key for r in rules if r.key))
+    sums = {i: r.measure().alias(f"_sum_{i}") for i, r in enumerate(rules) if not r.key}
+    if not keys:
+        whole = frame.agg(*sums.values())
+        return whole.select(*[r.failures(F.col(f"_sum_{i}")).cast("bigint").alias(f"_{i}") for i, r in enumerate(rules)])
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    sets = [*keys, *([()] if sums else [])]
+    groups = frame.groupingSets([list(s) for s in sets], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"), *sums.values()
+    )
+
+    def number(key: Sequence[str]) -> int:
+        """A bit for each column that is not part of the set, the first column's highest."""
+        return sum(1 << len(columns) - 1 - i for i, c in enumerate(columns) if c not in key)
+
+    totals = [
+        F.count_if((F.col("_set") == number(r.key)) & r.offends(F.col("_rows"))).alias(f"_total_{i}")
+        if r.key
+        else F.max(F.when(F.col("_set") == number(()), F.col(f"_sum_{i}"))).alias(f"_total_{i}")
+        for i, r in enumerate(rules)
     ]
+    return groups.agg(*totals).select(
+        *[r.failures(F.col(f"_total_{i}")).cast("bigint").alias(f"_{i}") for i, r in enumerate(rules)]
+    )
+
+
+def report(checks: Iterable[Check]) -> DataFrame:
+    """One row per check: ``table_name, check_name, column_name, severity, failures, status``.
+
+    All rules over one frame are compiled into one aggregation, see :func:`measured`.
+    """
+    frames: dict[int, list[Check]] = {}
+    for check in checks:
+        frames.setdefault(id(check.frame), []).append(check)
+    rows = []
+    for group in frames.values():
+        rules = [c for c in group if c.rule]
+        counted = [(measured(rules[0].frame, [c.rule for c in rules]), rules)] if rules else []
+        counted += [(c.frame.agg(F.count(F.lit(1)).alias("_0")), [c]) for c in group if not c.rule]
+        for row, own in counted:
+            entries = [
+                F.struct(
+                    F.lit(c.table).alias("table_name"),
+                    F.lit(c.name).alias("check_name"),
+                    F.lit(c.column).alias("column_name"),
+                    F.lit(c.severity).alias("severity"),
+                    F.col(f"_{i}").alias("failures"),
+                    F.when(F.col(f"_{i}") == 0, "pass").otherwise(c.severity).alias("status"),
+                )
+                for i, c in enumerate(own)
+            ]
+            rows.append(row.select(F.inline(F.array(*entries))))
     return reduce(DataFrame.unionAll, rows)
 
 

@@ -85,23 +85,14 @@ def store_facts(facts: DataFrame, name: str) -> DataFrame:
 
 
 def staging_checks(green: DataFrame, yellow: DataFrame) -> list[Check]:
-    tables = {STG_GREEN: green, STG_YELLOW: yellow}
-    keys = [
-        check
-        for name, df in tables.items()
-        for check in (
-            Check(name, "unique", "trip_id", WARN, checks.unique(df, "trip_id")),
-            Check(name, "not_null", "trip_id", WARN, checks.not_null(df, "trip_id")),
-        )
-    ]
-    codes = checks.accepted_values(green, "payment_type", PAYMENT_TYPES)
-    return [*keys, Check(STG_GREEN, "accepted_values", "payment_type", WARN, codes)]
+    key = (checks.must_be_unique("trip_id"), checks.must_be_present("trip_id"))
+    codes = checks.must_be_one_of("payment_type", PAYMENT_TYPES)
+    return [*checks.ruled(STG_GREEN, green, WARN, *key, codes), *checks.ruled(STG_YELLOW, yellow, WARN, *key)]
 
 
 def mart_checks(facts: DataFrame, revenue: DataFrame) -> list[Check]:
     """A green and a yellow trip may share a ``trip_id``, so facts are keyed with the service."""
-    total = "revenue_monthly_total_amount"
     return [
-        Check(FACT, "unique", "service_type, trip_id", WARN, checks.unique(facts, "service_type", "trip_id")),
-        Check(REVENUE, "not_null", total, ERROR, checks.not_null(revenue, total)),
+        *checks.ruled(FACT, facts, WARN, checks.must_be_unique("service_type", "trip_id")),
+        *checks.ruled(REVENUE, revenue, ERROR, checks.must_be_present("revenue_monthly_total_amount")),
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import tempfile
 import uuid
@@ -11,6 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
+#: A session setting that stands in for the calendar (``YYYY-MM-DD``).
+TODAY = "tripmart.today"
 
 
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -38,6 +41,12 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def today(spark: SparkSession) -> dt.date:
+    """The date that retention counts from: the session's current date, unless the session sets ``tripmart.today``."""
+    fixed = spark.conf.get(TODAY, None)
+    return dt.date.fromisoformat(fixed) if fixed else spark.sql("SELECT current_date() AS today").first().today
+
+
 def scratch_folder(spark: SparkSession, label: str | None = None) -> str:
     """A new folder name under the shared folder in ``spark.checkpoint.dir``.
 

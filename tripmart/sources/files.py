@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import re
+from collections import defaultdict
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import Contract, Service
+from tripmart.contracts import RETENTION_DAYS, Contract, Service
 from tripmart.operators.shape import conform
+from tripmart.session import remove, today
+from tripmart.sources import footers
 
 # Text forms a CSV file keeps its rows in. The default timestamp pattern
 # stops at milliseconds; doubled quotes are what other CSV readers expect.
@@ -69,21 +75,82 @@ def write_raw(df: DataFrame, root: str, service: Service, month: str) -> str:
 
 
 def read_service(spark: SparkSession, root: str, service: Service) -> DataFrame:
-    """Everything promoted for a service, with ``source_month`` from the folder names.
+    """Everything promoted for a service and not expired, with ``source_month`` from the folder names.
 
     The schema is declared, so no footers are read to infer it; the drifting columns are
     left out of it and come back as typed NULLs.
     """
     declared = service.source.without(*service.drifting).plus(("source_month", "string"))
     stored = spark.read.schema(declared.ddl).parquet(service_folder(root, service))
-    return conform(stored, service.source.plus(("source_month", "string")), service.drifting)
+    rows = conform(stored, service.source.plus(("source_month", "string")), service.drifting)
+    return _unexpired(rows, root, service)
 
 
-def write_promoted(spark: SparkSession, root: str, service: Service, month: str) -> None:
-    """Replace a month in the service's folder by what the raw zone holds of it now."""
-    raw = spark.read.parquet(raw_path(root, service, checked_month(month)))
-    rows = conform(raw, service.source, service.drifting)
-    rows.write.mode("overwrite").parquet(f"{service_folder(root, service)}/source_month={month}")
+def set_retention(spark: SparkSession, root: str, service: Service, days: int | None) -> None:
+    """Keep the days of retention with a service's folder; ``None`` keeps rows for ever."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_properties(root, service))
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(json.dumps({"retention_days": days}).encode()))
+    finally:
+        out.close()
+
+
+def retention(spark: SparkSession, root: str, service: Service) -> int | None:
+    """The days that a service's folder keeps; those of the contract if it was never told."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_properties(root, service))
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return RETENTION_DAYS
+    stream = store.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["retention_days"]
+    finally:
+        stream.close()
+
+
+def _properties(root: str, service: Service) -> str:
+    return f"{service_folder(root, service)}/_properties.json"
+
+
+def _unexpired(rows: DataFrame, root: str, service: Service) -> DataFrame:
+    """Rows picked up on a day that the folder still keeps. The bound is on the timestamp, which Parquet can skip by."""
+    days = retention(rows.sparkSession, root, service)
+    if days is None:
+        return rows
+    first = today(rows.sparkSession) - dt.timedelta(days=days - 1)
+    kept = F.col(service.pickup) >= F.lit(first.isoformat()).cast("timestamp_ntz")
+    return rows.filter(F.col(service.pickup).isNull() | kept)
+
+
+def write_promoted(spark: SparkSession, root: str, service: Service, listed: DataFrame) -> None:
+    """Replace months in the service's folder by what the raw zone holds of them, without what has expired.
+
+    ``listed`` names the ``month`` and ``path`` of all their raw files. Footers say which files share a schema; those
+    are read together, all are bound to the service's contract and written in one job, in which a task writes what
+    it has read. A month that has no rows left loses its folder.
+    """
+    folder = service_folder(root, service)
+    read = [
+        spark.read.schema(schema).parquet(*[raw_path(root, service, x) if MONTH.fullmatch(x) else x for x in names])
+        for schema, names in footers.grouped(listed)
+    ]
+    label = month_from_path(service, F.col("_metadata.file_path")).alias("source_month")
+    bound = [
+        conform(df.select("*", label), service.source.plus(("source_month", "string")), service.drifting) for df in read
+    ]
+    rows = _unexpired(reduce(DataFrame.unionAll, bound), root, service)
+    seen = Observation()
+    (
+        rows.observe(seen, F.collect_set("source_month").alias("months"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_month")
+        .parquet(folder)
+    )
+    for row in listed.select("month").distinct().collect():  # one row per month
+        if row.month not in seen.get["months"]:
+            remove(spark, f"{folder}/source_month={row.month}")
 
 
 def month_from_path(service: Service, path: Column) -> Column:
@@ -106,6 +173,22 @@ def raw_months(spark: SparkSession, root: str, service: Service) -> dict[str, in
     return found
 
 
+def list_parquet(spark: SparkSession, location: str) -> DataFrame:
+    """``path`` of every Parquet file at a path or below a folder, each as a group of its own; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+    visible = ~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")
+    return found.filter(visible).select("path", F.col("path").alias("month"))
+
+
+def globs(paths: list[str]) -> list[str]:
+    """Patterns that name exactly these files, one per folder."""
+    folders = defaultdict(list)
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        folders[folder].append(re.sub(r"([][{}*?,\\])", r"\\\1", name))
+    return [f"{folder}/{{{','.join(sorted(names))}}}" for folder, names in sorted(folders.items())]
+
+
 def read_csv(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """CSV with a header. Without a contract the types are inferred, at the price of a
     second pass over the text. With one, a cell or row that does not fit it raises, also

@@ -5,28 +5,51 @@ The target is either a JDBC table or, with the same two steps, a catalog table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.contracts import JDBC_BATCH_ROWS, Contract, Service
-from tripmart.sources import files, tables
+from tripmart.session import setting
+from tripmart.sources import files, versions
+
+
+DELIVERY = "_delivery"
 
 
 class Target(Protocol):
-    def save(self, df: DataFrame, mode: str) -> None: ...
+    def save(self, df: DataFrame, mode: str, delivery: str | None = None) -> None: ...
 
 
 @dataclass(frozen=True)
 class TableTarget:
+    """A versioned catalog table whose appends are told apart by the delivery they bring.
+
+    A delivery has a partition of its own, which the name does not show. Appending a delivery again overwrites that
+    partition alone, so a retried append changes nothing and a failed one is mended by running it again.
+    """
+
     name: str
 
-    def save(self, df: DataFrame, mode: str) -> None:
+    def save(self, df: DataFrame, mode: str, delivery: str | None = None) -> None:
+        """Without a delivery every append is one of its own."""
+        if DELIVERY in df.columns:
+            raise ValueError(f"{DELIVERY} is the name of the column that tells deliveries apart")
+        spark, key = df.sparkSession, delivery or uuid.uuid4().hex
         if mode == "overwrite":
-            tables.refresh_table(df, self.name)
-        else:
-            df.write.mode(mode).format("parquet").saveAsTable(self.name)
+            versions.publish(df.withColumn(DELIVERY, F.lit(key)), self.name, [DELIVERY], hidden=[DELIVERY])
+            return
+        columns = ", ".join(f"`{c}`" for c in spark.table(self.name).columns)
+        literal = key.replace("\\", "\\\\").replace("'", "\\'")
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {versions.stored(spark, self.name)} PARTITION ({DELIVERY} = '{literal}') "
+                f"SELECT {columns} FROM {{rows}}",
+                rows=df,
+            )
 
 
 @dataclass(frozen=True)
@@ -38,7 +61,8 @@ class JdbcTarget:
 
     A task inserts its partition in one transaction, so a task lost before its commit
     leaves nothing behind. One lost between commit and report is run again and inserts
-    twice; reload from :func:`create_empty` when an executor was lost in the last step.
+    twice; reload from :func:`create_empty` when an executor was lost in the last step. For the same reason a
+    delivery cannot be told apart here, and naming one raises.
     """
 
     url: str
@@ -59,7 +83,9 @@ class JdbcTarget:
         dealt = df.repartition(self.connections) if self.connections else df
         return dealt.write.mode(mode).format("jdbc").options(**self.options())
 
-    def save(self, df: DataFrame, mode: str) -> None:
+    def save(self, df: DataFrame, mode: str, delivery: str | None = None) -> None:
+        if delivery is not None:
+            raise ValueError("a JDBC table does not tell deliveries apart")
         self.writer(df, mode).save()
 
 
@@ -68,8 +94,12 @@ def create_empty(df: DataFrame, target: Target) -> None:
     target.save(df.limit(0), "overwrite")
 
 
-def append(df: DataFrame, target: Target) -> None:
-    target.save(df, "append")
+def append(df: DataFrame, target: Target, delivery: str | None = None) -> None:
+    """Add rows. A named delivery is there once, however often it is appended; the last one counts."""
+    if delivery is None:
+        target.save(df, "append")
+    else:
+        target.save(df, "append", delivery)
 
 
 def replace_then_append(df: DataFrame, target: Target) -> None:

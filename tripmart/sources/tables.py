@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,21 +11,49 @@ from pyspark.sql import functions as F
 from tripmart.contracts import RETENTION_DAYS, ZONE_FILE, ZONE_SOURCE, ZONE_TABLE, Contract, Service
 from tripmart.functions import pickup_date
 from tripmart.operators.shape import conform, unexpired
-from tripmart.session import remove, setting
-from tripmart.sources import files
+from tripmart.session import setting, today
+from tripmart.sources import changes, files, footers, versions
 
 PARTITIONS_PER_STATEMENT = 500
+EXTERNAL = f"{versions.PREFIX}external"
+RETENTION = f"{versions.PREFIX}retention_days"
 
 
 def external_table(spark: SparkSession, name: str, location: str, contract: Contract | None = None) -> DataFrame:
-    """Define a table over Parquet files in place, anew if it is defined already; the schema
-    comes from the files if not given. The files stay untouched."""
-    columns = f"({contract.ddl})" if contract else ""
+    """Name Parquet files in place as a table, anew if it was named before; the files stay untouched.
+
+    Without a contract the schema comes from the files' footers, read in tasks. If all share one, the name is a table
+    over the folder and shows what comes to lie there later. If they drift, it is a view that reads the
+    files of each schema by themselves and casts them to the widened one; define it again for files that come later.
+    Only names that this function made are made anew: anything else of that name raises.
+    """
     if spark.catalog.tableExists(name):
-        if _description(spark, name).get("Type") != "EXTERNAL":
+        kind = versions.properties(spark, name).get(EXTERNAL)
+        if kind is None:
             raise ValueError(f"{name} is a table of its own, not one over files in place")
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} {columns} USING parquet LOCATION '{location}'")
+        spark.sql(f"DROP {kind} {name}")
+    if contract is None:
+        groups = footers.grouped(files.list_parquet(spark, location))
+        if len(groups) > 1:
+            return _drifting(spark, name, groups)
+    columns = f"({contract.ddl})" if contract else ""
+    spark.sql(
+        f"CREATE TABLE {name} {columns} USING parquet LOCATION '{location}' TBLPROPERTIES ('{EXTERNAL}' = 'TABLE')"
+    )
+    return spark.table(name)
+
+
+def _drifting(spark: SparkSession, name: str, groups: list) -> DataFrame:
+    """A view over files of several schemas, cast to the one that holds them all."""
+    whole = footers.widened(schema for schema, _ in groups)
+    parts = []
+    for schema, paths in groups:
+        own = {f.name.lower(): f"`{f.name}`" for f in schema.fields}
+        columns = ", ".join(
+            f"CAST({own.get(f.name.lower(), 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in whole.fields
+        )
+        parts += [f"SELECT {columns} FROM parquet.`{glob}`" for glob in files.globs(paths)]
+    spark.sql(f"CREATE VIEW {name} TBLPROPERTIES ('{EXTERNAL}' = 'VIEW') AS {' UNION ALL '.join(parts)}")
     return spark.table(name)
 
 
@@ -46,40 +73,15 @@ def catalog_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return spark.table(name)
 
 
-def refresh_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def refresh_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), grace: dt.timedelta = versions.GRACE
+) -> DataFrame:
     """Replace a table by ``df`` and read it back, which also cuts the lineage.
 
-    The rows go into a folder of their own first, and the name is moved to them when all are
-    there: a refresh that fails leaves the table as it was. Only the move itself, two
-    catalog commands, is not atomic.
+    The rows become the next version of the table, see :mod:`tripmart.sources.versions`: readers see all of the old
+    rows or all of the new ones, in any session, and a refresh that fails changes nothing.
     """
-    spark = df.sparkSession
-    database, _, table = name.rpartition(".")
-    database = database or spark.catalog.currentDatabase()
-    home = _description(spark, database, of="DATABASE")["Location"].rstrip("/")
-    folder = f"{home}/{table}-{uuid.uuid4().hex}"
-    try:
-        df.write.partitionBy(*partition_by).parquet(folder)
-    except Exception:
-        remove(spark, folder)
-        raise
-    old = _description(spark, name).get("Location", "") if spark.catalog.tableExists(name) else ""
-    columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{folder}'")
-    if partition_by:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    if old.startswith(f"{home}/{table}-"):
-        remove(spark, old)
-    return spark.table(name)
-
-
-def _description(spark: SparkSession, name: str, of: str = "TABLE") -> dict[str, str]:
-    keys = {"TABLE": "col_name", "DATABASE": "info_name"}[of]
-    values = {"TABLE": "data_type", "DATABASE": "info_value"}[of]
-    described = spark.sql(f"DESCRIBE {of} EXTENDED {name}")
-    return {row[keys]: row[values] for row in described.collect() if row[keys] in ("Location", "Type")}
+    return versions.publish(df, name, partition_by, grace)
 
 
 def empty_like(df: DataFrame, name: str) -> DataFrame:
@@ -94,39 +96,80 @@ def schema_ddl(df: DataFrame) -> str:
 # ------------------------------------------------------------------ trip tables
 
 
-def create_trip_table(spark: SparkSession, service: Service, database: str) -> str:
-    """A service's typed table, partitioned by month of delivery and date of pickup."""
+def create_trip_table(
+    spark: SparkSession, service: Service, database: str, days: int | None = RETENTION_DAYS
+) -> str:
+    """A service's typed table, partitioned by month of delivery and date of pickup, if it is not there.
+
+    ``days`` become the table's retention, which every load obeys (``None``: rows never expire).
+    """
     name = f"{database}.{service.table}"
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({service.table_contract.ddl}) "
-        "USING parquet PARTITIONED BY (source_month, pickup_date)"
-    )
+    if versions.check_name(spark, name) is None:
+        version = versions.new_version(spark, name)
+        spark.sql(
+            f"CREATE TABLE {version} ({service.table_contract.ddl}) "
+            "USING parquet PARTITIONED BY (source_month, pickup_date)"
+        )
+        versions.point(spark, name, version, service.table_contract.names)
+        set_retention(spark, name, days)
     return name
 
 
+def set_retention(spark: SparkSession, table: str, days: int | None) -> None:
+    """Keep the days of retention as a property of the table; ``None`` keeps rows for ever."""
+    versions.set_properties(spark, table, {RETENTION: None if days is None else str(days)})
+
+
+def retention(spark: SparkSession, table: str) -> int | None:
+    days = versions.properties(spark, table).get(RETENTION)
+    return None if days is None else int(days)
+
+
+def _last_expired(spark: SparkSession, table: str, as_of: dt.date | None, days: int | None) -> dt.date | None:
+    """The last date that has expired: by the table's own days and the calendar, unless told otherwise."""
+    kept = retention(spark, table) if days is None else days
+    return None if kept is None else (as_of or today(spark)) - dt.timedelta(days=kept)
+
+
 def load_month(
-    df: DataFrame, service: Service, table: str, month: str, as_of: dt.date | None = None, days: int = RETENTION_DAYS
+    df: DataFrame,
+    service: Service,
+    table: str,
+    month: str,
+    as_of: dt.date | None = None,
+    days: int | None = None,
 ) -> None:
     """Replace one delivered month in a trip table; running it again changes nothing.
 
-    ``df`` may have drifted types: it is bound to the service's contract here. With ``as_of``
-    the days that retention has expired by then are left out.
+    ``df`` may have drifted types: it is bound to the service's contract here. Days that the table's retention has
+    expired by today are left out; ``as_of`` and ``days`` stand in for today and the table's own days.
     Static overwrite drops every date of the delivery before writing, so dates that a
     redelivery no longer holds disappear, while a stray date of another month stays inside
     its own delivery and cannot overwrite that other month. Rows are sorted by pickup time
     within each date (the write sorts by date anyway), so a time window skips row groups.
+    The dates that the load took away or brought go on record, for builds that only redo those.
     """
     files.checked_month(month)
     spark = df.sparkSession
-    rows = _retained(_dated(conform(df, service.source, service.drifting), service), as_of, days)
+    version = versions.stored(spark, table)
+    rows = _retained(_dated(conform(df, service.source, service.drifting), service), _last_expired(spark, table, as_of, days))
+    before = _dates(spark, version, month)
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (source_month = '{month}', pickup_date) "
+            f"INSERT OVERWRITE TABLE {version} PARTITION (source_month = '{month}', pickup_date) "
             f"SELECT /*+ REBALANCE(pickup_date) */ * FROM {{rows}} SORT BY pickup_date, {service.pickup}",
             rows=rows,
         )
-    if month not in _consumed(spark, table):
-        spark.sql(f"INSERT INTO {_record(table)} VALUES ('{month}')")
+    changes.record(spark, table, month, before | _dates(spark, version, month))
+
+
+def _dates(spark: SparkSession, version: str, month: str | None = None) -> set[tuple[str, str]]:
+    """``(source_month, pickup_date)`` of the partitions that are there: names, no rows. Undated ones have no date."""
+    of_month = f"PARTITION (source_month = '{month}')" if month else ""
+    date = F.regexp_extract("partition", r"pickup_date=(\d{4}-\d{2}-\d{2})", 1)
+    label = F.regexp_extract("partition", r"source_month=(\d{4}-\d{2})", 1)
+    rows = spark.sql(f"SHOW PARTITIONS {version} {of_month}").select(label.alias("month"), date.alias("date"))
+    return {(r.month, r.date) for r in rows.collect()}
 
 
 def load_months(
@@ -137,7 +180,7 @@ def load_months(
     first: str | None = None,
     last: str | None = None,
     as_of: dt.date | None = None,
-    days: int = RETENTION_DAYS,
+    days: int | None = None,
 ) -> DataFrame:
     """Backfill landed months ``first`` to ``last`` (the service's own range by default).
 
@@ -159,7 +202,7 @@ def promote(
     table: str,
     months: Iterable[str] | None = None,
     as_of: dt.date | None = None,
-    days: int = RETENTION_DAYS,
+    days: int | None = None,
 ) -> DataFrame:
     """Load raw months into the service's table: those it has never taken, or ``months``.
 
@@ -173,14 +216,9 @@ def promote(
     return spark.table(table)
 
 
-def _record(table: str) -> str:
-    return f"{table}_months"
-
-
 def _consumed(spark: SparkSession, table: str) -> set[str]:
     """The months that a trip table has taken."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_record(table)} (source_month STRING) USING parquet")
-    return {row.source_month for row in spark.table(_record(table)).distinct().collect()}
+    return changes.months(spark, table)
 
 
 def load_zones(spark: SparkSession, csv: str, root: str, database: str) -> DataFrame:
@@ -195,45 +233,47 @@ def rebuild(
     service: Service,
     database: str,
     as_of: dt.date | None = None,
-    days: int = RETENTION_DAYS,
+    days: int | None = None,
 ) -> DataFrame:
     """Full refresh of a trip table from everything promoted, in one job."""
-    name = f"{database}.{service.table}"
-    rows = _retained(_dated(files.read_service(spark, root, service), service), as_of, days)
+    name = create_trip_table(spark, service, database)
+    rows = _retained(_dated(files.read_service(spark, root, service), service), _last_expired(spark, name, as_of, days))
     dealt = (
         rows.select(*service.table_contract.names)
         .hint("rebalance", "source_month", "pickup_date")
         .sortWithinPartitions("source_month", "pickup_date", service.pickup)
     )
-    return refresh_table(dealt, name, ("source_month", "pickup_date"))
+    rebuilt = refresh_table(dealt, name, ("source_month", "pickup_date"))
+    changes.record_all(spark, name, {month for month, _ in _dates(spark, versions.stored(spark, name))})
+    return rebuilt
 
 
-def _retained(df: DataFrame, as_of: dt.date | None, days: int) -> DataFrame:
-    return df if as_of is None else unexpired(df, "pickup_date", as_of, days)
+def _retained(df: DataFrame, last_expired: dt.date | None) -> DataFrame:
+    return df if last_expired is None else unexpired(df, "pickup_date", last_expired, 0)
 
 
 def _dated(df: DataFrame, service: Service) -> DataFrame:
     return df.withColumn("pickup_date", pickup_date(service.pickup))
 
 
-def expire_partitions(spark: SparkSession, table: str, as_of: dt.date, days: int = RETENTION_DAYS) -> DataFrame:
-    """Drop the partitions whose ``pickup_date`` is ``days`` or more before ``as_of``.
+def expire_partitions(
+    spark: SparkSession, table: str, as_of: dt.date | None = None, days: int | None = None
+) -> DataFrame:
+    """Drop the partitions whose ``pickup_date`` is as many days or more before today as the table keeps.
 
-    Only partition names are read. Undated partitions never expire.
+    ``as_of`` and ``days`` stand in for today and the table's own days. Only partition names are read. Undated
+    partitions never expire.
     """
-    cutoff = as_of - dt.timedelta(days=days)
-    date = F.regexp_extract("partition", r"pickup_date=(\d{4}-\d{2}-\d{2})", 1)
-    month = F.regexp_extract("partition", r"source_month=(\d{4}-\d{2})", 1)
-    expired = (
-        spark.sql(f"SHOW PARTITIONS {table}")
-        .select(month.alias("month"), date.alias("date"))
-        .filter((F.col("date") != "") & (F.col("date") <= cutoff.isoformat()))
-        .collect()
-    )
+    last, version = _last_expired(spark, table, as_of, days), versions.stored(spark, table)
+    if last is None:
+        return spark.table(table)
+    expired = sorted(p for p in _dates(spark, version) if p[1] and p[1] <= last.isoformat())
     for start in range(0, len(expired), PARTITIONS_PER_STATEMENT):
         batch = expired[start : start + PARTITIONS_PER_STATEMENT]
-        specs = ", ".join(f"PARTITION (source_month = '{p.month}', pickup_date = DATE '{p.date}')" for p in batch)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+        specs = ", ".join(f"PARTITION (source_month = '{month}', pickup_date = DATE '{date}')" for month, date in batch)
+        spark.sql(f"ALTER TABLE {version} DROP IF EXISTS {specs}")
+    if expired:
+        changes.record(spark, table, None, set(expired))
     return spark.table(table)
 
 

@@ -22,7 +22,7 @@ from tripmart.operators.joins import orphans, with_zone
 from tripmart.operators.shape import between_ts, conform, known_zones, replace_with_null, unexpired
 from tripmart.plans import build as warehouse
 from tripmart.plans import marts, staging
-from tripmart.session import scratch_database, scratch_folder
+from tripmart.session import TODAY, scratch_database, scratch_folder, setting
 from tripmart.sources import files, relational, tables
 from tripmart.standins import frames
 from tripmart.streaming import promote_available
@@ -267,10 +267,14 @@ def partitioned_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expire_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promote, expire, and promote again: what has expired must not come back."""
+    """Promote, then keep few days: no path, a named redelivery and a rebuild included, brings the others back."""
     table, root = _promote_whole(spark, sf_dir, "expire_partitions")
-    tables.expire_partitions(spark, table, AS_OF, KEPT_DAYS)
-    return tables.promote(spark, root, FHV, table)
+    with setting(spark, TODAY, AS_OF.isoformat()):
+        tables.set_retention(spark, table, KEPT_DAYS)
+        tables.expire_partitions(spark, table)
+        tables.promote(spark, root, FHV, table, months=frames.MONTHS[:1])
+        promote_available(spark, root, FHV, f"{root}/checkpoint").awaitTermination()
+        return tables.rebuild(spark, root, FHV, table.rpartition(".")[0])
 
 
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,7 +308,8 @@ def replace_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = frames.table(spark, sf_dir, "customer")
     relational.replace(customers.withColumn("c_name", F.lit("stale")), target)
     relational.replace_then_append(customers, target)
-    relational.append(customers.withColumn("c_custkey", -F.col("c_custkey")), target)
+    for _ in range(2):
+        relational.append(customers.withColumn("c_custkey", -F.col("c_custkey")), target, "mirrored")
     return spark.table(target.name)
 
 
@@ -339,25 +344,24 @@ def _land(spark: SparkSession, sf_dir: str, label: str) -> str:
 def _stream(spark: SparkSession, sf_dir: str, label: str) -> str:
     """Promote after each of five deliveries, the last of which brings nothing.
 
-    The first month comes twice, whole and then without some rows, and the second has its
-    integers stored as another type.
+    The first month comes twice, with every row doubled and then as it should be. So does the second, the
+    second time with files that look older than those they replace and hold integers as another type.
     """
     root = scratch_folder(spark, label)
     first, second = frames.MONTHS
     whole = frames.fhv_delivery(spark, sf_dir, first)
     late = frames.fhv_delivery(spark, sf_dir, second)
     deliveries = [
-        (first, whole.union(whole)),
-        (second, late),
-        (first, whole),
-        (second, late.withColumn("trip_time", F.col("trip_time").cast("double"))),
+        (first, whole.union(whole), 0),
+        (second, late.union(late), 10),
+        (first, whole, 0),
+        (second, late.withColumn("trip_time", F.col("trip_time").cast("double")), 20),
         None,
     ]
     for delivery in deliveries:
         if delivery:
-            path = files.write_raw(delivery[1], root, FHV, delivery[0])
-            if delivery[0] == second:
-                _backdate(spark, path, days=10)
+            month, rows, age = delivery
+            _backdate(spark, files.write_raw(rows, root, FHV, month), age)
         promote_available(spark, root, FHV, f"{root}/checkpoint").awaitTermination()
     return root
 
@@ -425,8 +429,8 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = warehouse.store_facts(marts.fact_trips(green, yellow, zones), f"{database}.facts")
     results = warehouse.staging_checks(green, yellow) + warehouse.mart_checks(facts, marts.monthly_zone_revenue(facts))
     events = frames.table(spark, sf_dir, "events")
-    late = checks.Check("fhv_trips", "freshness", "ts", checks.ERROR, checks.stale(events, "ts", FRESH_AS_OF))
-    return checks.report([*results, late])
+    fresh = checks.ruled("fhv_trips", events, checks.ERROR, checks.must_be_fresh("ts", FRESH_AS_OF))
+    return checks.report([*results, *fresh])
 
 
 QUERIES = {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.contracts import Service
-from tripmart.sources import files
+from tripmart.sources import files, ledger
 
 _LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -19,22 +19,25 @@ def promote_available(
 
     The stream only finds files, by name and whatever their age; their content is not read
     and their types play no part. Each month that a batch names is replaced as a whole by
-    what the raw zone then holds of it, bound to the service's contract. A redelivery
-    therefore replaces, and a batch that runs twice changes nothing. Months whose files were
-    replaced under their old names are found by their time of change, before the stream
-    starts. A file whose name holds no month ends the run with an error that names it.
+    what the raw zone then holds of it, bound to the service's contract and without what retention has
+    expired. What was taken is on record in a ledger beside the checkpoint, file by file: months whose files
+    were replaced under their old names, are gone or came back with an older time are found by any
+    difference to it before the stream starts, and a batch that runs twice changes nothing. All due months
+    are read, replaced and recorded together, so the number of jobs does not grow with the months. A file
+    whose name holds no month ends the run with an error that names it.
     """
-    taken = f"{checkpoint.rstrip('/')}-months"
-    for month, changed in files.raw_months(spark, root, service).items():
-        if 0 < _taken(spark, taken).get(month, changed) < changed:
-            _replace(spark, root, service, month, taken)
+    files.raw_months(spark, root, service)  # refuses a name without a month
+    book = f"{checkpoint.rstrip('/')}-ledger"
+    if ledger.entries(spark, book):
+        known = ledger.taken(spark, book).select(F.col("month").alias("_known")).distinct()
+        _replace(spark, root, service, book, known)
 
     def replace(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        named = batch.select(files.month_from_path(service, F.col("path")).alias("month"), "path")
+        named = batch.select(files.month_from_path(service, F.col("path")).alias("_known"), "path")
         # one row per month
-        for row in named.groupBy("month").agg(F.min("path").alias("path")).orderBy("month").collect():
-            _replace(session, root, service, files.checked_month(row.month, row.path), taken)
+        for row in named.groupBy("_known").agg(F.min("path").alias("path")).collect():
+            files.checked_month(row["_known"], row.path)
+        _replace(batch.sparkSession, root, service, book, named.select("_known").distinct())
 
     reader = (
         spark.readStream.format("binaryFile")
@@ -54,17 +57,11 @@ def promote_available(
     )
 
 
-def _replace(spark: SparkSession, root: str, service: Service, month: str, taken: str) -> None:
-    changed = files.raw_months(spark, root, service).get(month, 0)
-    files.write_promoted(spark, root, service, month)
-    row = spark.createDataFrame([(month, changed)], "month string, changed bigint").coalesce(1)
-    row.write.mode("append").parquet(taken)
-
-
-def _taken(spark: SparkSession, folder: str) -> dict[str, int]:
-    """When each month last taken had been changed; one row per month."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return {}
-    rows = spark.read.schema("month string, changed bigint").parquet(folder)
-    return {r.month: r.changed for r in rows.groupBy("month").agg(F.max("changed").alias("changed")).collect()}
+def _replace(spark: SparkSession, root: str, service: Service, book: str, months: DataFrame) -> None:
+    """Replace those of ``months`` (``_known``) that are due, then enter what was listed of them in the ledger."""
+    listed = ledger.due(spark, root, service, book).join(months, F.col("month") == F.col("_known"), "left_semi")
+    # what is listed now is what will be entered, whatever is delivered meanwhile
+    pending = ledger.pending(spark, book, listed)
+    if not pending.isEmpty():
+        files.write_promoted(spark, root, service, pending)
+        ledger.record(spark, book, pending)
