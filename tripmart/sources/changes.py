@@ -43,7 +43,9 @@ def record_all(spark: SparkSession, table: str, months: Iterable[str]) -> None:
 
 def _append(spark: SparkSession, table: str, rows: list[tuple]) -> None:
     log(spark, table)
-    spark.createDataFrame(rows, COLUMNS).coalesce(1).write.insertInto(f"{table}_loads")
+    # ids, months and dates: no value needs quoting
+    values = ", ".join(f"({', '.join('NULL' if v is None else f'{v!r}' for v in row)})" for row in rows)
+    spark.sql(f"INSERT INTO {table}_loads SELECT * FROM VALUES {values}")
 
 
 def months(spark: SparkSession, table: str) -> set[str]:

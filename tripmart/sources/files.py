@@ -126,19 +126,21 @@ def _unexpired(rows: DataFrame, root: str, service: Service) -> DataFrame:
 def write_promoted(spark: SparkSession, root: str, service: Service, listed: DataFrame) -> None:
     """Replace months in the service's folder by what the raw zone holds of them, without what has expired.
 
-    ``listed`` names the ``month`` and ``path`` of all their raw files. Footers say which files share a schema; those
+    ``listed`` names the ``month``, ``path`` and ``schema`` of all their raw files. Files that share a schema
     are read together, all are bound to the service's contract and written in one job, in which a task writes what
     it has read. A month that has no rows left loses its folder.
     """
+    alike = footers.grouped(listed)
+    if not alike:
+        return
     folder = service_folder(root, service)
-    read = [
-        spark.read.schema(schema).parquet(*[raw_path(root, service, x) if MONTH.fullmatch(x) else x for x in names])
-        for schema, names in footers.grouped(listed)
-    ]
     label = month_from_path(service, F.col("_metadata.file_path")).alias("source_month")
-    bound = [
-        conform(df.select("*", label), service.source.plus(("source_month", "string")), service.drifting) for df in read
+    contract = service.source.plus(("source_month", "string"))
+    read = [
+        spark.read.schema(a.schema).parquet(*[raw_path(root, service, m) for m in sorted(a.months)], *sorted(a.paths))
+        for a in alike
     ]
+    bound = [conform(df.select("*", label), contract, service.drifting) for df in read]
     rows = _unexpired(reduce(DataFrame.unionAll, bound), root, service)
     seen = Observation()
     (
@@ -148,9 +150,13 @@ def write_promoted(spark: SparkSession, root: str, service: Service, listed: Dat
         .partitionBy("source_month")
         .parquet(folder)
     )
-    for row in listed.select("month").distinct().collect():  # one row per month
-        if row.month not in seen.get["months"]:
-            remove(spark, f"{folder}/source_month={row.month}")
+    named = {m for a in alike for m in a.months} | {_month_of(service, p) for a in alike for p in a.paths}
+    for month in named.difference(seen.get["months"]):
+        remove(spark, f"{folder}/source_month={month}")
+
+
+def _month_of(service: Service, path: str) -> str:
+    return re.search(rf"{service.raw_prefix}([^/]*)\.parquet(?:/|$)", path)[1]
 
 
 def month_from_path(service: Service, path: Column) -> Column:

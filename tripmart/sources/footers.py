@@ -7,69 +7,84 @@ declared schema reads both. Grouped by their own schemas they can be read, and c
 from __future__ import annotations
 
 import json
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, DecimalType, DoubleType, FloatType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 # Integers by width and the decimal digits that hold them.
 _INTEGERS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
 
 
-def footers(paths: DataFrame) -> DataFrame:
-    """``path``, ``schema`` (JSON, by Spark's types) and ``n_rows`` of the files that ``path`` names."""
+def described(listed: DataFrame) -> DataFrame:
+    """The rows with ``schema``, the types Spark reads the file at ``path`` by (JSON).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs, parquet
-        from pyspark.sql.pandas.types import from_arrow_type
+    A task reads the footers of the files that its part of the listing names.
+    """
+    names = listed.columns
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for path in batch.column(0).to_pylist():
-                storage, place = fs.FileSystem.from_uri(path)
-                meta = parquet.read_metadata(place, filesystem=storage)
-                # the type of instants that old writers use tells nothing of zones: Spark reads them as instants
-                old = {
-                    meta.schema.column(i).path
-                    for i in range(len(meta.schema))
-                    if meta.schema.column(i).physical_type == "INT96"
-                }
-                fields = []
-                for field in meta.schema.to_arrow_schema():
-                    kind = field.type.value_type if pa.types.is_dictionary(field.type) else field.type
-                    fields.append(StructField(field.name, from_arrow_type(kind, field.name not in old)))
-                out.append((path, StructType(fields).json(), meta.num_rows))
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
-                ["path", "schema", "n_rows"],
-            )
-
-    width = paths.sparkSession.sparkContext.defaultParallelism
-    return paths.select("path").repartition(width).mapInArrow(run, "path string, schema string, n_rows long")
-
-
-def grouped(listed: DataFrame) -> list[tuple[StructType, list[str]]]:
-    """Schemas and what has them: ``month`` where all its files share one, else their ``path``.
-
-    One name per month reaches the driver, however many files it has, unless they differ among themselves.
-    """
-    alike = (
-        listed.join(footers(listed).withColumnRenamed("path", "_path"), F.col("path") == F.col("_path"))
-        .groupBy("month", "schema")
-        .agg(F.collect_list("path").alias("paths"))
-    )
-    of_month = alike.groupBy("month").agg(F.count("*").alias("_kinds")).withColumnRenamed("month", "_month")
-    rows = alike.join(of_month, F.col("month").eqNullSafe(F.col("_month"))).select(
-        "schema", F.when(F.col("_kinds") == 1, F.array("month")).otherwise(F.col("paths")).alias("names")
-    )
-    found = defaultdict(list)
-    for row in rows.collect():
-        found[row.schema] += row.names
-    return [(StructType.fromJson(json.loads(schema)), sorted(names)) for schema, names in sorted(found.items())]
+            found = [_schema_of(path) for path in batch.column(names.index("path")).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*names, "schema"])
+
+    return listed.mapInArrow(run, StructType([*listed.schema.fields, StructField("schema", StringType())]))
+
+
+def _schema_of(path: str) -> str:
+    from pyarrow import fs, parquet
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    storage, place = fs.FileSystem.from_uri(path)
+    meta = parquet.read_metadata(place, filesystem=storage)
+    columns = [meta.schema.column(i) for i in range(len(meta.schema))]
+    # the type of instants that old writers use tells nothing of zones: Spark reads them as instants
+    old = {c.path for c in columns if c.physical_type == "INT96"}
+    fields = []
+    for column in meta.schema.to_arrow_schema():
+        kind = column.type.value_type if pa.types.is_dictionary(column.type) else column.type
+        fields.append(StructField(column.name, from_arrow_type(kind, column.name not in old)))
+    return StructType(fields).json()
+
+
+@dataclass
+class Alike:
+    """What shares a schema: whole months, and single files of months whose files differ among themselves."""
+
+    schema: StructType
+    months: list[str] = field(default_factory=list)
+    paths: list[str] = field(default_factory=list)
+
+
+def grouped(rows: DataFrame) -> list[Alike]:
+    """Described files by schema. One row per month reaches the driver, however many files it has, unless they differ."""
+    found: dict[str, Alike] = {}
+    mixed = []
+
+    def of(schema: str) -> Alike:
+        return found.setdefault(schema, Alike(StructType.fromJson(json.loads(schema))))
+
+    for row in rows.groupBy("month").agg(F.collect_set("schema").alias("schemas")).collect():
+        if len(row.schemas) == 1:
+            of(row.schemas[0]).months.append(row.month)
+        else:
+            mixed.append(row.month)
+    if mixed:
+        for row in rows.filter(F.col("month").isin(mixed)).select("path", "schema").collect():
+            of(row.schema).paths.append(row.path)
+    return [found[schema] for schema in sorted(found)]
 
 
 def widened(schemas: Iterable[StructType]) -> StructType:
@@ -80,10 +95,10 @@ def widened(schemas: Iterable[StructType]) -> StructType:
     """
     out: dict[str, StructField] = {}
     for schema in schemas:
-        for field in schema.fields:
-            key = field.name.lower()
-            kind = _both(field.name, out[key].dataType, field.dataType) if key in out else field.dataType
-            out[key] = StructField(out[key].name if key in out else field.name, kind)
+        for column in schema.fields:
+            key = column.name.lower()
+            kind = _both(column.name, out[key].dataType, column.dataType) if key in out else column.dataType
+            out[key] = StructField(out[key].name if key in out else column.name, kind)
     return StructType(list(out.values()))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripmart.contracts import Service
 from tripmart.session import remove
-from tripmart.sources import files
+from tripmart.sources import files, footers
 
 COLUMNS = "entry bigint, month string, path string, length bigint, changed timestamp"
 MOST_ENTRIES = 16
@@ -56,28 +56,25 @@ def taken(spark: SparkSession, folder: str) -> DataFrame:
 
 def due(spark: SparkSession, root: str, service: Service, folder: str) -> DataFrame:
     """The current listing of the months of which something differs from what was taken."""
-    now = listing(spark, root, service)
-    known = taken(spark, folder).select(F.col("month").alias("_month"), F.col("path").alias("_path"), "length", "changed")
-    listed, held = now.alias("now"), known.alias("known")
-    same = (
-        (F.col("path") == F.col("_path"))
-        & F.col("now.length").eqNullSafe(F.col("known.length"))
-        & F.col("now.changed").eqNullSafe(F.col("known.changed"))
-    )
+    now, known = listing(spark, root, service), taken(spark, folder)
+    sides = now.withColumn("listed", F.lit(1)).unionByName(known.drop("entry").withColumn("listed", F.lit(-1)))
+    # a file that is listed as it was taken cancels out
     differing = (
-        listed.join(held, same, "full")
-        .where(F.col("path").isNull() | F.col("_path").isNull())
-        .select(F.coalesce("month", "_month").alias("_due"))
+        sides.groupBy("month", "path", "length", "changed")
+        .agg(F.sum("listed").alias("_rest"))
+        .where(F.col("_rest") != 0)
+        .select(F.col("month").alias("_month"))
         .distinct()
     )
-    return now.join(differing, F.col("month") == F.col("_due"), "left_semi")
+    return now.join(differing, F.col("month") == F.col("_month"), "left_semi")
 
 
 def pending(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
-    """Rows for the next entry, put down before their files are read."""
+    """Rows for the next entry, put down before their files are read, each with the schema of its file."""
     path = f"{folder.rstrip('/')}/pending"
-    rows.select("month", "path", "length", "changed").write.mode("overwrite").parquet(path)
-    return spark.read.schema(COLUMNS.partition(", ")[2]).parquet(path)
+    chosen = footers.described(rows.select("month", "path", "length", "changed"))
+    chosen.write.mode("overwrite").parquet(path)
+    return spark.read.schema(chosen.schema).parquet(path)
 
 
 def record(spark: SparkSession, folder: str, rows: DataFrame) -> None:

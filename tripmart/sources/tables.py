@@ -33,7 +33,7 @@ def external_table(spark: SparkSession, name: str, location: str, contract: Cont
             raise ValueError(f"{name} is a table of its own, not one over files in place")
         spark.sql(f"DROP {kind} {name}")
     if contract is None:
-        groups = footers.grouped(files.list_parquet(spark, location))
+        groups = footers.grouped(footers.described(files.list_parquet(spark, location)))
         if len(groups) > 1:
             return _drifting(spark, name, groups)
     columns = f"({contract.ddl})" if contract else ""
@@ -43,16 +43,16 @@ def external_table(spark: SparkSession, name: str, location: str, contract: Cont
     return spark.table(name)
 
 
-def _drifting(spark: SparkSession, name: str, groups: list) -> DataFrame:
+def _drifting(spark: SparkSession, name: str, groups: list[footers.Alike]) -> DataFrame:
     """A view over files of several schemas, cast to the one that holds them all."""
-    whole = footers.widened(schema for schema, _ in groups)
+    whole = footers.widened(g.schema for g in groups)
     parts = []
-    for schema, paths in groups:
-        own = {f.name.lower(): f"`{f.name}`" for f in schema.fields}
+    for group in groups:
+        own = {f.name.lower(): f"`{f.name}`" for f in group.schema.fields}
         columns = ", ".join(
             f"CAST({own.get(f.name.lower(), 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in whole.fields
         )
-        parts += [f"SELECT {columns} FROM parquet.`{glob}`" for glob in files.globs(paths)]
+        parts += [f"SELECT {columns} FROM parquet.`{glob}`" for glob in files.globs(group.months)]
     spark.sql(f"CREATE VIEW {name} TBLPROPERTIES ('{EXTERNAL}' = 'VIEW') AS {' UNION ALL '.join(parts)}")
     return spark.table(name)
 

@@ -17,27 +17,31 @@ def promote_available(
 ) -> StreamingQuery:
     """Start a run that takes every raw file not taken before and then stops.
 
-    The stream only finds files, by name and whatever their age; their content is not read
-    and their types play no part. Each month that a batch names is replaced as a whole by
-    what the raw zone then holds of it, bound to the service's contract and without what retention has
-    expired. What was taken is on record in a ledger beside the checkpoint, file by file: months whose files
-    were replaced under their old names, are gone or came back with an older time are found by any
-    difference to it before the stream starts, and a batch that runs twice changes nothing. All due months
-    are read, replaced and recorded together, so the number of jobs does not grow with the months. A file
-    whose name holds no month ends the run with an error that names it.
+    Files are told apart by name, length and change time, whatever their age; their types play no part. What was taken
+    is on record in a ledger beside the checkpoint. Before the stream starts, every month of which the raw zone shows
+    any difference to the ledger (new files, files replaced under their old names, also by older ones, files
+    that are gone) is replaced as a whole by what the raw zone holds of it, bound to the service's contract and
+    without what retention has expired. The stream takes what is delivered from then on; a batch whose files are
+    entered already, as when it runs twice, changes nothing. All due months are read, replaced and recorded
+    together, so the number of jobs does not grow with the months. A file whose name holds no month ends the run with
+    an error that names it.
     """
-    files.raw_months(spark, root, service)  # refuses a name without a month
     book = f"{checkpoint.rstrip('/')}-ledger"
-    if ledger.entries(spark, book):
-        known = ledger.taken(spark, book).select(F.col("month").alias("_known")).distinct()
-        _replace(spark, root, service, book, known)
+    if files.raw_months(spark, root, service):  # refuses a name without a month
+        _replace(spark, root, service, book)
 
     def replace(batch: DataFrame, _: int) -> None:
-        named = batch.select(files.month_from_path(service, F.col("path")).alias("_known"), "path")
-        # one row per month
-        for row in named.groupBy("_known").agg(F.min("path").alias("path")).collect():
-            files.checked_month(row["_known"], row.path)
-        _replace(batch.sparkSession, root, service, book, named.select("_known").distinct())
+        session = batch.sparkSession
+        known = ledger.taken(session, book).select(F.col("path").alias("_path"), "length", "changed").alias("known")
+        same = (
+            (F.col("path") == F.col("_path"))
+            & F.col("new.length").eqNullSafe(F.col("known.length"))
+            & F.col("modificationTime").eqNullSafe(F.col("changed"))
+        )
+        unknown = batch.alias("new").join(known, same, "left_anti").select("path").first()
+        if unknown:
+            files.raw_months(session, root, service)
+            _replace(session, root, service, book)
 
     reader = (
         spark.readStream.format("binaryFile")
@@ -49,7 +53,7 @@ def promote_available(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.load(files.raw_glob(root, service))
-        .select("path")
+        .select("path", "length", "modificationTime")
         .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -57,11 +61,10 @@ def promote_available(
     )
 
 
-def _replace(spark: SparkSession, root: str, service: Service, book: str, months: DataFrame) -> None:
-    """Replace those of ``months`` (``_known``) that are due, then enter what was listed of them in the ledger."""
-    listed = ledger.due(spark, root, service, book).join(months, F.col("month") == F.col("_known"), "left_semi")
+def _replace(spark: SparkSession, root: str, service: Service, book: str) -> None:
+    """Replace the due months, then enter what was listed of them in the ledger."""
     # what is listed now is what will be entered, whatever is delivered meanwhile
-    pending = ledger.pending(spark, book, listed)
+    pending = ledger.pending(spark, book, ledger.due(spark, root, service, book))
     if not pending.isEmpty():
         files.write_promoted(spark, root, service, pending)
         ledger.record(spark, book, pending)
