@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,6 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tripmart.llm import near_dups, suffix_dedup
 from tripmart.llm.components import components, joined
 from tripmart.llm.suffix_array import grouped, suffix_array
@@ -128,6 +131,33 @@ def test_clusters_of_awkward_rows(awkward, nothing):
     assert near_dups.cluster(nothing).count() == 0
 
 
+def test_one_row_of_each_group_survives(spark, awkward, nothing):
+    text, near, other = ("%s " * 30 % tuple(f"{c}{i}" for i in range(30)) for c in "aab")
+    near = text.upper().replace("A29", "changed")
+    rows = [
+        (1, text), (1, text), (2, text), (3, near),  # repeated rows, a copy and a near copy
+        (None, text), (None, other), (None, other), (5, other),  # without an id
+        (7, "only here " * 3), (7, "nor there " * 3), (7, "NOR\tthere " * 3),  # one id, several texts
+        (8, "alone with its words"), (9, ""), (9, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("count", F.lit("x")).repartition(3)
+    found = near_dups.survivors(docs)
+    assert found.columns == docs.columns
+    kept = Counter((r.doc_id, (r.text or "").lower().split()[0] if (r.text or "").split() else "") for r in found.collect())
+    assert kept == {(1, "a0"): 1, (5, "b0"): 1, (7, "only"): 1, (7, "nor"): 1, (8, "alone"): 1, (9, ""): 2, (None, ""): 1}
+    assert near_dups.survivors(nothing).count() == 0
+    rest = Counter((r.doc_id, r.text and r.text[:9]) for r in near_dups.survivors(awkward).collect())
+    assert rest == {
+        (1, "the quick"): 1, (3, None): 1, (None, "a text wi"): 1, (None, None): 1, (4, ""): 1, (5, " \n\t "): 1,
+        (6, "word0 and"): 1, (8, "naïve caf"): 1,
+    }
+
+
+def test_survivors_are_the_first_of_their_components(spark, documents):
+    found = {r.doc_id for r in near_dups.cluster(documents).collect() if r.doc_id == r.component_id}
+    assert sorted(r.doc_id for r in near_dups.survivors(documents).collect()) == sorted(found)
+
+
 def test_texts_that_share_an_id_are_told_apart(spark):
     a, b = "one two three four five six seven", "ten eleven twelve thirteen fourteen fifteen"
     docs = spark.createDataFrame([(1, a), (1, b), (2, b + " sixteen"), (3, b)], "doc_id long, text string")
@@ -268,6 +298,32 @@ def test_repeats_in_awkward_rows(spark, awkward, nothing):
     assert suffix_dedup.without_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("largest", [7, 2**63 - 1])
+def test_texts_that_share_an_id_or_have_none_lose_nothing_of_their_own(spark, largest):
+    """2,000 texts without an id and 2,000 of one id, some with a passage that others have; some rows twice."""
+    rng = random.Random(5)
+    passage = [" ".join(rng.choices(["lorem", "ipsum", "dolor", "sit"], k=40)) for _ in range(3)]
+    rows = []
+    for i in range(4000):
+        own = "".join(rng.choices("abcdefghij ", k=rng.randrange(100, 160)))
+        rows.append((None if i % 2 else largest, own + (rng.choice(passage) if i % 7 == 0 else "") + own[::-1]))
+    rows += rows[:50] + [(3, rows[0][1]), (4, "a text of its own " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_dedup.without_repeats(docs).collect()
+    assert len(found) == len(rows)
+
+    def order(row):
+        key, text = row
+        return (2**63 - 1 if key is None else key, key is None, hashlib.md5(text.encode()).hexdigest())
+
+    distinct = sorted(set(rows), key=order)
+    plain = plain_cut([(n, text) for n, (_, text) in enumerate(distinct)])
+    expected = {row: plain[n][1] for n, row in enumerate(distinct)}
+    assert all(bytes(r.kept) == expected[r.doc_id, r.text] for r in found)
+    # what is cut does repeat
+    assert sum(len(r.kept) < r.n_bytes for r in found) > 500
+
+
 def test_kept_text_has_no_broken_code_points(spark):
     shared = "é" * 80
     docs = spark.createDataFrame([(1, "x" + shared), (2, "yy" + shared + "z")], "doc_id long, text string")

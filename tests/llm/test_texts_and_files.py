@@ -508,7 +508,31 @@ def test_pipeline_keeps_clean_documents_and_drops_junk(spark):
     assert all((r.doc_id in kept) == (r.quality == 1) for r in labels if r.quality is not None)
 
 
-def test_pipeline_of_awkward_rows(awkward, nothing, spark, sf_dir):
-    for docs in (awkward.select("doc_id", "text", "lang", "source", "n_chars"), nothing):
-        for _, stage in corpus_pipeline.STAGES[1:]:
-            stage(spark, docs, sf_dir).count()
+def test_pipeline_of_awkward_rows(awkward, nothing, spark, sf_dir, tokenizer):
+    from test_duplicates import plain_cut
+
+    from tripmart.llm.shared import written
+
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    once = written(corpus_pipeline.near_dedup(spark, docs.union(docs), sf_dir))
+    # a copy of a row, of a text and a near copy go; rows without words are alike only in that
+    kept = Counter((r.doc_id, r.text and r.text[:9]) for r in once.collect())
+    assert kept == {
+        (1, "the quick"): 1, (3, None): 2, (None, "a text wi"): 1, (None, None): 2, (4, ""): 2, (5, " \n\t "): 2,
+        (6, "word0 and"): 1, (8, "naïve caf"): 1,
+    }
+    cut = written(corpus_pipeline.passage_dedup(spark, once, sf_dir))
+    texts = sorted({(9 if r.doc_id is None else r.doc_id, r.text or "") for r in once.collect()})
+    want = plain_cut([(n, t) for n, (_, t) in enumerate(texts)])
+    left = {texts[n]: body.decode(errors="ignore") for n, (_, body, _) in want.items()}
+    assert Counter(r.text for r in cut.collect()) == Counter(
+        left[9 if r.doc_id is None else r.doc_id, r.text or ""] for r in once.collect()
+    )
+    mixed = written(corpus_pipeline.mix(spark, cut, sf_dir))
+    before, after = (Counter((r.doc_id, r.text) for r in f.collect()) for f in (cut, mixed))
+    assert set(after) <= set(before) and all(n <= 2 * before[k] for k, n in after.items())
+    packed = corpus_pipeline.pack(spark, mixed, sf_dir).collect()
+    tokens = sum(n * (len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1) for (_, t), n in after.items())
+    assert sum(r.length for r in packed) == tokens and tokens > 0
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, nothing, sf_dir).collect() == []

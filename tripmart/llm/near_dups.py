@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,17 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.components import components, joined, rooted
 from tripmart.llm.hashing import Rolling, chunks, mixed
-from tripmart.llm.shared import release, small, written
+from tripmart.llm.shared import release, small, words, written
 
 WORDS = 5
 TREES, DEPTH, FURTHER = 32, 4, 4
 HASHES = TREES * DEPTH
 FIRST_TREES = 4
 BLOCK = 64
-#: Five standard deviations of the estimate below the threshold.
+#: Five standard deviations of the estimate below the threshold: it drops a pair with a probability of less than 1e-6.
 ESTIMATE = 0.55
 PERCENT = 75
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MULTIPLIERS = np.random.default_rng(75).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(5).integers(0, 2**63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -341,10 +343,9 @@ def _linked(tree: int, x: pa.StructArray, y: pa.StructArray) -> Iterator[tuple[i
                 yield int(nodes_x[i]), int(nodes_y[j])
 
 
-def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``n_shingles`` and ``component_id``, the smallest key among all documents that links reach."""
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``signed`` gives them, and the texts of equal words: ``words``, smallest ``first_key`` and ``root``."""
     rows = written(signed(docs, key, text))
-    kind = docs.schema[key].dataType.simpleString()
     nodes = written(
         rows.where("n_shingles > 0")
         .groupBy("words")
@@ -367,6 +368,13 @@ def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     if not more.isEmpty():
         roots = written(joined(roots, more))
     found = written(rooted(nodes.select("node", "words", "first_key"), "node", roots).withColumnRenamed("node_root", "root"))
+    return rows, found
+
+
+def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``n_shingles`` and ``component_id``, the smallest key among all documents that links reach."""
+    rows, found = _classes(docs, key, text)
+    kind = docs.schema[key].dataType.simpleString()
     least = written(found.groupBy("root").agg(F.min("first_key").alias("component_id")).withColumnRenamed("root", "_root"))
     named = written(found.join(least, F.col("root") == F.col("_root")).select(F.col("words").alias("_words"), "component_id"))
     return rows.join(named, F.col("words") == F.col("_words"), "left").select(
@@ -376,6 +384,35 @@ def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
+def survivors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every group of near duplicates, that with the smallest id, and all rows without words.
+
+    An id that one row has names it. Rows that share their id with another one, or have none, are told apart by their
+    words, and of those that repeat each other one stays.
+    """
+    rows, found = _classes(docs, key, text)
+    best = F.min(F.struct(F.col("first_key").isNull().alias("none"), F.col("first_key"), F.col("words")))
+    chosen = written(
+        found.groupBy("root").agg(best.alias("best")).select(F.col("best.first_key").alias("_first"), F.col("best.words").alias("_words"))
+    )
+    stays = F.col("_key") == F.col("_first")
+    first = rows.join(chosen, F.col("words") == F.col("_words"), "left").where(stays | (F.col("n_shingles") == 0))
+    kept = written(first.select(F.col("_key").alias("_kept")).where("_kept is not null").distinct())
+    several = rows.where("_key is not null").groupBy("_key").count().where("count > 1")
+    several = written(several.select(F.col("_key").alias("_several")))
+    named, shared = docs.where(F.col(key).isNotNull()), F.col(key) == F.col("_several")
+    plain = named.join(kept, F.col(key) == F.col("_kept"), "left_semi")
+    hard = docs.where(F.col(key).isNull())
+    if not several.isEmpty():
+        plain = plain.join(several, shared, "left_anti")
+        hard = hard.union(named.join(several, shared, "left_semi"))
+    own = words(F.translate(F.col(text), CAPITALS, CAPITALS.lower()))
+    told = hard.withColumns({"_n": F.size(own), "_own": F.md5(F.array_join(own, " ").cast("binary"))})
+    same = (F.col("_own") == F.lower(F.hex("_words"))) & F.col(key).eqNullSafe(F.col("_first"))
+    once = told.where("_n > 0").join(chosen, same, "left_semi").dropDuplicates(["_own"])
+    return reduce(DataFrame.union, [f.select(*docs.columns) for f in (plain, once, told.where("_n = 0"))])
+
+
 def _of_words(rows: DataFrame) -> DataFrame:
     """``node`` and ``text`` of rows whose text has the node's words; ids alone may be shared by several texts."""
 

@@ -100,16 +100,16 @@ def globally_ranked(frame: DataFrame, order: list[Column], out: str) -> DataFram
     (one row each) say where a part starts. Equal rows are told apart by where they were read, so that many of
     them are not one part. ``frame`` should be a written table.
     """
-    marked = frame.withColumn("_read", F.monotonically_increasing_id())
+    marked = frame.withColumn("_ranked_read", F.monotonically_increasing_id())
     place = written(
-        marked.repartitionByRange(*order, "_read")
-        .sortWithinPartitions(*order, "_read")
-        .drop("_read")
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumns({"_part": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)})
+        marked.repartitionByRange(*order, "_ranked_read")
+        .sortWithinPartitions(*order, "_ranked_read")
+        .drop("_ranked_read")
+        .withColumn("_ranked_place", F.monotonically_increasing_id())
+        .withColumns({"_ranked_part": F.shiftright("_ranked_place", 33), "_ranked_place": F.col("_ranked_place").bitwiseAND((1 << 33) - 1)})
     )
-    sizes = place.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    joined = place.join(starts, F.col("_part") == F.col("_of"))
-    return joined.select(*frame.columns, (F.col("_start") + F.col("_place")).alias(out))
+    sizes = place.groupBy("_ranked_part").agg(F.count("*").alias("_ranked_rows"))
+    before = Window.orderBy("_ranked_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_ranked_part").alias("_ranked_of"), F.coalesce(F.sum("_ranked_rows").over(before), F.lit(0)).alias("_ranked_start"))
+    joined = place.join(starts, F.col("_ranked_part") == F.col("_ranked_of"))
+    return joined.select(*frame.columns, (F.col("_ranked_start") + F.col("_ranked_place")).alias(out))

@@ -19,7 +19,8 @@ same text at a smaller offset. Strings are judged on the input and never cross t
 4. The repeated windows go back to their texts, which are cut in one pass.
 
 A NULL text is an empty one. Rows that share id and text are one text (neither is earlier);
-texts that share an id are in an arbitrary but fixed order. NULL ids come last. Texts shorter than
+texts that share an id are in an arbitrary but fixed order. NULL ids come last. Where texts share an id (or have none),
+all texts are numbered anew, in order of id and of a 128-bit hash, so none is taken for another. Texts shorter than
 ``SPAN`` stay as they are. An empty table gives no rows. All columns of the input stay; ``n_bytes``,
 ``spans`` and ``kept`` replace columns of these names.
 """
@@ -27,6 +28,7 @@ texts that share an id are in an arbitrary but fixed order. NULL ids come last.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.llm.hashing import Rolling, chunks, mixed
-from tripmart.llm.shared import release, small, written
+from tripmart.llm.shared import globally_ranked, release, small, written
 from tripmart.llm.suffix_array import suffix_array
 
 SPAN, GRAM, BLOCK = 100, 37, 20
@@ -46,25 +48,40 @@ CELL = 16
 SLICES = 4096
 #: Slices of a text longer than this are found in pieces that overlap by a span.
 PIECE = 1 << 21
-_TIES = 18
 _LAST = 2**63 - 1
 
 
-def place(key: str) -> Column:
-    return F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
+def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows with ``_place``, a number that two rows share only if they have the same id and text, in order of id.
 
-
-def tie(text: str) -> Column:
-    """Tells texts that share an id apart."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(1 << _TIES)).cast("int")
+    That is the id itself, which counting ids proves. Only if one stands for several texts the distinct pairs of id and
+    text hash are ranked; pairs, not rows, so that neither a hot id nor a repeated row is one task's.
+    """
+    place = F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
+    plain = docs.withColumn("_place", place)
+    shared = written(plain.groupBy("_place").count().where("count > 1").select(F.col("_place").alias("_shared")))
+    if shared.isEmpty():
+        return plain
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    hashed = plain.withColumns({"_own": F.md5(body), "_null": F.col(key).isNull()})
+    # a real id may be as large as the one that stands for none
+    apart = ["_place", "_null", "_own"]
+    several = hashed.join(shared, F.col("_place") == F.col("_shared"), "left_semi").select(*apart).distinct()
+    if several.groupBy("_place").count().where("count > 1").isEmpty():
+        return plain
+    pairs = written(hashed.select(*apart).distinct())
+    ranks = written(globally_ranked(pairs, [F.col(c) for c in apart], "_rank"))
+    named = ranks.select(*[F.col(c).alias(f"{c}_of") for c in apart], "_rank")
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"{c}_of") for c in apart])
+    return written(hashed.join(named, same).select(*docs.columns, F.col("_rank").alias("_place")))
 
 
-def _pack(tie: np.ndarray, start: np.ndarray, count: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    return tie << 44 | start << 12 | (count - 1) << 6 | offset
+def _pack(start: np.ndarray, count: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    return start << 12 | (count - 1) << 6 | offset
 
 
-def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return packed >> 44, packed >> 12 & 0xFFFFFFFF, (packed >> 6 & 63) + 1, packed & 63
+def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return packed >> 12, (packed >> 6 & 63) + 1, packed & 63
 
 
 def slices(texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -101,20 +118,18 @@ def _pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return out, np.array(of), np.array(at)
 
 
-def anchored(docs: DataFrame, key: str, text: str) -> DataFrame:
+def anchored(docs: DataFrame, text: str) -> DataFrame:
     """Rows ``gram``, ``slice``, ``doc``, ``packed``; ``slice`` 0 marks a slice that is a repeat for sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, 2048):
             doc = np.asarray(batch.column(0))
-            ties = np.asarray(batch.column(1)).astype(np.int64)
-            pieces, of, at = _pieces([(t or "").encode() for t in batch.column(2).to_pylist()])
+            pieces, of, at = _pieces([(t or "").encode() for t in batch.column(1).to_pylist()])
             found = []
             for part in chunks(pieces):
                 own, start, count, offset, gram, whole = slices(pieces[part.start : part.stop])
                 own += part.start
-                row = of[own]
-                found.append((gram, whole, doc[row], _pack(ties[row], start + at[own], count, offset)))
+                found.append((gram, whole, doc[of[own]], _pack(start + at[own], count, offset)))
             if not found:
                 continue
             gram, whole, docs_, packed = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -132,7 +147,7 @@ def anchored(docs: DataFrame, key: str, text: str) -> DataFrame:
                 [pa.array(x[keep]) for x in (gram, whole, docs_, packed)], ["gram", "slice", "doc", "packed"]
             )
 
-    rows = docs.select(place(key).alias("doc"), tie(text).alias("tie"), F.col(text).alias("text"))
+    rows = docs.select("_place", F.col(text).alias("text"))
     return rows.mapInArrow(run, "gram long, slice long, doc long, packed long")
 
 
@@ -144,8 +159,7 @@ def _same_as_first(again: np.ndarray, doc: np.ndarray, packed: np.ndarray) -> np
 def repeated_windows(table: list[tuple[int, int, bytes]]) -> list[int]:
     """For each slice (``doc``, ``packed``, its bytes) a mask of the windows that another slice has earlier."""
     doc = np.array([x[0] for x in table])
-    _, start, count, offset = _unpack(np.array([x[1] for x in table]))
-    ties = np.array([x[1] for x in table]) >> 44
+    start, count, offset = _unpack(np.array([x[1] for x in table]))
     lengths = count + SPAN - 1
     begins = np.cumsum(lengths) - lengths
     rolling = Rolling(np.frombuffer(b"".join(x[2] for x in table), np.uint8))
@@ -174,12 +188,12 @@ def repeated_windows(table: list[tuple[int, int, bytes]]) -> list[int]:
     window = begins[own] + shift
     whole = rolling.of(window, window + SPAN)
     position = start[own] + shift
-    rank = np.lexsort((position, ties[own], doc[own], whole, run[at]))
+    rank = np.lexsort((position, doc[own], whole, run[at]))
     r, w, o = run[at][rank], whole[rank], own[rank]
     again = np.concatenate([[False], (r[1:] == r[:-1]) & (w[1:] == w[:-1])])
     first = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
-    d, t, p = doc[o], ties[o], position[rank]
-    later = again & ((d != d[first]) | (t != t[first]) | (p != p[first]))
+    d, p = doc[o], position[rank]
+    later = again & ((d != d[first]) | (p != p[first]))
     masks = np.zeros(len(table), np.uint64)
     np.bitwise_or.at(masks, o[later], np.uint64(1) << shift[rank][later].astype(np.uint64))
     return masks.view(np.int64).tolist()
@@ -218,16 +232,12 @@ def compared(cut: DataFrame) -> DataFrame:
     return ordered.select("gram", "doc", "packed", "bytes").mapInArrow(run, "doc long, packed long, mask long")
 
 
-def texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, value: Column) -> DataFrame:
+def texts_of(docs: DataFrame, wanted: DataFrame, value: Column) -> DataFrame:
     """Texts with the ``_list`` of ``value`` of the rows of ``wanted`` that lie in them (``doc``, ``packed``)."""
     lists = written(
-        wanted.select("doc", F.shiftright("packed", 44).cast("int").alias("tie"), value.alias("v"))
-        .groupBy("doc", "tie")
-        .agg(F.collect_list("v").alias("_list"))
-        .withColumnsRenamed({"doc": "_doc", "tie": "_tie"})
+        wanted.select("doc", value.alias("v")).groupBy("doc").agg(F.collect_list("v").alias("_list")).withColumnRenamed("doc", "_doc")
     )
-    body = docs.withColumns({"_place": place(key), "_own": tie(text)})
-    return body.join(lists, (F.col("_place") == F.col("_doc")) & (F.col("_own") == F.col("_tie")), "left")
+    return docs.join(lists, F.col("_place") == F.col("_doc"), "left")
 
 
 def _cut_out(rows: DataFrame) -> DataFrame:
@@ -240,7 +250,7 @@ def _cut_out(rows: DataFrame) -> DataFrame:
                 raw = text.encode()
                 for want in wanted:
                     packed = want["packed"]
-                    start, length = packed >> 12 & 0xFFFFFFFF, (packed >> 6 & 63) + SPAN
+                    start, length = packed >> 12, (packed >> 6 & 63) + SPAN
                     out.append((want["gram"], doc, packed, raw[start : start + length]))
             columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -312,7 +322,7 @@ def _spans(text: bytes, found: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs covered by the windows of ``found``."""
     if not found:
         return []
-    start = np.array([x["packed"] >> 12 & 0xFFFFFFFF for x in found])
+    start = np.array([x["packed"] >> 12 for x in found])
     masks = np.array([x["mask"] for x in found], np.int64).view(np.uint8).reshape(-1, 8)
     bits = np.unpackbits(masks, axis=1, bitorder="little")
     limit = np.array([(x["packed"] >> 6 & 63) + 1 for x in found])
@@ -367,8 +377,9 @@ def without_repeats(
     spark = docs.sparkSession
     keep = [c for c in keep or docs.columns if c not in ("n_bytes", "spans", "kept")]
     by_gram, by_slice = Window.partitionBy("gram"), Window.partitionBy("gram", "slice").orderBy("doc", "packed")
+    docs = numbered(docs, key, text)
     live = (
-        anchored(docs, key, text)
+        anchored(docs, text)
         .withColumns(
             {
                 "n": F.count("*").over(by_gram),
@@ -388,7 +399,7 @@ def without_repeats(
     release(spark)
     repeats = found.where("sure").select("doc", "packed", F.lit(-1).cast("long").alias("mask"))
     mixed_grams = found.where("not sure")
-    pieces = texts_of(docs, key, text, mixed_grams, F.struct("gram", "packed"))
+    pieces = texts_of(docs, mixed_grams, F.struct("gram", "packed"))
     pieces = pieces.where("_list is not null").select("_place", F.col(text), "_list")
     cut = written(_cut_out(pieces))
     release(spark)
@@ -397,5 +408,5 @@ def without_repeats(
     many = cut.join(crowds, F.col("gram") == F.col("_gram"), "left_semi")
     partial = written(compared(few).union(_single(many)))
     release(spark)
-    rows = texts_of(docs, key, text, repeats.union(partial), F.struct("packed", "mask"))
+    rows = texts_of(docs, repeats.union(partial), F.struct("packed", "mask"))
     return _cut(rows, keep, text, as_text)
