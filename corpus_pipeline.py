@@ -22,11 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; rows without an id stay."""
-    found = near_dups.cluster(docs)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(written(first), F.col("doc_id") == F.col("_kept"), "left_semi")
-    return kept.union(docs.where(F.col("doc_id").isNull()))
+    """Of each group of near duplicates one row, that with the smallest id; rows without words stay."""
+    return near_dups.survivors(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
