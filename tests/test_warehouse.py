@@ -236,9 +236,9 @@ def test_a_build_deduplicates_each_service_once(spark, database, green, yellow,
     plans = []
     store = build.refresh_table
 
-    def recorded(df, name, *args):
+    def recorded(df, name, *args, **layout):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return store(df, name, *args)
+        return store(df, name, *args, **layout)
 
     monkeypatch.setattr(build, "refresh_table", recorded)
     source_tables(database, green, yellow, fhv, zones)

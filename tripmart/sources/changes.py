@@ -52,3 +52,16 @@ def months(spark: SparkSession, table: str) -> set[str]:
     """The months delivered so far: one row per month."""
     log(spark, table)
     return {row.source_month for row in spark.table(f"{table}_months").collect()}
+
+
+def loads(spark: SparkSession, table: str) -> set[str] | None:
+    """The ids of all loads so far; ``None`` for a table without a record."""
+    if not spark.catalog.tableExists(f"{table}_loads"):
+        return None
+    return {row.load for row in spark.table(f"{table}_loads").select("load").distinct().collect()}
+
+
+def touched(spark: SparkSession, table: str, ids: Iterable[str]) -> set[str]:
+    """The months of pickup that these loads touched: ``YYYY-MM``, empty for undated rows, ``*`` if it may be any."""
+    rows = spark.table(f"{table}_loads").where(F.col("load").isin(*ids) & F.col("pickup_date").isNotNull())
+    return {row.month for row in rows.select(F.substring("pickup_date", 1, 7).alias("month")).distinct().collect()}

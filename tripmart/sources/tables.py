@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import RETENTION_DAYS, ZONE_FILE, ZONE_SOURCE, ZONE_TABLE, Contract, Service
@@ -74,14 +74,35 @@ def catalog_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
 
 
 def refresh_table(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), grace: dt.timedelta = versions.GRACE
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), grace: dt.timedelta = versions.GRACE, **layout
 ) -> DataFrame:
     """Replace a table by ``df`` and read it back, which also cuts the lineage.
 
-    The rows become the next version of the table, see :mod:`tripmart.sources.versions`: readers see all of the old
-    rows or all of the new ones, in any session, and a refresh that fails changes nothing.
+    The rows become the next version of the table, see :func:`tripmart.sources.versions.publish` (which takes the
+    ``layout``): readers see all of the old rows or all of the new ones, in any session, and a refresh that
+    fails changes nothing.
     """
-    return versions.publish(df, name, partition_by, grace)
+    return versions.publish(df, name, partition_by, grace, **layout)
+
+
+def replace_partitions(df: DataFrame, name: str, column: str, values: Collection[dt.date | None]) -> None:
+    """Replace those partitions of a refreshed table by the rows of ``df``, which lie in no others.
+
+    All are written in one job; a partition that ``df`` has no rows for is dropped. Other partitions and their files
+    stay as they are, so this happens within the current version and readers of these partitions may notice.
+    """
+    spark = df.sparkSession
+    version = versions.stored(spark, name)
+    seen = Observation()
+    rows = df.select(*spark.table(version).columns).hint("rebalance", column)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.observe(
+            seen, F.collect_set(column).alias("there"), F.count_if(F.col(column).isNull()).alias("undated")
+        ).write.mode("overwrite").insertInto(version)
+    there = {*seen.get["there"], *([None] if seen.get["undated"] else [])}
+    for value in sorted({*values} - there, key=str):
+        literal = "null" if value is None else f"DATE '{value}'"
+        spark.sql(f"ALTER TABLE {version} DROP IF EXISTS PARTITION ({column} = {literal})")
 
 
 def empty_like(df: DataFrame, name: str) -> DataFrame:

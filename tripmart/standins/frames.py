@@ -47,6 +47,40 @@ LOCATED = (
     "join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"
 )
 
+# street-hail trips of two months, for deliveries by month: hours as pickup times, so that trips collide
+_EVENT_TRIP = {
+    "VendorID": "nullif(user_id % 7, 3)",
+    "store_and_fwd_flag": "event_type",
+    "RatecodeID": "nullif(user_id % 6, 3)",
+    "PULocationID": "nullif(user_id % 25, 5)",
+    "DOLocationID": "event_id % 25",
+    "passenger_count": "user_id % 5 + 0.5",
+    "trip_distance": "value",
+    "fare_amount": "value * 2",
+    "extra": "0.5",
+    "mta_tax": "0.5",
+    "tip_amount": "value * 0.25",
+    "tolls_amount": "value * 0.5",
+    "improvement_surcharge": "0.3",
+    "total_amount": "value * 3",
+    "payment_type": "event_id % 8",
+    "congestion_surcharge": "2.5",
+}
+EVENT_GREEN_COLUMNS = {
+    **_EVENT_TRIP,
+    "lpep_pickup_datetime": "date_trunc('hour', ts)",
+    "lpep_dropoff_datetime": "ts + interval '30' minute",
+    "ehail_fee": "value",
+    "trip_type": "event_id % 3",
+}
+EVENT_YELLOW_COLUMNS = {
+    **_EVENT_TRIP,
+    "tpep_pickup_datetime": "date_trunc('hour', ts)",
+    "tpep_dropoff_datetime": "ts + interval '30' minute",
+    "airport_fee": "event_id",
+}
+EVENT_KINDS = {"green": "event_type in ('click', 'view')", "yellow": "event_type not in ('click', 'view')"}
+
 FHV_COLUMNS = {
     "hvfhs_license_num": "event_type",
     "dispatching_base_num": "cast(user_id as string)",
@@ -174,6 +208,15 @@ def fhv_delivery(spark: SparkSession, sf_dir: str, month: str) -> DataFrame:
     return mapped(events, FHV_COLUMNS, FHV_SOURCE)
 
 
+def street_hail_delivery(spark: SparkSession, sf_dir: str, kind: str, month: str) -> DataFrame:
+    """One month of green or yellow trips."""
+    rows, shifted = DELIVERED[month]
+    events = table(spark, sf_dir, "events").filter(rows).filter(EVENT_KINDS[kind]).withColumn("ts", F.expr(shifted))
+    if kind == "green":
+        return mapped(events, EVENT_GREEN_COLUMNS, GREEN_SOURCE)
+    return mapped(events, EVENT_YELLOW_COLUMNS, YELLOW_SOURCE)
+
+
 def nation_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")

@@ -39,7 +39,7 @@ def _label(code: str) -> str:
     end"""
 
 
-def _staged(columns: dict[str, str], contract: Contract, status: str, prefix: str, trip_type: str) -> str:
+def _staged(columns: dict[str, str], contract: Contract, rows: str, prefix: str, trip_type: str) -> str:
     pickup, dropoff = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
     others = ", ".join(f"{n} nulls first" for n in contract.names if n not in ("VendorID", pickup))
     return f"""
@@ -68,14 +68,14 @@ def _staged(columns: dict[str, str], contract: Contract, status: str, prefix: st
         cast(congestion_surcharge as decimal(38,9)) as congestion_surcharge
     from (
         select *, row_number() over (partition by VendorID, {pickup} order by {others}) as rn
-        from (select {_mapped(columns, contract)} from {frames.LOCATED} where l_linestatus = '{status}')
+        from (select {_mapped(columns, contract)} from {rows})
         where VendorID is not null
     )
     where rn = 1"""
 
 
-GREEN = _staged(frames.GREEN_COLUMNS, GREEN_SOURCE, "O", "lpep", "trip_type")
-YELLOW = _staged(frames.YELLOW_COLUMNS, YELLOW_SOURCE, "F", "tpep", "1")
+GREEN = _staged(frames.GREEN_COLUMNS, GREEN_SOURCE, f"{frames.LOCATED} where l_linestatus = 'O'", "lpep", "trip_type")
+YELLOW = _staged(frames.YELLOW_COLUMNS, YELLOW_SOURCE, f"{frames.LOCATED} where l_linestatus = 'F'", "tpep", "1")
 
 FHV = f"""
     select
@@ -110,20 +110,23 @@ NATIONS = _zones(frames.NATION_ZONES, "nation join region on n_regionkey = r_reg
 CUSTOMERS = _zones(frames.CUSTOMER_ZONES, "customer")
 PARTS = _zones(frames.PART_ZONES, "part")
 
-FACTS = (
-    "select t.*, p.borough as pickup_borough, p.zone as pickup_zone, d.borough as dropoff_borough, "
-    "d.zone as dropoff_zone "
-    f"from (select *, 'Green' as service_type from ({GREEN}) "
-    f"union all by name select *, 'Yellow' as service_type from ({YELLOW})) t "
-    f"join (select * from ({NATIONS}) where borough <> 'Unknown') p on pickup_location_id = p.location_id "
-    f"join (select * from ({NATIONS}) where borough <> 'Unknown') d on dropoff_location_id = d.location_id"
-)
 
-REVENUE = f"""
+
+def _facts(green: str, yellow: str) -> str:
+    return (
+        "select t.*, p.borough as pickup_borough, p.zone as pickup_zone, d.borough as dropoff_borough, "
+        "d.zone as dropoff_zone "
+        f"from (select *, 'Green' as service_type from ({green}) "
+        f"union all by name select *, 'Yellow' as service_type from ({yellow})) t "
+        f"join (select * from ({NATIONS}) where borough <> 'Unknown') p on pickup_location_id = p.location_id "
+        f"join (select * from ({NATIONS}) where borough <> 'Unknown') d on dropoff_location_id = d.location_id"
+    )
+
+
+def _amounts(facts: str, keys: str) -> str:
+    return f"""
     select
-        pickup_zone as revenue_zone,
-        date_trunc('month', pickup_ts) as revenue_month,
-        service_type,
+        {keys},
         sum(fare_amount) as revenue_monthly_fare,
         sum(extra) as revenue_monthly_extra,
         sum(mta_tax) as revenue_monthly_mta_tax,
@@ -136,8 +139,34 @@ REVENUE = f"""
         count(trip_id) as total_monthly_trips,
         cast(sum(passenger_count) as double) / count(passenger_count) as avg_montly_passenger_count,
         cast(cast(sum(trip_distance) as double) / count(trip_distance) as decimal(38,9)) as avg_montly_trip_distance
-    from ({FACTS})
-    group by 1, 2, 3"""
+    from ({facts})
+    group by all"""
+
+
+def _revenue(facts: str) -> str:
+    return _amounts(
+        facts, "pickup_zone as revenue_zone, date_trunc('month', pickup_ts) as revenue_month, service_type"
+    )
+
+
+FACTS = _facts(GREEN, YELLOW)
+REVENUE = _revenue(FACTS)
+
+
+def _delivered(kind: str) -> str:
+    return " union all ".join(
+        f"select * replace ({shifted} as ts) from events where {rows} and {frames.EVENT_KINDS[kind]}"
+        for rows, shifted in frames.DELIVERED.values()
+    )
+
+
+# loading nulls the drifting columns
+EVENT_FACTS = _facts(
+    _staged(
+        {**frames.EVENT_GREEN_COLUMNS, "ehail_fee": "null"}, GREEN_SOURCE, f"({_delivered('green')})", "lpep", "trip_type"
+    ),
+    _staged({**frames.EVENT_YELLOW_COLUMNS, "airport_fee": "null"}, YELLOW_SOURCE, f"({_delivered('yellow')})", "tpep", "1"),
+)
 
 _FIRST, _SECOND = frames.MONTHS
 DELIVERIES = " union all ".join(
@@ -207,6 +236,8 @@ ORACLE = {
     "fact_fhv": FHV,
     "dim_zones": CUSTOMERS,
     "build_warehouse": REVENUE,
+    "refresh_warehouse": _revenue(EVENT_FACTS),
+    "merged_revenue": _amounts(FACTS, "service_type"),
     "known_zones": f"select * from ({CUSTOMERS}) where borough <> 'Unknown'",
     "dedup_skewed": (
         "select event_id, ts, user_id, event_type, value, props from (select *, row_number() over "
@@ -268,6 +299,11 @@ ORACLE = {
     ),
     "expire_partitions": f"select * from ({WHOLE}) where pickup_date > date '2024-01-30' - 12",
     "external_table": "select event_type, count(*) as n, max(ts) as last_ts from events group by 1",
+    "external_drift": (
+        "select event_id, case when ts < timestamp '2024-01-16 00:00:00' then ts "
+        "else cast(cast(ts as date) as timestamp) end as ts, cast(user_id as double) as user_id, event_type, value, "
+        "case when ts < timestamp '2024-01-16 00:00:00' then props end as props from events"
+    ),
     "table_refresh": "select * from orders",
     "view_scan": f"select hvfhs_license_code, count(*) as trips, sum(driver_pay) as pay from ({FHV}) group by 1",
     "replace_append": "select * from customer union all select * replace (-c_custkey as c_custkey) from customer",
@@ -280,6 +316,10 @@ ORACLE = {
         "select key, count(*) as n_records from (select nullif(l_orderkey, 7) as key from lineitem) "
         "where key is not null group by 1 having count(*) > 1"
     ),
+    "check_unique_bucketed": (
+        "select key, count(*) as n_records from (select nullif(l_orderkey, 7) as key from lineitem) "
+        "where key is not null group by 1 having count(*) > 1"
+    ),
     "check_not_null": "select *, cast(null as varchar) as flag from lineitem where l_returnflag = 'R'",
     "check_accepted": (
         "select payment_type, count(*) as n_records from (select nullif(l_linenumber, 2) as payment_type "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import FHV, GREEN, PAYMENT_TYPES, YELLOW, ZONE_TABLE, Contract
@@ -23,7 +23,7 @@ from tripmart.operators.shape import between_ts, conform, known_zones, replace_w
 from tripmart.plans import build as warehouse
 from tripmart.plans import marts, staging
 from tripmart.session import TODAY, scratch_database, scratch_folder, setting
-from tripmart.sources import files, relational, tables
+from tripmart.sources import files, relational, tables, versions
 from tripmart.standins import frames
 from tripmart.streaming import promote_available
 
@@ -109,6 +109,40 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.{warehouse.REVENUE}")
 
 
+def refresh_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build from two months, redeliver one with other amounts and one with other days, and bring the marts up to date."""
+    database, (first, second) = scratch_database(spark, "refresh_warehouse"), frames.MONTHS
+    for service in (GREEN, YELLOW, FHV):
+        tables.create_trip_table(spark, service, database)
+    tables.refresh_table(frames.nation_zones(spark, sf_dir), f"{database}.{ZONE_TABLE}")
+
+    def load(kind: str, month: str, **wrong: Column) -> None:
+        service = {"green": GREEN, "yellow": YELLOW}[kind]
+        rows = frames.street_hail_delivery(spark, sf_dir, kind, month).withColumns(wrong)
+        tables.load_month(rows, service, f"{database}.{service.table}", month)
+
+    load("green", first, total_amount=F.lit(0.0))
+    load("green", second)
+    load("yellow", first)
+    # the second month of yellow trips first comes with all its pickups a month early
+    load("yellow", second, tpep_pickup_datetime=F.col("tpep_pickup_datetime") - F.expr("interval 31 days"))
+    tables.load_month(frames.fhv_delivery(spark, sf_dir, first), FHV, f"{database}.{FHV.table}", first)
+    warehouse.build(spark, database)
+    load("green", first)
+    load("yellow", second)
+    warehouse.refresh(spark, database)
+    return spark.table(f"{database}.{warehouse.REVENUE}")
+
+
+def merged_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per service from the states of its halves, which are merged without looking at trips again."""
+    facts = fact_trips(spark, sf_dir)
+    early = F.col("pickup_ts") < F.lit("1995-06-17 00:00:00").cast("timestamp_ntz")
+    halves = [marts.revenue_states(facts.where(part)) for part in (early, ~early)]
+    merged = marts.merged_states(halves[0].unionByName(halves[1]), "service_type")
+    return merged.selectExpr(*marts.averaged(["service_type"]))
+
+
 # ------------------------------------------------------------------ operators
 
 
@@ -284,6 +318,17 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
 
 
+def external_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in place whose columns have one type here and another there."""
+    database, folder = scratch_database(spark, "external_drift"), scratch_folder(spark, "external_drift")
+    events = frames.table(spark, sf_dir, "events")
+    early, late = (F.expr(frames.DELIVERED[month][0]) for month in frames.MONTHS)
+    events.where(early).withColumn("user_id", F.col("user_id").cast("int")).write.parquet(f"{folder}/1")
+    wide = {"user_id": F.col("user_id").cast("double"), "ts": F.to_date("ts")}
+    events.where(late).withColumns(wide).drop("props").write.parquet(f"{folder}/2")
+    return tables.external_table(spark, f"{database}.drifting", folder)
+
+
 def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = scratch_database(spark, "table_refresh")
     orders = frames.table(spark, sf_dir, "orders")
@@ -391,6 +436,15 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.unique(lines, "key")
 
 
+def check_unique_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a table that lies by its key, which needs no shuffle."""
+    lines = frames.table(spark, sf_dir, "lineitem").withColumn("key", F.expr("nullif(l_orderkey, 7)"))
+    name = f"{scratch_database(spark, 'check_unique_bucketed')}.lines"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartition(buckets, "key")
+    return checks.unique(versions.publish(dealt, name, buckets=buckets, bucket_by=["key"]), "key")
+
+
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = frames.table(spark, sf_dir, "lineitem").withColumn("flag", F.expr("nullif(l_returnflag, 'R')"))
     return checks.not_null(lines, "flag")
@@ -443,6 +497,8 @@ QUERIES = {
     "fact_fhv": fact_fhv,
     "dim_zones": dim_zones,
     "build_warehouse": build_warehouse,
+    "refresh_warehouse": refresh_warehouse,
+    "merged_revenue": merged_revenue,
     "known_zones": known_zones_only,
     "dedup_skewed": dedup_skewed,
     "dedup_null_key": dedup_null_key,
@@ -471,12 +527,14 @@ QUERIES = {
     "partitioned_window": partitioned_window,
     "expire_partitions": expire_partitions,
     "external_table": external_table,
+    "external_drift": external_drift,
     "table_refresh": table_refresh,
     "view_scan": view_scan,
     "replace_append": replace_append,
     "load_month_tables": load_month_tables,
     "load_csv_table": load_csv_table,
     "check_unique": check_unique,
+    "check_unique_bucketed": check_unique_bucketed,
     "check_not_null": check_not_null,
     "check_accepted": check_accepted,
     "check_relationships": check_relationships,
