@@ -429,6 +429,22 @@ def test_ties_copies_and_vectors_that_take_no_part(spark):
     assert neighbours.search(few.limit(0), few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [60, 5000])
+def test_distinct_vectors_with_one_score_go_by_their_ids(spark, monkeypatch, n):
+    """The query is (1, 0, 0); all others share its first component and differ in the rest."""
+    # all buckets are visited, so that only the order of ties is left to chance
+    monkeypatch.setattr(neighbours, "SUCCESS", 1.1)
+    ids = list(range(1, n + 1))
+    random.Random(9).shuffle(ids)
+    turns = [2 * np.pi * i / n for i in range(n)]
+    rows = [(v, [0.5, float(np.cos(t)), float(np.sin(t))]) for v, t in zip(ids, turns, strict=True)] + [(0, [1.0, 0.0, 0.0])]
+    # the second row of a vector has a larger id than all
+    rows += [(100_000 + v, vec) for v, vec in rows[:10]]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    got = answers(neighbours.search(frame, frame.where("vec_id = 0"), k=20))
+    assert got == {0: [(i, 0.5) for i in range(1, 21)]}
+
+
 def test_queries_without_candidates_are_compared_with_all(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "SUCCESS", 0.0001)
     monkeypatch.setattr(neighbours, "BUCKETS_FOR", 1)

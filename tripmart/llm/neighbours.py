@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.hashing import mixed
-from tripmart.llm.shared import sampled, written
+from tripmart.llm.shared import globally_ranked, sampled, written
 from tripmart.session import setting
 
 TABLES, SUCCESS = 4, 0.5
@@ -60,13 +60,18 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def classes(vectors: DataFrame, k: int) -> DataFrame:
-    """Distinct vectors: ``class``, ``vec`` and ``ids``, their ``k`` + 1 smallest ids in order."""
+    """Distinct vectors: ``class``, ``vec`` and ``ids``, their ``k`` + 1 smallest ids in order.
+
+    Classes are numbered in order of their smallest id. Of classes with one score, the ``k`` + 1 first thus hold the
+    ``k`` + 1 smallest ids of all: every class left out starts after as many others.
+    """
     marked = vectors.withColumns({"x": F.xxhash64("vec"), "y": F.xxhash64(F.lit(1), "vec")}).dropDuplicates(["x", "y", "id"])
     first = marked.withColumn("n", F.row_number().over(Window.partitionBy("x", "y").orderBy("id"))).where(F.col("n") <= k + 1)
     grouped = first.groupBy("x", "y").agg(
         F.first("vec").alias("vec"), F.sort_array(F.collect_list("id")).alias("ids")
     )
-    return written(grouped.select(F.monotonically_increasing_id().alias("class"), "vec", "ids"))
+    ranked = globally_ranked(written(grouped), [F.element_at("ids", 1), F.col("x"), F.col("y")], "class")
+    return written(ranked.select("class", "vec", "ids"))
 
 
 def likeliest(place: np.ndarray, width: float) -> np.ndarray | None:
@@ -180,6 +185,20 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], most: int) -
     return [(query[keep], kind[keep], score[keep])]
 
 
+def _nearest(q: np.ndarray, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of the ``most`` nearest vectors of each query, and of all tied with the last: query, vector and exact score."""
+    rough = q @ x.T
+    if len(x) > most:
+        last = np.partition(rough, len(x) - most, axis=1)[:, len(x) - most]
+        # a product of the matrix may differ in its last digits from one by itself
+        slack = 1e-12 * np.sqrt((q * q).sum(1) * (x * x).sum(1).max())
+        asking, at = np.nonzero(rough >= (last - slack)[:, None])
+    else:
+        asking, at = (i.ravel() for i in np.indices(rough.shape))
+    parts = [(q[asking[i : i + 8192]] * x[at[i : i + 8192]]).sum(-1) for i in range(0, len(at), 8192)]
+    return asking, at, np.concatenate(parts) if parts else np.zeros(0)
+
+
 def _best(pairs: DataFrame, k: int) -> DataFrame:
     """``query``, ``class``, ``score``: the best of all block pairs (``asked``, ``stored``).
 
@@ -207,12 +226,9 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
                 asked, stored = asked.values, stored.values
                 q, x = _array(asked.field("vec")), _array(stored.field("vec"))
                 own, kinds = np.asarray(asked.field("query")), np.asarray(stored.field("class"))
-                rough = q @ x.T
-                top = min(most, len(x))
-                at = np.argpartition(rough, len(x) - top, axis=1)[:, len(x) - top :]
-                exact = (q[:, None, :] * x[at]).sum(-1)
-                found.append((np.repeat(own, top), kinds[at].ravel(), exact.ravel()))
-                held += len(own) * top
+                asking, at, exact = _nearest(q, x, most)
+                found.append((own[asking], kinds[at], exact))
+                held += len(at)
             if held > HELD:
                 found, held = compact(found, held)
                 if held > HELD // 2:
