@@ -1,0 +1,105 @@
+"""CSV whose fields hold line breaks, read in several splits."""
+
+from __future__ import annotations
+
+import csv
+import io
+import os
+import random
+
+import pytest
+
+from tripmart.contracts import Contract
+from tripmart.session import scratch_folder, setting
+from tripmart.sources import files, quoted
+
+PAIR = Contract((("n", "bigint"), ("s", "string"), ("t", "string")))
+
+
+def put(folder, name, content):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w", newline="") as out:
+        out.write(content)
+
+
+def texts(seed, n, longest=40):
+    rng = random.Random(seed)
+    pieces = ["a", "bc", '"', '""', "\n", "\n\n", ",", "\r\n", " ", "é", "'", '",\n"', "0\n1,2"]
+    return ["x" + "".join(rng.choices(pieces, k=rng.randrange(longest))) for _ in range(n)]
+
+
+def as_csv(rows):
+    out = io.StringIO()
+    writer = csv.writer(out, quoting=csv.QUOTE_MINIMAL, lineterminator="\n")
+    writer.writerow(PAIR.names)
+    writer.writerows(rows)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("split", ["37", "200", "1m"])
+def test_records_are_found_in_any_splits(spark, split):
+    folder = scratch_folder(spark)
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(texts(1, 120), texts(2, 120), strict=True))]
+    rows.append((500, "x" + "\n" * 900, "a record over many splits"))
+    put(folder, "one.csv", as_csv(rows[:70]))
+    put(folder, "two.csv", as_csv(rows[70:]))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", split), setting(spark, "spark.sql.files.openCostInBytes", "1"):
+        df = files.read_csv(spark, folder, PAIR, line_breaks=True)
+        assert split == "1m" or quoted.lines(spark, folder).select("file", "split").distinct().count() > 10
+        got = sorted(map(tuple, df.collect()))
+        assert df.count() == len(rows) and df.dtypes == list(PAIR.columns)
+    assert got == sorted(rows)
+
+
+def test_round_trip_with_line_breaks(spark):
+    folder = scratch_folder(spark)
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(texts(3, 300), texts(4, 300), strict=True))]
+    rows += [(None, None, "only\nthis"), (1008, " ", "\n"), (1009, "\r", "a\r"), (None, None, None)]
+    files.write_csv(spark.createDataFrame(rows, PAIR.ddl).repartition(3), f"{folder}/t", line_breaks=True)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "500"), setting(spark, "spark.sql.files.openCostInBytes", "1"):
+        got = files.read_csv(spark, f"{folder}/t", PAIR, line_breaks=True).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
+
+
+def test_an_empty_text_reads_as_null_as_in_any_csv(spark):
+    for breaks in (False, True):
+        folder = scratch_folder(spark)
+        files.write_csv(spark.createDataFrame([(1, "", None)], PAIR.ddl), folder, line_breaks=breaks)
+        assert list(map(tuple, files.read_csv(spark, folder, PAIR, line_breaks=breaks).collect())) == [(1, None, None)]
+
+
+def test_blanks_around_a_text_stay(spark):
+    folder = scratch_folder(spark)
+    files.write_csv(spark.createDataFrame([(1, " a ", "\tb  ")], PAIR.ddl), folder)
+    assert list(map(tuple, files.read_csv(spark, folder, PAIR).collect())) == [(1, " a ", "\tb  ")]
+
+
+def test_lines_that_end_in_carriage_returns(spark):
+    folder = scratch_folder(spark)
+    put(folder, "t.csv", 'n,s,t\r\n1,"a\r\nb",c\r\n\r\n2,d,"e"\r\n')
+    got = files.read_csv(spark, folder, PAIR, line_breaks=True).collect()
+    assert sorted(map(tuple, got)) == [(1, "a\r\nb", "c"), (2, "d", "e")]
+
+
+@pytest.mark.parametrize("text", ["n,s,t\n1,a\n", "n,s,t\nx,a,b\n", "n,t,s\n1,a,b\n", 'n,s,t\n1,"a\nb"\n'])
+def test_what_does_not_fit_the_contract_raises(spark, text):
+    folder = scratch_folder(spark)
+    put(folder, "t.csv", text)
+    for action in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("s").collect()):
+        with pytest.raises(Exception, match="MALFORMED"):
+            action(files.read_csv(spark, folder, PAIR, line_breaks=True))
+
+
+def test_types_are_not_inferred_over_line_breaks(spark):
+    with pytest.raises(ValueError, match="contract"):
+        files.read_csv(spark, "/nowhere", line_breaks=True)
+
+
+def test_single_lines_are_not_gathered(spark, plan):
+    """Only lines of records with breaks in them meet in a grouping."""
+    folder = scratch_folder(spark)
+    put(folder, "t.csv", as_csv([(i, "plain", "text") for i in range(200)] + [(200, "a\nb", "c")]))
+    found = quoted.records(spark, folder)
+    assert found.count() == 202
+    text = plan(found)
+    assert "Union" in text and "collect_list" in text and "Cartesian" not in text

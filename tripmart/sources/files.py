@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripmart.contracts import RETENTION_DAYS, Contract, Service
 from tripmart.operators.shape import conform
 from tripmart.session import remove, today
-from tripmart.sources import footers
+from tripmart.sources import footers, quoted
 
 # Text forms a CSV file keeps its rows in. The default timestamp pattern
 # stops at milliseconds; doubled quotes are what other CSV readers expect.
@@ -24,7 +24,13 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
 }
-CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+# the writer would take the blanks around a text away
+CSV_WRITE_OPTIONS = {
+    **CSV_OPTIONS,
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
@@ -195,11 +201,14 @@ def globs(paths: list[str]) -> list[str]:
     return [f"{folder}/{{{','.join(sorted(names))}}}" for folder, names in sorted(folders.items())]
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, contract: Contract | None = None, line_breaks: bool = False) -> DataFrame:
     """CSV with a header. Without a contract the types are inferred, at the price of a
     second pass over the text. With one, a cell or row that does not fit it raises, also
-    when a query needs no or few columns."""
+    when a query needs no or few columns. Fields may hold line breaks if ``line_breaks`` says so, at the price of a
+    pass that counts quotes; files are read in splits all the same."""
     reader = spark.read.options(**CSV_OPTIONS)
+    if line_breaks:
+        return _read_records(spark, path, contract)
     if contract is None:
         return reader.option("inferSchema", True).csv(path)
     strict = reader.options(mode="FAILFAST", enforceSchema=False).schema(contract.ddl).csv(path)
@@ -207,8 +216,27 @@ def read_csv(spark: SparkSession, path: str, contract: Contract | None = None) -
     return strict.select(F.inline(F.array(F.struct(*[F.col(f"`{n}`") for n in contract.names]))))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One line per row: a line break inside a text raises, since a reader in splits cannot see it."""
+def _read_records(spark: SparkSession, path: str, contract: Contract | None) -> DataFrame:
+    if contract is None:
+        raise ValueError("fields with line breaks are read by a contract")
+    found = quoted.records(spark, path)
+    options = {**CSV_OPTIONS, "mode": "FAILFAST", "multiLine": "true"}
+    first = (F.col("split") == 0) & (F.col("record") == 1)
+    header = F.from_csv("value", ", ".join(f"`{n}` string" for n in contract.names), options)
+    named = F.struct(*[header[n].alias(n) for n in contract.names]) == F.struct(*[F.lit(n).alias(n) for n in contract.names])
+    wrong = F.raise_error(F.concat(F.lit("MALFORMED header: "), "value"))
+    # a header that does not fit raises as a row does; a line without anything is no row
+    rows = found.where(~first | F.when(named, False).otherwise(wrong.cast("boolean"))).where(F.col("value") != "")
+    parsed = F.from_csv("value", contract.ddl, options)
+    return rows.select(F.inline(F.array(parsed)))
+
+
+def write_csv(df: DataFrame, path: str, line_breaks: bool = False) -> None:
+    """One line per row: a line break inside a text raises, since a reader in splits cannot see it, unless
+    ``line_breaks`` is what its readers expect, too."""
+    writer = df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS)
+    if line_breaks:
+        return writer.csv(path)
     texts = [
         F.when(
             F.col(f"`{name}`").rlike("[\r\n]"), F.raise_error(F.lit(f"a line break in column {name}")).cast("string")

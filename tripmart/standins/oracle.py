@@ -283,6 +283,10 @@ ORACLE = {
     ),
     "read_whole_file": "select * from orders",
     "csv_roundtrip": "select * from events",
+    "csv_line_breaks": (
+        "select * replace ('\"' || event_type || '\"' || chr(10) || ',' || chr(10) || cast(event_id as varchar) as event_type, "
+        "props || chr(10) as props) from events"
+    ),
     "csv_inferred": ZONE_ROWS,
     "load_zones": ZONE_ROWS,
     "csv_to_parquet": "select * from orders",

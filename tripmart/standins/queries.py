@@ -245,6 +245,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, EVENTS)
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with line breaks and quotes in two of their fields, written and read in splits."""
+    path = f"{scratch_folder(spark, 'csv_line_breaks')}/events"
+    broken = F.concat(F.lit('"'), F.col("event_type"), F.lit('"\n,\n'), F.col("event_id").cast("string"))
+    events = frames.table(spark, sf_dir, "events").withColumns({"event_type": broken, "props": F.concat("props", F.lit("\n"))})
+    files.write_csv(events, path, line_breaks=True)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "1m"):
+        return tables.refresh_table(
+            files.read_csv(spark, path, EVENTS, line_breaks=True), f"{scratch_database(spark, 'csv_line_breaks')}.events"
+        )
+
+
 def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_folder(spark, 'csv_inferred')}/zones"
     files.write_csv(frames.customer_zones(spark, sf_dir), path)
@@ -516,6 +528,7 @@ QUERIES = {
     "expire_rows": expire_rows,
     "read_whole_file": read_whole_file,
     "csv_roundtrip": csv_roundtrip,
+    "csv_line_breaks": csv_line_breaks,
     "csv_inferred": csv_inferred,
     "csv_to_parquet": csv_to_parquet,
     "load_zones": load_zones,
