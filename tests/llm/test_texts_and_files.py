@@ -330,7 +330,6 @@ def test_reader_takes_small_chunks_and_both_dictionary_forms(monkeypatch):
         (archive(warc.encoded(record()) * 2), "goes on"),
         (archive(warc.encoded(record()).replace(b"hello", b"jello")), "digest"),
         (archive(warc.encoded(record()).replace(b"WARC-Date", b"WARC-Dote")), "lacks"),
-        (archive(warc.encoded(record(kind="revisit")).replace(b"WARC-Refers-To", b"WARC-Other")), "revisit"),
         (archive(warc.encoded(record()))[:-9], "within a frame"),
         (warc.preamble(b"x" * 99)[:50], "cut off"),
     ],
@@ -340,6 +339,42 @@ def test_reader_refuses(raw, message):
         list(warc.records(io.BytesIO(raw)))
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 20])
+def test_an_archive_cut_anywhere_raises_or_ends(monkeypatch, chunk):
+    """No cut makes the reader wait for bytes that never come."""
+    monkeypatch.setattr(warc, "CHUNK", chunk)
+    frame = zstandard.ZstdCompressor().compress(warc.encoded(record()))
+    dictionary = zstandard.train_dictionary(1 << 10, [f"sample {i} of texts".encode() * 9 for i in range(200)]).as_bytes()
+    raw = warc.preamble(dictionary)[: 8 + len(dictionary)] + frame
+
+    class Counted(io.BytesIO):
+        empty = 0
+
+        def read(self, size=-1):
+            got = super().read(size)
+            self.empty += not got
+            assert self.empty < 3, "the reader asks on after the end"
+            return got
+
+    for cut in [*range(1, 12), 8 + len(dictionary) - 1, 8 + len(dictionary) + 3, len(raw) - 1]:
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(warc.records(Counted(raw[:cut])))
+    assert list(warc.records(Counted(raw[: 8 + len(dictionary)]))) == []
+    assert len(list(warc.records(Counted(raw)))) == 1
+
+
+def test_optional_fields_of_foreign_records():
+    plain = warc.encoded(record())
+    bare = b"\r\n".join(line for line in plain.split(b"\r\n") if not line.startswith(b"WARC-Payload-Digest"))
+    assert warc.decoded(bare).digest == warc.sha1(warc.decoded(plain).payload)
+    other = plain.replace(b"sha1:", b"md5:")
+    assert warc.decoded(other).digest == warc.sha1(warc.decoded(plain).payload)
+    again = warc.encoded(record(kind="revisit")).replace(b"WARC-Refers-To", b"WARC-Other")
+    assert warc.decoded(again).refers_to is None and warc.decoded(again).kind == "revisit"
+    with pytest.raises(ValueError, match="digest"):
+        warc.decoded(plain.replace(b"hello", b"jello"))
+
+
 def test_reader_misses_records_that_were_reported(spark, pages):
     archives = warc.write(pages.limit(10)).selectExpr("path", "n_records + 1 AS n_records")
     with pytest.raises(Exception, match="not 1[01]|holds"):

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import sampled, small, written
+from tripmart.llm.shared import sampled, small, storage_of, written
 from tripmart.session import scratch_folder
 
 #: Fixed values of the formats.
@@ -100,11 +100,14 @@ def decoded(raw: bytes) -> Record:
     http, mark, payload = block.partition(b"\r\n\r\n")
     lengths = [x for x in http.decode("latin-1").split("\r\n") if x.lower().startswith("content-length:")]
     full = int(lengths[0].partition(":")[2]) if lengths else len(payload)
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if kind == "response" and (len(payload) != full or sha1(payload) != digest):
+    method, _, given = fields.get("warc-payload-digest", "").rpartition(":")
+    # other archives may leave the digest out or take it by another method: then that of the payload is as good
+    checked = method.lower() == "sha1"
+    if kind == "response" and (len(payload) != full or checked and sha1(payload) != given):
         raise ValueError(f"the payload of {fields['warc-record-id']} is not the one of its digest and length")
+    digest = given if checked else sha1(payload) if kind == "response" else ""
     refers = fields.get("warc-refers-to")
-    if kind == "revisit" and (payload or not refers or not digest):
+    if kind == "revisit" and payload:
         raise ValueError(f"{fields['warc-record-id']} is no proper revisit")
     return Record(
         kind,
@@ -124,17 +127,25 @@ def preamble(dictionary: bytes) -> bytes:
 
 def records(stream) -> Iterator[Record]:
     """All records of an archive, read in bounded chunks from anything with ``read(size)``."""
-    buffer = stream.read(CHUNK)
+    buffer = more = stream.read(CHUNK)
+    while more and len(buffer) < 4:
+        more = stream.read(CHUNK)
+        buffer += more
     dictionary = None
     if buffer[:4] == struct.pack("<I", SKIPPABLE):
-        while len(buffer) < 8:
-            buffer += stream.read(CHUNK)
+
+        def upto(size: int) -> bytes:
+            held = buffer
+            while len(held) < size:
+                more = stream.read(CHUNK)
+                if not more:
+                    raise ValueError("the dictionary's frame is cut off")
+                held += more
+            return held
+
+        buffer = upto(8)
         size = struct.unpack("<I", buffer[4:8])[0]
-        while len(buffer) < 8 + size:
-            more = stream.read(CHUNK)
-            if not more:
-                raise ValueError("the dictionary's frame is cut off")
-            buffer += more
+        buffer = upto(8 + size)
         content, buffer = buffer[8 : 8 + size], buffer[8 + size :]
         if content[:4] == FRAME:
             content = zstandard.ZstdDecompressor().decompressobj().decompress(content)
@@ -163,12 +174,6 @@ def trained(pages: DataFrame) -> bytes:
         return b""
 
 
-def _storage(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
-
-
 def write(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write ``page_id``, ``url``, ``html`` to archives; returns ``path`` and ``n_records`` of each."""
     spark = pages.sparkSession
@@ -189,7 +194,7 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
     joined = rows.join(leaders, same, "left").select("page_id", "url", "payload", "leader")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        storage, base = _storage(folder)
+        storage, base = storage_of(folder)
         storage.create_dir(base, recursive=True)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
@@ -260,7 +265,7 @@ def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
         for batch in batches:
             for path, expected in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 folder, _, name = path.rpartition("/")
-                storage, base = _storage(folder)
+                storage, base = storage_of(folder)
                 seen = 0
 
                 def counted(stream) -> Iterator[Record]:
@@ -279,13 +284,17 @@ def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """The records of any ``.warc.zst`` files below a path that Spark can read."""
-    import io
+    """The records of any ``.warc.zst`` files below a path, each file streamed by the task that has its name.
+
+    Names come from Spark's listing; the store must be one that ``pyarrow.fs`` can open.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                yield from _batches(records(io.BytesIO(content.as_py())), with_payload)
+            for name in batch.column(0).to_pylist():
+                storage, place = storage_of(name)
+                with storage.open_input_stream(place, compression=None) as stream:
+                    yield from _batches(records(stream), with_payload)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").option("recursiveFileLookup", "true")
-    return files.load(path).select("content").mapInArrow(run, _SCHEMA)
+    return files.load(path).select("path").mapInArrow(run, _SCHEMA)
