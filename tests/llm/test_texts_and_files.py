@@ -168,6 +168,41 @@ def test_extraction_of_broken_markup():
     assert html_text.extracted(deep, frozenset()) == "deep"
 
 
+@pytest.mark.parametrize(
+    ("piece", "gone"),
+    [
+        ("<svg/>", ""), ("<svg viewBox='0 0 1 1'/>", ""), ("<math />", ""), ("<svg><g><svg/></g><text>drawn</text></svg>", "drawn"),
+        ("<video src='x'>", ""), ("<video controls><source src='a'>no video</video>", "no video"), ("<audio>", ""),
+        ("<object data='x'>", ""), ("<object><object>inner</object>outer</object>", "outer"), ("<object><object>in</object>", "in"),
+        ("<canvas>", ""), ("<select><option>one</select>", "one"), ("<template>", ""), ("<iframe>", ""), ("<textarea>typed</textarea>", "typed"),
+        ("<script>if (a < b) c()</script>", "c()"), ("<style/>p {}</style>", "p {}"),
+    ],
+)
+def test_elements_without_text_end_where_they_must(piece, gone):
+    page = f"<body><article><p>before</p>{piece}<p>after it</p></article><p>the end</p></body>"
+    found = html_text.extracted(page, frozenset()).split("\n")
+    assert [x for x in found if x != gone] == ["before", "after it", "the end"]
+    assert not gone or gone not in found
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    """Mirrors, print views and pages per session are one page, however often they are there."""
+    words = [f"word{i}" for i in range(400)]
+    sections = "".join(f"<section><p>{' '.join(words[i : i + 40])}</p></section>" for i in range(0, 160, 40))
+    article = f"<html><body><article><h1>title</h1>{sections}</article></body></html>"
+    rows = [(i, f"http://one.example/a?session={i}", article) for i in range(5)]
+    # a box that other pages have too still goes
+    box = "<div><p>the same box everywhere</p></div>"
+    rows += [
+        (10 + i, f"http://one.example/{i}", f"<body><div><p>{' '.join(words[200 + 20 * i : 240 + 20 * i])}</p></div>{box}</body>")
+        for i in range(4)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.main_text(frame).collect()}
+    assert all(len(found[i].split("\n")) == 5 for i in range(5))
+    assert all("box" not in found[10 + i] and found[10 + i].startswith("word") for i in range(4))
+
+
 def test_site_templates_are_found_by_recurrence(spark):
     def page(i, host):
         boxes = f'<div class="q1"><p>Teaser {i} of the day</p></div>' + '<div class="z9"><p>Read our terms before you go</p></div>'

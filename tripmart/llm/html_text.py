@@ -4,8 +4,8 @@ Tasks parse each page into a tree and hash the subtrees of its containers in two
 text, and as a frame of tags and classes alone (equal neighbours count once). Spark counts on how many
 pages of a host each hash occurs. A container, or a paragraph or list item outside the main text, goes if its text
 recurs; a container outside the main text goes if its frame does
-and it is mostly links, or has less than ``ASIDE`` of the text of the article that holds the main text. Recurring means on ``LEAST`` pages of the host, whatever its size. A
-page learns which of its own elements recur, so no task holds a list of a host, and pages of a hot host are salted. The
+and it is mostly links, or has less than ``ASIDE`` of the text of the article that holds the main text. Recurring means on ``LEAST`` pages of the host that are not copies of one
+another, whatever its size. A page learns which of its own elements recur, so no task holds a list of a host, and pages of a hot host are salted. The
 element with the most text of its own and its ancestors stay. An ``article`` or ``main`` and what is in it goes only by recurring text, its
 paragraphs and headings never alone.
 
@@ -45,6 +45,9 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("aside center details div dl fieldset figure footer form header menu nav ol section table ul".split())
 HINTS = frozenset("article main".split())
 RAW = frozenset("script style noscript iframe template textarea title xmp svg math object select canvas video audio".split())
+#: Of these, what holds no elements: its first end tag ends it, and what has none goes on to the end of the page.
+UNPARSED = frozenset("script style".split())
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("head nav footer aside form button dialog menu label input datalist".split())
 NAMES = frozenset(
@@ -180,8 +183,7 @@ def _tree(page: str) -> Node:
                 top = node.parent
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(page, at)
-            at = close.end() if close else len(page)
+            at = _skipped(page, at, tag, found["rest"].endswith("/"))
             continue
         if tag in BLOCKS or tag in CLOSED_BY:
             ends = {"p"} | CLOSED_BY.get(tag, set())
@@ -205,6 +207,30 @@ def _tree(page: str) -> Node:
     return root
 
 
+def _skipped(page: str, at: int, tag: str, closed: bool) -> int:
+    """Where an element without text of the page ends, whose start tag ends at ``at``.
+
+    Elements of the same name may lie in it. One that is closed in its start tag or never ends holds nothing.
+    """
+    if closed and tag in FOREIGN:
+        return at
+    edge = re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?", re.IGNORECASE)
+    if tag in UNPARSED:
+        edge = re.compile(rf"<(/){re.escape(tag)}\b[^>]*()>?", re.IGNORECASE)
+    depth = 1
+    for found in edge.finditer(page, at):
+        if found[1]:
+            depth -= 1
+        elif not (tag in FOREIGN and found[2].endswith("/")):
+            depth += 1
+        if not depth:
+            return found.end()
+    if tag in UNPARSED:
+        return len(page)
+    # an inner element lacks its end: then the first end tag there is will do
+    return next((found.end() for found in edge.finditer(page, at) if found[1]), at)
+
+
 def _below(root: Node) -> list[Node]:
     """All elements, children before their parents."""
     out, todo = [], [root]
@@ -318,9 +344,29 @@ def _tests(root: Node) -> dict[int, tuple[int, ...]]:
     return out
 
 
-def candidates(page: str) -> list[int]:
-    """The distinct hashes by which an element of the page may turn out to be template."""
-    return sorted({h for tests in _tests(parsed(page)).values() for h in tests})
+def candidates(page: str) -> tuple[int, list[int]]:
+    """What the page is about, and the distinct hashes by which an element of it may turn out to be template."""
+    root = parsed(page)
+    return _subject(root), sorted({h for tests in _tests(root).values() for h in tests})
+
+
+def _subject(root: Node) -> int:
+    """A hash of the main text, the longest article and the first headings: copies of a page share it, other pages do not."""
+    nodes = _below(root)
+    articles = [n for n in nodes if n.tag in HINTS and not n.named]
+    heads = [main_element(root), *sorted(articles, key=lambda n: -_lengths(n)[0])[:1], *(n for n in nodes if n.tag in ("h1", "h2"))]
+    return _hash(*(_SPACE.sub("", _all_text(n)) for n in heads))
+
+
+def _all_text(node: Node) -> str:
+    out, todo = [], [node]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+        elif not node.named:
+            todo.extend(reversed(node.children))
+    return "".join(out)
 
 
 def extracted(page: str, template: frozenset[int]) -> str:
@@ -366,22 +412,27 @@ def main_text(pages: DataFrame, url: str = "url", body: str = "html") -> DataFra
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            owner, out = [], []
+            owner, out, about = [], [], []
             for i, page in enumerate(batch.column(3).to_pylist()):
-                found = candidates(page or "")
+                subject, found = candidates(page or "")
                 owner.extend([i] * len(found))
                 out.extend(found)
+                about.extend([subject] * len(found))
             at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(3)), pa.array(out, pa.int64())], ["host", "x", "y", "hash"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(at) for i in range(3)), pa.array(out, pa.int64()), pa.array(about, pa.int64())],
+                ["host", "x", "y", "hash", "subject"],
+            )
 
     # equal pages of a url have the same elements, so they may share x and y
     marks = {"_x": F.xxhash64(url, body), "_y": F.xxhash64(F.lit(1), url, body)}
     known = pages.select(_host(url).alias("host"), marks["_x"].alias("x"), marks["_y"].alias("y"), body)
-    found = written(known.mapInArrow(hashed, "host string, x long, y long, hash long"))
-    # hot hosts: the pages of an element are dealt over salts, and each salt learns whether the element recurs
+    found = written(known.mapInArrow(hashed, "host string, x long, y long, hash long, subject long"))
+    # hot hosts: the pages of an element are dealt over salts, and each salt learns whether the element recurs;
+    # copies of a page (mirrors, print views, sessions) share a salt and count once
     salts = max(64, math.ceil(found.count() / PAGES_PER_SALT))
-    found = found.withColumn("salt", F.pmod("x", F.lit(salts)))
-    parts = written(found.groupBy("host", "hash", "salt").agg(F.count("*").alias("n")))
+    found = found.withColumn("salt", F.pmod("subject", F.lit(salts)))
+    parts = written(found.groupBy("host", "hash", "salt").agg(F.count_distinct("subject").alias("n")))
     recurring = parts.groupBy("host", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("host", "hash")
     where = parts.select("host", "hash", "salt").join(recurring, ["host", "hash"], "left_semi")
     hits = found.join(where, ["host", "hash", "salt"], "left_semi")
