@@ -175,7 +175,7 @@ def test_a_refresh_reads_only_partitions_of_its_months(spark, warehouse, deliver
     assert len(scans) >= 4 and all("PartitionFilters: []" not in line for line in scans)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     deliveries=st.lists(
         st.tuples(
