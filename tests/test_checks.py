@@ -118,6 +118,22 @@ def test_all_rules_of_a_frame_share_one_scan_and_one_exchange(spark, database, p
     assert body.count("Scan parquet") == 1 and body.count("Exchange") == 1 and "Expand" not in body
 
 
+def test_texts_that_must_be_unique_travel_as_bytes_that_differ_when_they_do(spark, plan):
+    digest, other = "0cc175b9c0f1b6a831c399e269772661", "92eb5ffee6ae2fec3ad71c777531578f"
+    spelt = "abcdefghijklmnop"  # the 16 bytes that the last digest spells
+    texts = [digest, digest, digest.upper(), other, spelt.encode().hex(), spelt, spelt + "\0", spelt + "\0\0"]
+    texts += ["", "\0", "é" * 16, "é" * 16, "z" * 32, "z" * 32, digest[:31] + "\n", None, None]
+    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "k string, n int")
+    rules = [checks.must_be_unique("k"), checks.must_be_present("k"), checks.must_be_unique("n", "k")]
+    found = checks.report(checks.ruled("t", df, WARN, *rules))
+    assert [r.failures for r in found.collect()] == [3, 2, checks.unique(df, "n", "k").count()]
+    assert "unhex" in plan(found)
+    # values are compared as the texts they are
+    rules = [checks.must_be_unique("k"), checks.must_be_one_of("k", [digest])]
+    found = checks.report(checks.ruled("t", df, WARN, *rules))
+    assert [r.failures for r in found.collect()] == [3, checks.accepted_values(df, "k", [digest]).count()]
+
+
 def test_a_hot_key_is_combined_before_the_exchange(spark, plan):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 7, id) AS k", "'x' AS s", "timestamp_ntz '2019-03-10 01:00:00' AS t")
     assert "partial_count" in plan(checks.report(checks.ruled("t", df, WARN, *RULES)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripmart.contracts import Contract
 from tripmart.operators import sampling
-from tripmart.operators.dedup import keep_first
+from tripmart.operators.dedup import crowded, keep_first, keep_first_in_ranges
 from tripmart.operators.joins import orphans, union_services, with_zone
 from tripmart.operators.shape import between_ts, conform, replace_with_null, unexpired
 from tripmart.session import setting, settings
@@ -69,6 +69,48 @@ def test_keep_first_limits_groups_before_the_shuffle(spark, plan):
     assert "Exchange" in text and "EvalPython" not in text
 
 
+@pytest.mark.parametrize("reduced", [False, True])
+def test_keep_first_in_ranges_against_brute_force_in_any_order(spark, reduced):
+    values, df = skewed(spark)
+    want = brute_force(values)
+    hot = crowded(df, ["k1", "k2"], least=100) if reduced else []
+    assert bool(hot) == reduced
+    for frame in (df, df.repartition(1), df.repartition(7, "n"), df.orderBy(F.desc("n")).coalesce(2)):
+        kept = keep_first_in_ranges(frame, ["K1", "k2"], hot)
+        got = [tuple(r) for r in kept.collect()]
+        assert kept.columns == df.columns and len(got) == len(want) and set(got) == want
+
+
+def test_keep_first_in_ranges_when_every_column_is_key(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (1, 3), (None, 3), (None, 3)], "a bigint, b bigint")
+    for hot in ([], crowded(df, ["a", "b"], least=2)):
+        assert sorted(map(str, keep_first_in_ranges(df, ["a", "b"], hot).collect())) == sorted(
+            map(str, keep_first(df, ["a", "b"]).collect())
+        )
+
+
+def test_keep_first_in_ranges_shuffles_once_and_leaves_each_range_to_one_task(spark, plan):
+    _, df = skewed(spark)
+    key = "spark.sql.requireAllClusterKeysForDistribution"
+    for value in ("true", "false"):
+        with setting(spark, key, value):
+            kept = keep_first_in_ranges(df, ["k2", "k1"])
+            text = plan(kept).split("\n\n(")[0]
+            assert text.count("Exchange") == 1 and "rangepartitioning(k2" in plan(kept)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        ranges = kept.groupBy(F.spark_partition_id().alias("task")).agg(F.min("k2").alias("low"), F.max("k2").alias("high"))
+        ranges = sorted((r.low, r.high) for r in ranges.collect() if r.low is not None)
+    assert len(ranges) > 1 and all(high <= low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+
+
+def test_a_hot_key_is_combined_before_ranges_are_dealt(spark, plan):
+    _, df = skewed(spark)
+    keys = ["k1", "k2"]
+    assert crowded(df, keys) == [] and len(crowded(df, keys, least=100)) == 1
+    text = plan(keep_first_in_ranges(df, keys, crowded(df, keys, least=100)))
+    assert "partial_min(struct(" in text
+
+
 def test_keep_first_is_not_grouped_on_part_of_its_key(spark, plan):
     _, df = skewed(spark)
     key = "spark.sql.requireAllClusterKeysForDistribution"

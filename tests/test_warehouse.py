@@ -20,8 +20,8 @@ from tripmart.contracts import (
 from tripmart.operators import checks
 from tripmart.operators.checks import CheckFailed
 from tripmart.plans import build, marts, staging
-from tripmart.session import scratch_folder
-from tripmart.sources import files
+from tripmart.session import scratch_folder, setting
+from tripmart.sources import files, versions
 from tripmart.sources.tables import refresh_table
 
 AT = dt.datetime(2019, 3, 10, 2, 30)
@@ -259,3 +259,59 @@ def test_report_runs_each_deduplication_once(spark, database, green, yellow):
     assert final.count("- Exchange hashpartitioning(__key_hash") == 2
     # every check of a service shares its one scan
     assert final.count("FileScan parquet") == 2
+
+
+def test_a_build_deals_each_street_hail_trip_out_once(spark, database, green, yellow, fhv, zones, monkeypatch):
+    plans = {}
+    store = build.refresh_table
+
+    def recorded(df, name, *args, **layout):
+        plans[name.rpartition(".")[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name, *args, **layout)
+
+    monkeypatch.setattr(build, "refresh_table", recorded)
+    source_tables(database, green, yellow, fhv, zones)
+    months = [dt.datetime(2019, m, 1, h) for m in range(1, 13) for h in range(20)]
+    refresh_table(green(*[green_trip(lpep_pickup_datetime=t, total_amount=1.0) for t in months]), f"{database}.{GREEN.table}")
+    build.build(spark, database)
+    for name in (build.STG_GREEN, build.STG_YELLOW):
+        assert plans[f"{name}_stored"].count("Exchange") == 1
+        assert "Exchange rangepartitioning(" in plans[f"{name}_stored"]
+    # their files hold a month each, so facts are written by the tasks that read them
+    assert plans[build.FACT].count("Exchange") == plans[build.FACT].count("BroadcastExchange") > 0
+    # for-hire trips travel before they become decimals
+    assert plans[build.FACT_FHV].count("Exchange") == 1
+    assert "decimal" not in plans[build.FACT_FHV].split("Exchange")[1]
+    for name, rows in ((f"{build.STG_GREEN}_stored", 240), (build.FACT, 270)):
+        stored = spark.table(versions.stored(spark, f"{database}.{name}"))
+        assert stored.count() == rows and all(p.endswith(".zstd.parquet") for p in stored.inputFiles())
+        assert stored.where(f"{build.MONTH} = DATE '2019-06-01'").count() == 20
+        assert len(stored.inputFiles()) <= 2 * 12
+
+
+def test_facts_dealt_out_by_zone_are_brought_together_by_month(spark, database, green, yellow, fhv, zones, monkeypatch):
+    plans = {}
+    store = build.refresh_table
+
+    def recorded(df, name, *args, **layout):
+        plans[name.rpartition(".")[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name, *args, **layout)
+
+    monkeypatch.setattr(build, "refresh_table", recorded)
+    source_tables(database, green, yellow, fhv, zones)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        build.build(spark, database)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plans[build.FACT]
+    assert spark.table(f"{database}.{build.FACT}").count() == 70
+
+
+def test_a_hot_key_is_found_before_a_service_is_staged(spark, green, monkeypatch):
+    trips = [green_trip(lpep_pickup_datetime=None, fare_amount=float(i)) for i in range(300)]
+    df = green(*trips, *[green_trip(lpep_pickup_datetime=t) for t in minutes(100)], green_trip(VendorID=None))
+    found = []
+    crowded = staging.crowded
+    monkeypatch.setattr(staging, "crowded", lambda rows, keys: found.extend(crowded(rows, keys, least=100)) or found)
+    staged = staging.stage_green(df, keep=staging.in_ranges(df, GREEN))
+    want = staging.stage_green(df)
+    assert len(found) == 1 and staged.count() == 101 == want.count()
+    assert sorted(map(str, staged.collect())) == sorted(map(str, want.collect()))
