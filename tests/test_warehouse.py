@@ -23,6 +23,7 @@ from tripmart.plans import build, marts, staging
 from tripmart.session import scratch_folder, setting
 from tripmart.sources import files, versions
 from tripmart.sources.tables import refresh_table
+from tripmart.standins import frames, queries
 
 AT = dt.datetime(2019, 3, 10, 2, 30)
 
@@ -315,3 +316,32 @@ def test_a_hot_key_is_found_before_a_service_is_staged(spark, green, monkeypatch
     want = staging.stage_green(df)
     assert len(found) == 1 and staged.count() == 101 == want.count()
     assert sorted(map(str, staged.collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_report_over_stored_services_deals_each_trip_out_once(spark, tmp_path, monkeypatch):
+    days = [dt.datetime(1995, m, 1) for m in range(1, 13)]
+    tables = {
+        "region": [(0, "EUROPE")],
+        "nation": [(0, "FRANCE", 0)],
+        "customer": [(1, "c", 0, 0.0, "BUILDING")],
+        "supplier": [(1, "s", 0, 0.0)],
+        "orders": [(i, 1, "O", 1.0, AT, "LOW") for i in range(24)],
+        "lineitem": [(i, 1, 1, 1, 2.0, 3.0, 0.5, 0.5, "R", "OF"[i % 2], days[i // 2]) for i in range(24)],
+        "events": [(1, AT, 1, "click", 1.0, "")],
+    }
+    for name, records in tables.items():
+        spark.createDataFrame(records * 2, frames.TABLES[name]).dropDuplicates().write.parquet(f"{tmp_path}/{name}.parquet")
+    plans = {}
+    store = build.refresh_table
+
+    def recorded(df, name, *args, **layout):
+        plans[name.rpartition(".")[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name, *args, **layout)
+
+    monkeypatch.setattr(build, "refresh_table", recorded)
+    report = {(r.table_name, r.check_name): r.failures for r in queries.check_report(spark, str(tmp_path)).collect()}
+    assert report.pop(("fhv_trips", "freshness")) == 1 and len(report) == 7 and set(report.values()) == {0}
+    assert spark.table("tripmart_check_report.facts").count() == 24
+    assert set(plans) == {"green", "yellow", "facts"}
+    assert all("Exchange rangepartitioning(" in plans[name] for name in ("green", "yellow"))
+    assert plans["facts"].count("Exchange") == plans["facts"].count("BroadcastExchange") > 0
