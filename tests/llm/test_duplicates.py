@@ -274,6 +274,70 @@ def test_repeats_against_every_window(spark, documents, monkeypatch, crowd):
         assert cut(documents) == plain_cut([(r.doc_id, r.text) for r in documents.collect()])
 
 
+@pytest.mark.parametrize("length", [16, 1])
+def test_slices_of_crowded_anchors_are_hashed_as_one_buffer(monkeypatch, length):
+    rng = random.Random(3)
+    raw, packed = [], []
+    for _ in range(1500):
+        count, offset, start = rng.randrange(1, 65), rng.randrange(64), rng.randrange(5000)
+        packed.append(start << 12 | (count - 1) << 6 | offset)
+        raw.append(b"".join(rng.choices([b"ab", b"ab" * 40, b"c"], k=count + 99))[: count + 99])
+    built = []
+    rolling = suffix_dedup.Rolling
+    monkeypatch.setattr(suffix_dedup, "Rolling", lambda data: built.append(len(data)) or rolling(data))
+    own, low, windows, place, x, y = (c.tolist() for c in suffix_dedup.runs_of(raw, np.array(packed), length))
+    assert len(built) == 2
+    # the runs of a slice hold each of its windows once and are cut at like distances from the anchor
+    held = defaultdict(list)
+    for i, a, n in zip(own, low, windows, strict=True):
+        held[i] += range(a, a + n)
+        assert 1 <= n <= length and (a == 0 or (a - (packed[i] & 63)) % length == 0)
+    assert [held[i] for i in range(len(raw))] == [list(range((p >> 6 & 63) + 1)) for p in packed]
+    assert [p >> 12 for p in place] == [(packed[i] >> 12) + a for i, a in zip(own, low, strict=True)]
+    assert [(p >> 6 & 63) + 1 for p in place] == windows
+    # equal hashes stand for equal bytes
+    content = [raw[i][a : a + n + 99] for i, a, n in zip(own, low, windows, strict=True)]
+    assert len(set(content)) == len(set(zip(x, y, strict=True))) == len(set(zip(x, y, content, strict=True))) < len(content)
+
+
+def test_line_of_many_texts_amid_their_own(spark):
+    """A line too short to go, with more different neighbours than ``CROWD``; some neighbours are equal as well."""
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefgh ", k=76))
+    own = ["".join(rng.choices("klmnopqr ", k=80)) for _ in range(900)]
+    rows = [(i, rng.choice(own) + line + rng.choice(own)[: rng.randrange(81)]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert cut(docs) == plain_cut(rows)
+
+
+def test_single_windows_travel_without_their_bytes(spark):
+    slices = spark.createDataFrame([(1, 5 << 12 | 3 << 6 | 2, b"x" * 103)], "doc long, packed long, bytes binary")
+    assert suffix_dedup._runs(slices, 1).columns == ["x", "y", "doc", "packed"]
+    assert suffix_dedup._runs(slices, 16).columns == ["x", "y", "doc", "packed", "bytes"]
+    assert suffix_dedup._runs(slices, 1).count() == 4
+
+
+def test_texts_are_cut_as_by_every_window():
+    rng = random.Random(8)
+    for _ in range(200):
+        texts = [bytes(rng.choices(b"abc", k=rng.choice([0, 5, 99, 100, 150, 400]))) for _ in range(rng.randrange(1, 8))]
+        own, packed, mask, gone = [], [], [], [np.zeros(len(t), bool) for t in texts]
+        for i, text in enumerate(texts):
+            for _ in range(rng.randrange(5) if len(text) > 99 else 0):
+                start = rng.randrange(len(text) - 99)
+                count = rng.randrange(1, min(64, len(text) - 99 - start) + 1)
+                marked = rng.choice([-1, rng.getrandbits(6), rng.getrandbits(63)])
+                own.append(i), packed.append(start << 12 | (count - 1) << 6), mask.append(marked)
+                for k in range(count):
+                    if marked >> k & 1:
+                        gone[i][start + k : start + k + 100] = True
+        left, spans = suffix_dedup.cut_texts(texts, *(np.array(c, np.int64) for c in (own, packed, mask)))
+        assert left == [bytes(np.frombuffer(t, np.uint8)[~g]) for t, g in zip(texts, gone, strict=True)]
+        for found, g in zip(spans.to_pylist(), gone, strict=True):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], g.astype(int), [0]])))
+            assert [(f["start"], f["end"]) for f in found] == list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
 def test_long_texts_are_cut_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 64)
     rows = passages(2, n=25)

@@ -32,6 +32,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -240,54 +241,67 @@ def texts_of(docs: DataFrame, wanted: DataFrame, value: Column) -> DataFrame:
     return docs.join(lists, F.col("_place") == F.col("_doc"), "left")
 
 
+def _lists(column: pa.ListArray, *fields: str) -> tuple[np.ndarray, ...]:
+    """For each entry of a column of lists of structs its row, and fields of all entries; a NULL list has none."""
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    entries = column.flatten()
+    return np.repeat(np.arange(len(column)), lengths), *[np.asarray(entries.field(f)) for f in fields]
+
+
 def _cut_out(rows: DataFrame) -> DataFrame:
     """``gram``, ``doc``, ``packed`` and the ``bytes`` of every wanted slice; once for rows of one id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            out = []
-            for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = text.encode()
-                for want in wanted:
-                    packed = want["packed"]
-                    start, length = packed >> 12, (packed >> 6 & 63) + SPAN
-                    out.append((want["gram"], doc, packed, raw[start : start + length]))
-            columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["gram", "doc", "packed", "bytes"]
-            )
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            own, gram, packed = _lists(batch.column(2), "gram", "packed")
+            start, count, _ = _unpack(packed)
+            places = zip(own.tolist(), start.tolist(), (start + count + SPAN - 1).tolist(), strict=True)
+            parts = pa.array([texts[i][low:high] for i, low, high in places], pa.binary())
+            doc = np.asarray(batch.column(0))[own]
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(doc), pa.array(packed), parts], ["gram", "doc", "packed", "bytes"])
 
     return rows.mapInArrow(run, "gram long, doc long, packed long, bytes binary")
 
 
-def _hashed_twice(raw: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of every window of the width, read forwards and backwards."""
-    data = np.frombuffer(raw, np.uint8)
-    return Rolling(data).windows(width).view(np.int64), Rolling(data[::-1]).windows(width)[::-1].view(np.int64)
+def runs_of(raw: list[bytes], packed: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Slices (their bytes and ``packed``) cut, counted from the anchor, into runs of at most ``length`` windows.
+
+    Of each run the index of its slice, the first window in the slice, the windows, its own ``packed``, and two hashes of
+    all its bytes, read forwards and backwards. All slices are hashed as one buffer: a hash does not depend on the place.
+    """
+    start, count, offset = _unpack(packed)
+    head = np.minimum(np.where(offset % length, offset % length, length), count)
+    runs = 1 + (count - head + length - 1) // length
+    own = np.repeat(np.arange(len(raw)), runs)
+    nth = np.arange(len(own)) - np.repeat(np.cumsum(runs) - runs, runs)
+    low = np.where(nth, head[own] + (nth - 1) * length, 0)
+    windows = np.minimum(head[own] + nth * length, count[own]) - low
+    lengths = count + SPAN - 1
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    begin = (np.cumsum(lengths) - lengths)[own] + low
+    end = begin + windows + SPAN - 1
+    x, y = Rolling(data).of(begin, end), Rolling(data[::-1]).of(len(data) - end, len(data) - begin)
+    return own, low, windows, _pack(start[own] + low, windows, (offset[own] - low) % length), x.view(np.int64), y.view(np.int64)
 
 
 def _runs(slices: DataFrame, length: int) -> DataFrame:
-    """Slices cut, counted from the anchor, into runs of at most ``length`` windows: ``x``, ``y`` (hashes of all bytes)
-    and the run as ``doc``, ``packed``, ``bytes``."""
+    """The runs of slices (``doc``, ``packed``, ``bytes``): ``x``, ``y`` (hashes of all bytes) and the run as ``doc``, ``packed``
+    and, unless it is a single window, ``bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, packed, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                count, offset = (packed >> 6 & 63) + 1, packed & 63
-                cuts = [0, *range(offset % length or length, count, length), count]
-                for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                    part = raw[low : high + SPAN - 1]
-                    (x,), (y,) = (h.tolist() for h in _hashed_twice(part, len(part)))
-                    place = (packed >> 12) + low << 12 | high - low - 1 << 6 | (offset - low) % length
-                    out.append((x, y, doc, place, part))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["x", "y", "doc", "packed", "bytes"])
-
-    return slices.mapInArrow(run, "x long, y long, doc long, packed long, bytes binary")
+            doc, packed, raw = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(2).to_pylist()
+            for part in chunks(raw):
+                texts = raw[part.start : part.stop]
+                own, low, windows, place, x, y = runs_of(texts, packed[part.start : part.stop], length)
+                columns = {"x": x, "y": y, "doc": doc[part.start : part.stop][own], "packed": place}
+                if length > 1:
+                    places = zip(own.tolist(), low.tolist(), (low + windows + SPAN - 1).tolist(), strict=True)
+                    columns["bytes"] = pa.array([texts[i][a:b] for i, a, b in places], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return slices.mapInArrow(run, "x long, y long, doc long, packed long" + ", bytes binary" * (length > 1))
 
 
 def _single(crowded: DataFrame) -> DataFrame:
@@ -297,62 +311,75 @@ def _single(crowded: DataFrame) -> DataFrame:
     copy one by one. Both are grouped by content, so a passage that every text has costs a task
     no more than its share.
     """
-    whole, first = _repeated(_runs(crowded.select("doc", "packed", "bytes"), CELL))
-    single, _ = _repeated(_runs(first, 1))
-    return whole.union(single)
+    runs = written(_runs(crowded.select("doc", "packed", "bytes"), CELL))
+    groups = written(_groups(runs, F.max("bytes").alias("bytes")))
+    single = written(_runs(groups.select("first.doc", "first.packed", "bytes"), 1))
+    # of the groups of single windows only those that repeat are ever read
+    return _again(runs, groups.where("n > 1")).union(_again(single, written(_groups(single).where("n > 1"))))
 
 
-def _repeated(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Runs with an earlier copy (``doc``, ``packed``, ``mask``), and the first copies (``doc``, ``packed``, ``bytes``)."""
-    runs = written(runs)
-    groups = runs.groupBy("x", "y").agg(
-        F.min(F.struct("doc", "packed")).alias("first"), F.count("*").alias("n"), F.max("bytes").alias("bytes")
-    )
-    groups = written(groups)
-    several = groups.where("n > 1").select(F.col("x").alias("_x"), F.col("y").alias("_y"), "first")
-    both = runs.drop("bytes").join(several, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")))
-    again = both.where(F.struct("doc", "packed") != F.col("first"))
-    return (
-        again.select("doc", "packed", F.lit(-1).cast("long").alias("mask")),
-        groups.select("first.doc", "first.packed", "bytes"),
-    )
+def _groups(runs: DataFrame, *more: Column) -> DataFrame:
+    """Equal runs: their hashes, the ``first`` of them (``doc``, ``packed``) and how many there are."""
+    return runs.groupBy("x", "y").agg(F.min(F.struct("doc", "packed")).alias("first"), F.count("*").alias("n"), *more)
 
 
-def _spans(text: bytes, found: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs covered by the windows of ``found``."""
-    if not found:
-        return []
-    start = np.array([x["packed"] >> 12 for x in found])
-    masks = np.array([x["mask"] for x in found], np.int64).view(np.uint8).reshape(-1, 8)
-    bits = np.unpackbits(masks, axis=1, bitorder="little")
-    limit = np.array([(x["packed"] >> 6 & 63) + 1 for x in found])
-    row, shift = np.nonzero(bits & (np.arange(64) < limit[:, None]))
-    window = start[row] + shift
-    change = np.zeros(len(text) + SPAN + 1, np.int32)
-    np.add.at(change, window, 1)
-    np.add.at(change, window + SPAN, -1)
-    covered = np.concatenate([[False], np.cumsum(change)[: len(text)] > 0, [False]])
-    edge = np.flatnonzero(covered[1:] != covered[:-1])
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+def _again(runs: DataFrame, several: DataFrame) -> DataFrame:
+    """``doc``, ``packed``, ``mask`` of the runs of ``several`` groups but the first of each."""
+    firsts = several.select(F.col("x").alias("_x"), F.col("y").alias("_y"), "first")
+    both = runs.select("x", "y", "doc", "packed").join(firsts, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")))
+    again = both.where(F.struct("doc", "packed") != F.col("first"))
+    return again.select("doc", "packed", F.lit(-1).cast("long").alias("mask"))
+
+
+def _covered(begin: np.ndarray, packed: np.ndarray, mask: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` bytes the windows cover that ``mask`` marks in slices of texts that begin at ``begin``; one more at the end."""
+    change = np.zeros(size + 1, np.int32)
+    start, count, _ = _unpack(packed)
+    start = begin + start
+    whole = mask == -1
+    np.add.at(change, start[whole], 1)
+    np.add.at(change, (start + count + SPAN - 1)[whole], -1)
+    start, count, mask = start[~whole], count[~whole], mask[~whole]
+    bits = np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    row, shift = np.nonzero(bits & (np.arange(64) < count[:, None]))
+    np.add.at(change, start[row] + shift, 1)
+    np.add.at(change, start[row] + shift + SPAN, -1)
+    return np.cumsum(change) > 0
+
+
+def cut_texts(texts: list[bytes], own: np.ndarray, packed: np.ndarray, mask: np.ndarray) -> tuple[list[bytes], pa.Array]:
+    """What is left of texts without the marked windows of their slices (``own``: the index of a slice's text), and the maximal
+    runs of bytes that go, as lists of ``start`` and ``end``."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    # a byte between texts parts the runs that end one and start the next
+    begins = np.cumsum(lengths + 1) - (lengths + 1)
+    gone = _covered(begins[own], packed, mask, int(lengths.sum()) + len(texts))
+    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    edge = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    edge = np.concatenate([[0], edge]) if gone[0] else edge
+    low, high = edge[::2], edge[1::2]
+    text = np.searchsorted(begins, low, side="right") - 1
+    spans = pa.StructArray.from_arrays([pa.array(low - begins[text]), pa.array(high - begins[text])], ["start", "end"])
+    offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
+    stays = ~gone[:-1]
+    stays[begins + lengths] = False
+    left = data[stays].tobytes()
+    ends = np.cumsum(lengths - np.bincount(text, high - low, len(texts)).astype(np.int64)).tolist()
+    return [left[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], pa.ListArray.from_arrays(pa.array(offsets), spans)
 
 
 def _cut(rows: DataFrame, kept: list[str], text: str, as_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            columns = [batch.column(i) for i in range(len(kept))]
-            sizes, spans, left = [], [], []
-            for body, found in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):
-                raw = (body or "").encode()
-                gone = _spans(raw, found)
-                sizes.append(len(raw))
-                spans.append([{"start": a, "end": b} for a, b in gone])
-                edges = [0, *[x for span in gone for x in span], len(raw)]
-                left.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            rest = pa.array([x.decode(errors="ignore") for x in left]) if as_text else pa.array(left, pa.binary())
-            struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sizes, pa.int64()), pa.array(spans, struct), rest], [*kept, "n_bytes", "spans", "kept"]
-            )
+            texts = [t or b"" for t in batch.column(len(kept)).cast(pa.binary()).to_pylist()]
+            for part in chunks(texts):
+                some = batch.slice(part.start, len(part))
+                own = texts[part.start : part.stop]
+                left, spans = cut_texts(own, *_lists(some.column(len(kept) + 1), "packed", "mask"))
+                rest = pa.array([x.decode(errors="ignore") for x in left]) if as_text else pa.array(left, pa.binary())
+                sizes = pa.array([len(t) for t in own], pa.int64())
+                columns = [some.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, sizes, spans, rest], [*kept, "n_bytes", "spans", "kept"])
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     chosen = rows.select(*kept, F.col(text).alias("_text"), "_list")
