@@ -287,6 +287,20 @@ def test_variants_of_awkward_rows(spark, awkward, nothing):
     assert as_dict(spelling.forms(spelling.vocabulary(spelling.occurrences(docs)))) == plain_forms(plain_words(case))
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """Not even where Spark takes the tables for small, as it does with the rows that an explode makes of compressed files."""
+    frames = []
+    kept = spelling.written
+    monkeypatch.setattr(spelling, "written", lambda frame: frames.append(frame) or kept(frame))
+    counts = {"a" * (5 + i): 3 * 2**i for i in range(5)} | {"bcdefg": 9, "bcdefh": 4, "bcdeg": 3}
+    words = kept(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    found = spelling.forms(words)
+    assert as_dict(found) == plain_forms(counts)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in [*frames, spelling.near(words), found]]
+    assert sum("SortMergeJoin" in p for p in plans) >= 5
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_variants_run_no_python(documents, plan):
     text = plan(spelling.vocabulary(spelling.occurrences(documents))) + plan(
         spelling.near(documents.selectExpr("lang AS word", "doc_id AS n"))

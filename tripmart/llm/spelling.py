@@ -9,7 +9,8 @@ lies in one half of the word, a signature also holds the other half as it is wri
 equi-joined on signatures and verified by their edit distance, so the links are exact.
 
 All of it is built-in DataFrame functions: occurrences are summed per task before the shuffle, a crowded signature
-is an ordinary skewed join key, and roots are found by pointer jumping over written tables.
+is an ordinary skewed join key, and roots are found by pointer jumping over written tables. No join is broadcast, as
+every table here grows with the vocabulary.
 
 NULL and empty texts hold no words. A NULL id reads as an empty one. Repeated rows count as often as they are
 there. An empty table gives no rows. Output columns are fixed, so other columns cannot clash.
@@ -91,6 +92,15 @@ def _signed(words: DataFrame, shorter: Column, distance: int) -> DataFrame:
     return words.select(signatures.alias("signature"), "word", "n")
 
 
+def _dealt(frame: DataFrame) -> DataFrame:
+    """The frame, joined by shuffling, whatever its size seems to be.
+
+    Spark goes by the bytes of the compressed files and leaves out what an explode adds: signatures of a vocabulary
+    of 8 MB would be broadcast as 800 MB.
+    """
+    return frame.hint("merge")
+
+
 def near(words: DataFrame) -> DataFrame:
     """``a``, ``n_a``, ``b``, ``n_b``: every two words (``word``, ``n``) one edit apart, once.
 
@@ -104,7 +114,7 @@ def near(words: DataFrame) -> DataFrame:
     ]
     found = [
         x.alias("x")
-        .join(y.alias("y"), (F.col("x.signature") == F.col("y.signature")) & apart & (F.levenshtein("x.word", "y.word", 1) == 1))
+        .join(_dealt(y.alias("y")), (F.col("x.signature") == F.col("y.signature")) & apart & (F.levenshtein("x.word", "y.word", 1) == 1))
         .select(F.col("x.word").alias("a"), F.col("x.n").alias("n_a"), F.col("y.word").alias("b"), F.col("y.n").alias("n_b"))
         for x, y, apart in pairs
     ]
@@ -119,7 +129,7 @@ def rooted(links: DataFrame) -> DataFrame:
     known = written(links.select("word", F.col("form").alias("root")))
     while True:
         further = known.select(F.col("word").alias("_at"), F.col("root").alias("_further"))
-        seen = known.join(further, F.col("root") == F.col("_at"), "left")
+        seen = known.join(_dealt(further), F.col("root") == F.col("_at"), "left")
         known = written(seen.select("word", F.coalesce("_further", "root").alias("root"), F.col("_at").isNotNull().alias("moved")))
         if not known.where("moved").limit(1).count():
             return known.drop("moved")
@@ -140,7 +150,7 @@ def forms(words: DataFrame) -> DataFrame:
     )
     has = -F.col("best.less") >= MANIFOLD * F.col("n")
     formed = written(
-        words.join(best, F.col("word") == F.col("_of"), "left").select(
+        words.join(_dealt(best), F.col("word") == F.col("_of"), "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -149,6 +159,6 @@ def forms(words: DataFrame) -> DataFrame:
         )
     )
     roots = rooted(formed.where(F.col("form").isNotNull())).withColumnRenamed("word", "_rooted")
-    return formed.join(roots, F.col("word") == F.col("_rooted"), "left").select(
+    return formed.join(_dealt(roots), F.col("word") == F.col("_rooted"), "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root")
     )
